@@ -23,16 +23,13 @@ def edge_multiplicity(edges: DataFrame, src: str = "userid", dst: str = "friendi
 def attendance_multiplicity(
     attendance: DataFrame, statuses: Mapping[str, str], event: str = "eventid", person: str = "userid"
 ) -> DataFrame:
-    """(eventid, friendid, status, attend_n): attendance rows of the listed statuses, counted."""
+    """(eventid, friendid, <one count per output>): attendance rows per (event, person) and
+    status, one row per (event, person) that has a listed status."""
     wanted = list(dict.fromkeys(statuses.values()))
-    return (
-        attendance.select(
-            F.col(event).alias("eventid"), F.col(person).alias("friendid"), F.col("status")
-        )
-        .filter(F.col("eventid").isNotNull() & F.col("friendid").isNotNull() & F.col("status").isin(wanted))
-        .groupBy("eventid", "friendid", "status")
-        .agg(F.count(F.lit(1)).alias("attend_n"))
-    )
+    rows = attendance.select(
+        F.col(event).alias("eventid"), F.col(person).alias("friendid"), F.col("status")
+    ).filter(F.col("eventid").isNotNull() & F.col("friendid").isNotNull() & F.col("status").isin(wanted))
+    return status_pivot(rows, ["eventid", "friendid"], statuses)
 
 
 def friend_status_counts(
@@ -44,16 +41,26 @@ def friend_status_counts(
     """For each (userid, eventid) in `pairs`: how many of the user's friends have each status
     on that event. Returns only pairs with at least one match.
 
-    A friend counts once per (edge row, attendance row) combination, i.e. duplicates in
-    either input multiply, as a row-level join of pairs ⋈ attendance ⋈ edges would.
+    `edge_n` comes from `edge_multiplicity`, `attend_n` from `attendance_multiplicity` with
+    the same `outputs`. A friend counts once per (edge row, attendance row) combination,
+    i.e. duplicates in either input multiply, as a row-level join of
+    pairs ⋈ attendance ⋈ edges would.
 
     The product pairs ⋈ friends ⋈ attendance is the heavy step. Each pair is expanded from
     the smaller side: through the user's friends when the user has no more friends than
-    the event has attendance rows, else through the event's attendance, and the other side
-    is probed with a two-key equi-join. The expansion per pair is therefore
+    the event has attendees, else through the event's attendees, and the other side is
+    probed with a two-key equi-join. The expansion per pair is therefore
     min(friends of user, attendees of event), so neither a hot event nor a hot user makes
     it quadratic; AQE skew-join splitting balances the remaining hot keys across tasks.
+
+    The probe side has one row per key pair. AQE picks the probe strategy from the exact
+    runtime size of that side: a broadcast hash join when it is under
+    `spark.sql.adaptive.autoBroadcastJoinThreshold` (the candidates are then never
+    shuffled), a shuffled hash join when each of its partitions is under
+    `spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold` (no sort of the candidates),
+    else a sort-merge join.
     """
+    names = list(outputs)
     user_deg = edge_n.groupBy("userid").agg(F.count(F.lit(1)).alias("user_deg"))
     event_deg = attend_n.groupBy("eventid").agg(F.count(F.lit(1)).alias("event_deg"))
     keyed = pairs.select("userid", "eventid").join(user_deg, "userid").join(event_deg, "eventid")
@@ -70,9 +77,9 @@ def friend_status_counts(
         .join(attend_n, "eventid")
         .join(edge_n, ["userid", "friendid"])
     )
-    cols = ["userid", "eventid", "status", (F.col("edge_n") * F.col("attend_n")).alias("w")]
+    cols = ["userid", "eventid", *[(F.col(n) * F.col("edge_n")).alias(n) for n in names]]
     matches = via_user.select(*cols).unionByName(via_event.select(*cols))
-    return status_pivot(matches, ["userid", "eventid"], outputs, weight="w")
+    return matches.groupBy("userid", "eventid").agg(*[F.sum(n).cast("long").alias(n) for n in names])
 
 
 def has_edge(

@@ -21,46 +21,58 @@ from affinity.schemas import EVENT_STATUS, FRIEND_STATUS, USER_STATUS, WIDE_COLU
 U, E = "userid", "eventid"
 
 
+def creator_flags(pairs: DataFrame, feats: DimFeatures) -> DataFrame:
+    """(userid, eventid, creator_is_friend) on the narrow pair keys: 1 iff the directed
+    edge (host of the event -> user) exists."""
+    hosts = feats.events.select(E, "host")
+    keyed = pairs.select(U, E).join(hosts, E)
+    return has_edge(keyed, feats.edges, "host", U, "creator_is_friend").select(U, E, "creator_is_friend")
+
+
 def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -> DataFrame:
     """Attach the dimension blocks to de-duplicated fact pairs, grain by grain.
 
     Grain: one row per fact pair whose user has a customer row and whose event has an
-    events row and a group row with a non-NULL group type (inner joins). The user-grain
-    blocks are joined on userid in one run of joins sharing one partitioning, then the
-    event-grain blocks on eventid, then the pair-grain blocks on (userid, eventid).
+    events row and a group row with a non-NULL group type (inner joins).
+
+    Order: the pair-grain blocks (friends on the event, host edge) are computed on the
+    narrow pair keys and joined first, on (userid, eventid) — the partitioning the
+    de-duplicated fact already has. The wide rows are then shuffled once by userid for
+    all user-grain blocks and once by eventid for all event-grain blocks.
     """
     check_mode(mode)
     pairs = fact.select(U, E, "invited", "times")
 
-    users = (
-        pairs.join(feats.customers, U)
+    friends_on_event = friend_status_counts(pairs, feats.edges, feats.attendance, FRIEND_STATUS)
+    rows = pairs.join(friends_on_event, [U, E], "left").fillna(0, subset=list(FRIEND_STATUS))
+    if mode == "intended":
+        rows = rows.join(creator_flags(pairs, feats), [U, E], "left")
+    else:
+        rows = rows.withColumn("creator_is_friend", F.lit(1))
+
+    rows = (
+        rows.join(feats.customers, U)
         .join(feats.history, U, "left")
         .join(feats.friends, U, "left")
         .fillna(0, subset=[*USER_STATUS, "friend_count"])
     )
     if mode == "reference":
         fact_rows = pairs.groupBy(U).agg(F.count(F.lit(1)).alias("_fact_rows"))
-        users = users.join(fact_rows, U).withColumn("fri_count", F.col("friend_count") * F.col("_fact_rows"))
+        rows = rows.join(fact_rows, U).withColumn("fri_count", F.col("friend_count") * F.col("_fact_rows"))
     else:
-        users = users.withColumn("fri_count", F.col("friend_count"))
+        rows = rows.withColumn("fri_count", F.col("friend_count"))
 
     rows = (
-        users.join(feats.groups, E)
+        rows.join(feats.groups, E)
         .join(feats.events, E)
         .join(feats.event_status, E, "left")
         .withColumn("invite_days", F.coalesce(days_between("starttime", "times"), F.lit(0)))
     )
-
-    friends_on_event = friend_status_counts(pairs, feats.edges, feats.attendance, FRIEND_STATUS)
-    rows = rows.join(friends_on_event, [U, E], "left").fillna(0, subset=list(FRIEND_STATUS))
     rows = with_friend_ratios(rows)
-
     if mode == "intended":
-        rows = has_edge(rows, feats.edges, "host", U, "creator_is_friend").withColumn(
-            "location_similar", same_place("location", "city", "state", "country")
-        )
+        rows = rows.withColumn("location_similar", same_place("location", "city", "state", "country"))
     else:
-        rows = rows.withColumns({"creator_is_friend": F.lit(1), "location_similar": F.lit(0)})
+        rows = rows.withColumn("location_similar", F.lit(0))
 
     renamed = {
         "user_id": F.col(U),

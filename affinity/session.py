@@ -14,6 +14,15 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce shuffle partitions down to this size at least, not the 1 MB default: joins
+    # that expand rows (friend candidates) are sized by their small inputs, and merging
+    # those into a handful of partitions leaves the expansion to a few tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
+    # Runtime (exact, post-shuffle) size checks for join strategy: broadcast a join side
+    # only when its materialised stage is below this size ...
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # ... and hash-join instead of sort when every partition of the build side is below this.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Calendar features are defined in UTC (day of week of a ...Z start time).
     "spark.sql.session.timeZone": "UTC",
 }

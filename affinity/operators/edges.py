@@ -64,6 +64,11 @@ def friend_status_counts(
     user_deg = edge_n.groupBy("userid").agg(F.count(F.lit(1)).alias("user_deg"))
     event_deg = attend_n.groupBy("eventid").agg(F.count(F.lit(1)).alias("event_deg"))
     keyed = pairs.select("userid", "eventid").join(user_deg, "userid").join(event_deg, "eventid")
+    # The expansion multiplies rows, so its task count must not follow the (small) size of
+    # the pair keys that AQE coalesces by: spread the keys over the configured shuffle
+    # parallelism first. Pairs are unique, so this split has no hot key.
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = keyed.repartition(parts, "userid", "eventid")
 
     via_user = (
         keyed.filter(F.col("user_deg") <= F.col("event_deg"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Optional, Sequence
+from typing import Mapping, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,26 +46,58 @@ def order_index(
     )
 
 
-def popularity_rank(
+def popularity_ranks(
     events: DataFrame,
-    key: str,
-    level_name: str,
+    levels: Mapping[str, str],
     counted: str = "eventid",
     mode: str = "intended",
-) -> DataFrame:
-    """Rank places by their number of events: (key, event_cnt, level_name).
+) -> dict[str, DataFrame]:
+    """Rank places by their number of events, for each `key -> level name` in `levels`.
 
-    intended: 1 = the place with most events, ties broken by place name; NULL places are
-    not ranked. reference: the rank is taken inside each place's own partition, which
-    makes it 1 for every place.
+    Returns {key: (key, event_cnt, level)}. intended: 1 = the place with most events,
+    ties broken by place name; NULL places are not ranked. reference: the rank is taken
+    inside each place's own partition, which makes it 1 for every place.
+
+    All keys are ranked in one pass: the per-key count tables are stacked with the key
+    name, positioned once under (key name, count desc, place), and each key's positions
+    are shifted to start at 1 (the shift table has one row per key).
     """
     check_mode(mode)
-    counts = events.groupBy(key).agg(F.count(counted).alias("event_cnt"))
+    counts = {
+        key: events.groupBy(key).agg(F.count(counted).alias("event_cnt")) for key in levels
+    }
     if mode == "reference":
-        return counts.withColumn(level_name, F.lit(1))
+        return {key: df.withColumn(levels[key], F.lit(1)) for key, df in counts.items()}
+    stacked = None
+    for key, df in counts.items():
+        part = df.filter(F.col(key).isNotNull()).select(
+            F.lit(key).alias("_kind"), F.col(key).cast("string").alias("_place"), "event_cnt"
+        )
+        stacked = part if stacked is None else stacked.unionByName(part)
     ranked = order_index(
-        counts.filter(F.col(key).isNotNull()),
-        [F.col("event_cnt").desc(), F.col(key).asc()],
-        name="_level",
+        stacked,
+        [F.col("_kind").asc(), F.col("event_cnt").desc(), F.col("_place").asc()],
+        name="_pos",
+    )
+    first = ranked.groupBy("_kind").agg(F.min("_pos").alias("_first"))
+    ranked = ranked.join(F.broadcast(first), "_kind").withColumn(
+        "_level", (F.col("_pos") - F.col("_first") + 1).cast("int")
     )
-    return ranked.select(key, "event_cnt", F.col("_level").cast("int").alias(level_name))
+    out = {}
+    for key, level in levels.items():
+        place_type = events.schema[key].dataType
+        out[key] = ranked.filter(F.col("_kind") == key).select(
+            F.col("_place").cast(place_type).alias(key), "event_cnt", F.col("_level").alias(level)
+        )
+    return out
+
+
+def popularity_rank(
+    events: DataFrame,
+    key: str,
+    level_name: str,
+    counted: str = "eventid",
+    mode: str = "intended",
+) -> DataFrame:
+    """(key, event_cnt, level_name) for one place column; see `popularity_ranks`."""
+    return popularity_ranks(events, {key: level_name}, counted, mode)[key]

@@ -32,7 +32,7 @@ from affinity.operators.edges import (
 )
 from affinity.operators.latest import latest_per_key
 from affinity.operators.pivot import status_pivot
-from affinity.operators.rank import popularity_rank
+from affinity.operators.rank import popularity_ranks
 from affinity.operators.scale import min_max_scale
 from affinity.schemas import EVENT_STATUS, FRIEND_STATUS, USER_STATUS, Dims, check_mode
 
@@ -132,9 +132,11 @@ def geo_scale(events: DataFrame, scope: Optional[DataFrame] = None) -> DataFrame
 def event_profile(events: DataFrame, mode: str = "intended") -> DataFrame:
     """Event-grain block: host, place, start time, calendar parts, popularity levels, scaled location."""
     check_mode(mode)
-    cities = popularity_rank(events, "city", "city_level", mode=mode).select("city", "city_level")
-    countries = popularity_rank(events, "country", "country_level", mode=mode).select("country", "country_level")
-    base = events.select(
+    ranks = popularity_ranks(events, {"city": "city_level", "country": "country_level"}, mode=mode)
+    cities = ranks["city"].select("city", "city_level")
+    countries = ranks["country"].select("country", "country_level")
+    scaled = min_max_scale(events, {"lat_prec": "lat", "lng_prec": "lng"})
+    base = scaled.select(
         E,
         F.col(U).alias("host"),
         "starttime",
@@ -144,27 +146,30 @@ def event_profile(events: DataFrame, mode: str = "intended") -> DataFrame:
         event_month("starttime").alias("event_month"),
         iso_day_of_week("starttime").alias("event_dayofweek"),
         clock_text("starttime").alias("event_hour"),
+        "lat_prec",
+        "lng_prec",
     )
-    scaled = geo_scale(events)
-    return (
-        base.join(cities, "city", "left")
-        .join(countries, "country", "left")
-        .join(scaled, E, "left")
-    )
+    # The level tables have one row per place: small next to the events.
+    return base.join(cities, "city", "left").join(countries, "country", "left")
 
 
 @dataclass(frozen=True)
 class DimFeatures:
-    """Dimension-side blocks of the wide table, each at one grain."""
-
-    customers: DataFrame        # userid grain, inner
-    history: DataFrame          # userid grain, left
-    friends: DataFrame          # userid grain, left
-    groups: DataFrame           # eventid grain, inner
-    events: DataFrame           # eventid grain, inner
-    event_status: DataFrame     # eventid grain, left
+    """Dimension-side blocks of the wide table, pre-joined by grain.
+
+    users:  customers ⟕ history ⟕ friend totals, one row per customer (joined inner)
+    events: groups ⋈ events ⟕ whole-event status counts, one row per grouped event
+            (joined inner)
+    edges, attendance: the inputs of the friends-on-event match.
+
+    The blocks of one grain are joined with each other while they are small, so the fact
+    side is joined once per grain instead of once per block.
+    """
+
+    users: DataFrame            # userid grain
+    events: DataFrame           # eventid grain
     edges: DataFrame            # (userid, friendid, edge_n)
-    attendance: DataFrame       # (eventid, friendid, status, attend_n)
+    attendance: DataFrame       # (eventid, friendid, <friend status counts>)
 
     def frames(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
@@ -186,15 +191,28 @@ class DimFeatures:
             df.unpersist()
 
 
+def user_block(dims: Dims, as_of=None, mode: str = "intended") -> DataFrame:
+    return (
+        customer_features(dims.customers, as_of, mode)
+        .join(attendance_history(dims.event_attendees), U, "left")
+        .join(friend_totals(dims.user_friends), U, "left")
+        .fillna(0, subset=[*USER_STATUS, "friend_count"])
+    )
+
+
+def event_block(dims: Dims, mode: str = "intended") -> DataFrame:
+    return (
+        group_size_features(dims.event_groups)
+        .join(event_profile(dims.events, mode), E)
+        .join(event_attendance(dims.event_attendees), E, "left")
+    )
+
+
 def dim_features(dims: Dims, as_of=None, mode: str = "intended") -> DimFeatures:
     check_mode(mode)
     return DimFeatures(
-        customers=customer_features(dims.customers, as_of, mode),
-        history=attendance_history(dims.event_attendees),
-        friends=friend_totals(dims.user_friends),
-        groups=group_size_features(dims.event_groups),
-        events=event_profile(dims.events, mode),
-        event_status=event_attendance(dims.event_attendees),
+        users=user_block(dims, as_of, mode),
+        events=event_block(dims, mode),
         edges=edge_multiplicity(dims.user_friends),
         attendance=attendance_multiplicity(dims.event_attendees, FRIEND_STATUS),
     )

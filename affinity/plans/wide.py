@@ -37,8 +37,8 @@ def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -
 
     Order: the pair-grain blocks (friends on the event, host edge) are computed on the
     narrow pair keys and joined first, on (userid, eventid) — the partitioning the
-    de-duplicated fact already has. The wide rows are then shuffled once by userid for
-    all user-grain blocks and once by eventid for all event-grain blocks.
+    de-duplicated fact already has. The rows are then joined once with the pre-joined
+    user block (on userid) and once with the pre-joined event block (on eventid).
     """
     check_mode(mode)
     pairs = fact.select(U, E, "invited", "times")
@@ -50,23 +50,15 @@ def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -
     else:
         rows = rows.withColumn("creator_is_friend", F.lit(1))
 
-    rows = (
-        rows.join(feats.customers, U)
-        .join(feats.history, U, "left")
-        .join(feats.friends, U, "left")
-        .fillna(0, subset=[*USER_STATUS, "friend_count"])
-    )
+    rows = rows.join(feats.users, U)
     if mode == "reference":
         fact_rows = pairs.groupBy(U).agg(F.count(F.lit(1)).alias("_fact_rows"))
         rows = rows.join(fact_rows, U).withColumn("fri_count", F.col("friend_count") * F.col("_fact_rows"))
     else:
         rows = rows.withColumn("fri_count", F.col("friend_count"))
 
-    rows = (
-        rows.join(feats.groups, E)
-        .join(feats.events, E)
-        .join(feats.event_status, E, "left")
-        .withColumn("invite_days", F.coalesce(days_between("starttime", "times"), F.lit(0)))
+    rows = rows.join(feats.events, E).withColumn(
+        "invite_days", F.coalesce(days_between("starttime", "times"), F.lit(0))
     )
     rows = with_friend_ratios(rows)
     if mode == "intended":
@@ -97,4 +89,3 @@ def build_wide(
     return assemble_wide(pairs, feats if feats is not None else dim_features(dims, as_of, mode), mode)
 
 
-__all__ = ["assemble_wide", "build_wide", "FRIEND_RATIOS", "EVENT_STATUS"]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.expressions import (
     age_at,
+    as_date,
     clock_text,
     days_between,
     event_month,
@@ -140,6 +141,7 @@ def event_profile(events: DataFrame, mode: str = "intended") -> DataFrame:
         E,
         F.col(U).alias("host"),
         "starttime",
+        as_date("starttime").alias("start_date"),
         "city",
         "state",
         "country",

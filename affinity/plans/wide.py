@@ -58,7 +58,8 @@ def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -
         rows = rows.withColumn("fri_count", F.col("friend_count"))
 
     rows = rows.join(feats.events, E).withColumn(
-        "invite_days", F.coalesce(days_between("starttime", "times"), F.lit(0))
+        # start_date is cast once per event in the event block
+        "invite_days", F.coalesce(days_between("start_date", "times"), F.lit(0))
     )
     rows = with_friend_ratios(rows)
     if mode == "intended":

@@ -188,7 +188,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> AnalogData:
     base = scratch_path(spark, "analog")
     frames = {"fact": lazy.fact, **{k: v for k, v in lazy.dims.frames().items() if k != "locales"}}
     out = {}
-    files = 2 * spark.sparkContext.defaultParallelism
+    files = int(os.environ.get("AFFINITY_ANALOG_FILES", 2 * spark.sparkContext.defaultParallelism))
     for name, df in frames.items():
         path = f"{base}/{name}"
         # Enough files that every scan of the table runs in parallel.

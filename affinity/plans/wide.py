@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from affinity.functions.expressions import days_between, same_place
 from affinity.operators.edges import friend_status_counts, has_edge
 from affinity.plans.features import (
-    FRIEND_RATIOS,
     DimFeatures,
     dedup_fact,
     dim_features,
     with_friend_ratios,
 )
-from affinity.schemas import EVENT_STATUS, FRIEND_STATUS, USER_STATUS, WIDE_COLUMNS, Dims, check_mode
+from affinity.schemas import FRIEND_STATUS, WIDE_COLUMNS, Dims, check_mode
 
 U, E = "userid", "eventid"
 

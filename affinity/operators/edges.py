@@ -24,11 +24,16 @@ def attendance_multiplicity(
     attendance: DataFrame, statuses: Mapping[str, str], event: str = "eventid", person: str = "userid"
 ) -> DataFrame:
     """(eventid, friendid, <one count per output>): attendance rows per (event, person) and
-    status, one row per (event, person) that has a listed status."""
-    wanted = list(dict.fromkeys(statuses.values()))
+    status, one row per (event, person) pair that has any attendance row (NULL keys and
+    unlisted statuses included, with zero counts).
+
+    Kept unfiltered so that the per-user history and the per-event status counts can be
+    summed from it exactly (one scan and one shuffle of the attendance table for all three
+    uses); the equi-joins of the friend match drop the NULL keys by themselves.
+    """
     rows = attendance.select(
         F.col(event).alias("eventid"), F.col(person).alias("friendid"), F.col("status")
-    ).filter(F.col("eventid").isNotNull() & F.col("friendid").isNotNull() & F.col("status").isin(wanted))
+    )
     return status_pivot(rows, ["eventid", "friendid"], statuses)
 
 

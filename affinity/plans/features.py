@@ -193,30 +193,59 @@ class DimFeatures:
             df.unpersist()
 
 
-def user_block(dims: Dims, as_of=None, mode: str = "intended") -> DataFrame:
+def _rollup(pivot: DataFrame, key: str, other: str, outputs: dict[str, str]) -> DataFrame:
+    """Sum the (event, person) attendance pivot up to one key.
+
+    Equals `status_pivot` on the raw rows with `counted=other`: only rows whose `other`
+    column is non-NULL are counted, and every key with any attendance row gets a row.
+    """
+    by_status = {status: col for col, status in FRIEND_STATUS.items()}
+    counted = F.col(other).isNotNull()
+    return pivot.groupBy(F.col(key).alias(U if key == "friendid" else key)).agg(*[
+        F.sum(F.when(counted, F.col(by_status[status])).otherwise(F.lit(0))).cast("long").alias(name)
+        for name, status in outputs.items()
+    ])
+
+
+def history_from_pivot(pivot: DataFrame) -> DataFrame:
+    """A4 from the attendance pivot: (userid, <user status counts>)."""
+    return _rollup(pivot, "friendid", "eventid", USER_STATUS)
+
+
+def event_status_from_pivot(pivot: DataFrame) -> DataFrame:
+    """A6 from the attendance pivot: (eventid, <whole-event status counts>)."""
+    return _rollup(pivot, "eventid", "friendid", EVENT_STATUS)
+
+
+def user_block(dims: Dims, as_of=None, mode: str = "intended", pivot: Optional[DataFrame] = None) -> DataFrame:
+    history = attendance_history(dims.event_attendees) if pivot is None else history_from_pivot(pivot)
     return (
         customer_features(dims.customers, as_of, mode)
-        .join(attendance_history(dims.event_attendees), U, "left")
+        .join(history, U, "left")
         .join(friend_totals(dims.user_friends), U, "left")
         .fillna(0, subset=[*USER_STATUS, "friend_count"])
     )
 
 
-def event_block(dims: Dims, mode: str = "intended") -> DataFrame:
+def event_block(dims: Dims, mode: str = "intended", pivot: Optional[DataFrame] = None) -> DataFrame:
+    status = event_attendance(dims.event_attendees) if pivot is None else event_status_from_pivot(pivot)
     return (
         group_size_features(dims.event_groups)
         .join(event_profile(dims.events, mode), E)
-        .join(event_attendance(dims.event_attendees), E, "left")
+        .join(status, E, "left")
     )
 
 
 def dim_features(dims: Dims, as_of=None, mode: str = "intended") -> DimFeatures:
+    """All dimension blocks. The attendance table is pivoted once per (event, person); the
+    user history, the whole-event counts and the friend match all read that pivot."""
     check_mode(mode)
+    pivot = attendance_multiplicity(dims.event_attendees, FRIEND_STATUS)
     return DimFeatures(
-        users=user_block(dims, as_of, mode),
-        events=event_block(dims, mode),
+        users=user_block(dims, as_of, mode, pivot),
+        events=event_block(dims, mode, pivot),
         edges=edge_multiplicity(dims.user_friends),
-        attendance=attendance_multiplicity(dims.event_attendees, FRIEND_STATUS),
+        attendance=pivot,
     )
 
 

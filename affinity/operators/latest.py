@@ -20,10 +20,10 @@ def latest_per_key(
     (NULLS LAST for descending, NULLS FIRST for ascending), with the remaining columns as
     the final tie-break so the result is deterministic.
 
-    Written as a hash aggregate of `max(struct(order..., rest...))` instead of a window:
-    the partial aggregate collapses each key map-side before the shuffle, so a key that
-    holds a large share of the rows costs one row per input partition, and no sort of a
-    whole key group happens in one task.
+    Written as an aggregate of `max(struct(order..., rest...))` instead of a window (Spark
+    runs it sort-based, as the buffer is a struct): the partial aggregate collapses each
+    key map-side before the shuffle, so a key that holds a large share of the rows reaches
+    its final task as one row per input partition, never as the whole key group.
     """
     keys = list(keys)
     order = list(order_by)

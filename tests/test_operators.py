@@ -230,3 +230,17 @@ def test_rollups_from_attendance_pivot_match_direct_aggregates(spark):
         cols = direct.columns
         assert direct.exceptAll(derived.select(cols)).isEmpty()
         assert derived.select(cols).exceptAll(direct).isEmpty()
+
+
+def test_popularity_rank_hot_tie_group(spark):
+    # 3000 places share the count 1 (one hot tie group) next to a few popular ones.
+    rows = [(f"ev{i}", f"p{i:05d}") for i in range(3000)]
+    rows += [(f"hot{i}-{j}", f"top{i}") for i in range(5) for j in range(2 + i)]
+    ev = spark.createDataFrame(rows, "eventid string, city string")
+    got = popularity_rank(ev, "city", "city_level")
+    counts = ev.groupBy("city").agg(F.count("eventid").alias("event_cnt"))
+    want = counts.withColumn(
+        "city_level", F.row_number().over(Window.orderBy(F.desc("event_cnt"), F.asc("city"))).cast("int")
+    )
+    assert got.exceptAll(want.select(got.columns)).isEmpty()
+    assert got.count() == 3005

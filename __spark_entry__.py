@@ -31,6 +31,14 @@ from affinity.sources import analog
 from affinity.sources.fact import parse_payload, read_wide_csv, to_payload
 from affinity.streaming import BatchSinks, payload_stream, run_stream
 
+# The training-data operators and the corpus pipeline are optional: without their folders
+# every other query still works.
+try:
+    import corpus_pipeline
+    from affinity.llm import contract as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # The event types of the `events` test table, pivoted by the type pivot.
@@ -252,6 +260,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_wide(spark, SMOKE_DIR)
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {} if llm is None else {**llm.queries(), "pipeline": corpus_pipeline.run}
+
+
+def _llm_oracles() -> dict[str, str]:
+    if llm is None:
+        return {}
+    pipeline = corpus_pipeline.ORACLE_SQL
+    return {**llm.oracle_sql(), **({"pipeline": pipeline} if pipeline else {})}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "latest_per_key": q_latest_per_key,
@@ -283,6 +302,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_wide": q_stream_wide,
         "csv_round_trip": q_csv_round_trip,
         "score": q_score,
+        **_llm_queries(),
     }
 
 
@@ -366,4 +386,5 @@ FROM a_fact f LEFT JOIN est ON f.eventid = est.eventid LEFT JOIN ev ON f.eventid
         "csv_round_trip": O.wide_sql("intended"),
         "payload_parse": w() + """SELECT CAST(userid AS VARCHAR) AS userid, CAST(eventid AS VARCHAR) AS eventid,
   invited, CAST(times AS VARCHAR) AS times FROM a_fact0""",
+        **_llm_oracles(),
     }

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it. On a cluster
+    the package is deployed with the job (--py-files), and this adds nothing."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])
+
+
+def in_arrow(df: DataFrame, task: Callable, schema: str) -> DataFrame:
+    """`df.mapInArrow`, with this package importable in the task."""
+    importable(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared checkpoint folder and read it back: cuts the lineage and
     survives lost executors."""

@@ -16,6 +16,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinity.llm.common import in_arrow
+
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
 PENALTY = 3.0  # log-likelihood a further language must gain, times log(trigrams)
@@ -59,7 +61,7 @@ def fit(training: DataFrame) -> Model:
     The driver receives at most BUCKETS counts a language, whatever the input's size."""
     rows = training.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     counts = (
-        rows.mapInArrow(_count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        in_arrow(rows, _count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ).toPandas()
     langs = sorted(counts["lang"].unique())
     table = np.full((len(langs), BUCKETS), SMOOTHING)
@@ -133,8 +135,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     predicted each; empty tables give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _predictor(shared), "doc_id long, lang_pred string, score double, languages array<string>"
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return in_arrow(
+        docs, _predictor(shared), "doc_id long, lang_pred string, score double, languages array<string>"
     )
 
 

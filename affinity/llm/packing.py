@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinity.llm.common import in_arrow
+
 END_ID = 1  # fixed value: the id after every document
 GROUP_DOCS = 4096  # documents whose pieces are packed together, on average
 SEQUENCE_BITS = 32  # of a sequence id, below the group's number
@@ -160,7 +162,7 @@ def pieces(docs: DataFrame, tokenizer: tuple, window: int = 2048) -> DataFrame:
     """Every document's token ids (END_ID last) cut at multiples of `window`: doc_id, start,
     length, doc_tokens, ids (little-endian unsigned 32-bit), row (its number in the task)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_cut(tokenizer, window), PIECES)
+    return in_arrow(docs, _cut(tokenizer, window), PIECES)
 
 
 def pack_documents(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.llm import kernels as K
+from affinity.llm.common import in_arrow
 
 REACH = 16  # chunks have more than this many bytes (but for a text's first and last)
 MIN_BYTES = 150  # of a passage that is reported
@@ -97,7 +98,7 @@ def _chunk(batches):
 def chunks(docs: DataFrame) -> DataFrame:
     """Every chunk of every text: doc_id, start and length in bytes, digest (d1, d2)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_chunk, CHUNKS)
+    return in_arrow(docs, _chunk, CHUNKS)
 
 
 def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm.common import BROADCAST_ROWS, written
+from affinity.llm.common import BROADCAST_ROWS, in_arrow, written
 
 MIN_REVISIT_BYTES = 100  # fixed value of the contract: smaller payloads are always responses
 FILE_BYTES = 16 << 20  # target size of an archive file
@@ -221,7 +221,7 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
     quarantined byte range. Payload digests are recomputed from the bytes read; a revisit's
     are those of the payload that it refers to. An empty folder gives no rows."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(_reader(with_payload), READ)
+    return in_arrow(files, _reader(with_payload), READ)
 
 
 def archived_pages(records: DataFrame) -> DataFrame:

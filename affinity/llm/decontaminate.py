@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm import kernels as K
-from affinity.llm.common import without_ids
+from affinity.llm.common import in_arrow, without_ids
 
 SPAN = 10
-MASKS = ("1110010011", "1101001011", "1010110101", "1011101000")  # 1: the position is hashed
+MASKS = ("1110010011", "1101001011", "1010110101", "1100111010")  # 1: the position is hashed
 MIN_WORDS = 10  # words that must agree (or the whole item, if it is shorter)
 MIN_SHARE = 0.75  # of the overlap's words, at least, must agree
 BLOCK = 8 << 20  # bytes of benchmark text that one pass over the documents holds
@@ -160,7 +160,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = None
     for b in range(n_blocks):
         held = [(r["item_id"], r["text"]) for r in items.where(block == b).collect()]  # about BLOCK bytes
-        part = docs.mapInArrow(_search(docs.sparkSession.sparkContext.broadcast(Index(held))), OVERLAPS)
+        part = in_arrow(docs, _search(docs.sparkSession.sparkContext.broadcast(Index(held))), OVERLAPS)
         found = part if found is None else found.unionByName(part)
     return found
 

@@ -3,12 +3,16 @@
 1. One Arrow pass per text: its set of word shingles as 64-bit hashes, `PERMUTATIONS`
    minima, band keys from the full minima, and the low `BITS` bits of every minimum packed
    into bit planes (the b-bit signature). Texts with equal sets become one class.
-2. Candidates come from bands. A band bucket is never expanded into all its pairs: in each
-   round its members are paired with a few pivots only, pivots leave the bucket, and the
-   bucket is done when all members left are in one component. Every pair of a bucket that
-   could still join two components is compared in some round, so large buckets lose nothing.
-3. Candidates are pruned by the collision-corrected similarity of the signatures (six
-   standard errors below the threshold) and confirmed on the full sets.
+2. Candidates come from bands. A band bucket is never expanded into all its pairs: first
+   every member is paired with the smallest one. Buckets whose members are then in one
+   component are done. In the others, members outside the largest component become pivots,
+   up to `PIVOTS` a round; they are compared with the members of other components by
+   signature inside the join, and leave the bucket. Texts with too many shingles of their
+   own to reach the threshold with any text there leave it first. Every pair of a bucket that could still
+   join two components is compared in some round, so large buckets lose nothing.
+3. Candidates are pruned by the collision-corrected similarity of the signatures (at a
+   margin that loses a pair at the threshold with the chance `MISS`) and confirmed on the
+   full sets.
 4. Links give connected components, labelled by the smallest doc_id.
 """
 
@@ -16,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm import kernels as K
-from affinity.llm.common import broadcast_if_small, without_ids, written
+from affinity.llm.common import broadcast_if_small, in_arrow, without_ids, written
 from affinity.llm.components import components
 
 PERMUTATIONS = 252
 WORDS_64 = 4  # 64-bit words a bit plane takes (256 bits for 252 minima)
 BITS = 4
-MISS = 1e-5  # chance that a pair at the threshold shares no band, at most
-PIVOTS = 16  # pivots of a bucket in each round after the first
+MISS = 1e-5  # chance that a pair at the threshold shares no band, or is pruned, at most
+CELLS = 8192  # hash cells of a text's shingles, for an upper bound of what two texts share
+PIVOTS = 512  # pivots of a bucket in each round after the first
 
 FEATURES = "doc_id long, n_shingles long, digest binary, signature array<long>, bands array<long>"
 
@@ -97,6 +103,89 @@ def _confirm(words: int, percent: int):
     return run
 
 
+def _sets(words: int):
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            texts = [t.lower() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            for lo, hi in K.blocks(texts):
+                sets = K.Words(texts[lo:hi], K.SPACES).shingles(words)
+                owner = np.repeat(np.array(ids[lo:hi], dtype=np.int64), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(owner), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "shingle"]
+                )
+
+    return run
+
+
+def _cells(words: int):
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("doc_id")
+            texts = [t.lower() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            for lo, hi in K.blocks(texts):
+                cells, extra = [], []
+                for x in K.Words(texts[lo:hi], K.SPACES).shingles(words):
+                    taken = np.zeros(CELLS, dtype=np.uint8)
+                    taken[(x & np.uint64(CELLS - 1)).astype(np.int64)] = 1
+                    cells.append(np.packbits(taken).view(np.int64))
+                    extra.append(len(x) - int(taken.sum()))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(lo, hi - lo), pa.array(cells, pa.list_(pa.int64())), pa.array(extra, pa.int64())],
+                    names=["id", "cells", "extra"],
+                )
+
+    return run
+
+
+def _traits(docs: DataFrame, ids: DataFrame, reps: DataFrame, words: int) -> DataFrame:
+    """What bounds the similarity of the given documents among themselves: `shared`, how many
+    of their shingles some other of them has, and `cells`, which of CELLS cells their
+    shingles hash to, with `extra`, the shingles that share a cell. Ids with several texts
+    have no such bounds."""
+    texts = _texts(docs, ids.select(F.col("id").alias("doc_id")))
+    single = texts.groupBy("doc_id").agg(F.count("*").alias("c")).where("c = 1").select(F.col("doc_id").alias("id"))
+    lone = (
+        in_arrow(texts, _sets(words), "id long, shingle long")
+        .groupBy("shingle")
+        .agg(F.min("id").alias("id"), F.max("id").alias("last"))
+        .where("id = last")
+        .groupBy("id")
+        .agg(F.count("*").alias("own"))
+    )
+    cells = in_arrow(texts, _cells(words), "id long, cells array<long>, extra long").join(single, "id")
+    return written(
+        reps.join(ids.select("id").distinct(), "id", "left_semi")
+        .join(cells, "id", "left")
+        .join(lone.join(single, "id"), "id", "left")
+        .select("id", "signature", "bands", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"), "cells", "extra"),
+        "near-traits",
+    )
+
+
+def _could_link(percent: int, n_bands: int) -> Column:
+    """Whether a bucket's member and pivot could be similar enough, from their traits: two
+    exact bounds, the pruning estimate, and the first band that both share (a pair that
+    shares several buckets is compared in one)."""
+    most = F.least("shared", "p_shared")
+    common = F.aggregate(
+        F.zip_with("cells", "p_cells", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda a, x: a + x
+    ) + F.least("extra", "p_extra")
+
+    def enough(c: Column) -> Column:
+        return 100 * c >= percent * (F.col("n") + F.col("p_n") - c)
+
+    band = [(F.col("bands").getItem(i), F.col("p_bands").getItem(i)) for i in range(n_bands)]
+    first_shared = F.coalesce(*(F.when(x == y, x) for x, y in band))
+    return (
+        (F.col("label") != F.col("pivot_label"))
+        & enough(most)
+        & _alike("signature", "p_signature", percent)
+        & (first_shared == F.col("bucket"))
+        & F.coalesce(enough(common), F.lit(True))
+    )
+
+
 def estimated_similarity(a: Column, b: Column) -> Column:
     """Similarity from two packed signatures: equal b-bit values, less chance collisions."""
     differing = None
@@ -112,37 +201,69 @@ def estimated_similarity(a: Column, b: Column) -> Column:
 
 
 def prune_below(threshold: float) -> float:
-    """Six standard errors of the estimate below the threshold."""
+    """The estimate that a pair at the threshold falls short of with the chance MISS."""
     chance = 2.0**-BITS
     p = threshold + (1 - threshold) * chance
-    return threshold - 6 * math.sqrt(p * (1 - p) / PERMUTATIONS) / (1 - chance)
+    error = math.sqrt(p * (1 - p) / PERMUTATIONS) / (1 - chance)
+    return threshold - NormalDist().inv_cdf(1 - MISS) * error
 
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough on their full sets."""
-    sig = reps.select("id", "signature")
-    pruned = written(
-        pairs.join(sig.withColumnsRenamed({"id": "a", "signature": "sa"}), "a")
-        .join(sig.withColumnsRenamed({"id": "b", "signature": "sb"}), "b")
-        .where(estimated_similarity(F.col("sa"), F.col("sb")) >= prune_below(percent / 100))
-        .select("a", "b"),
-        "near-candidates",
-    )
-    ids = written(
-        pruned.select(F.col("a").alias("doc_id")).unionByName(pruned.select(F.col("b").alias("doc_id"))).distinct(),
-        "near-ids",
-    )
-    texts = written(docs.join(broadcast_if_small(ids), "doc_id", "left_semi").distinct(), "near-texts")
-    both = pruned.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").join(
+def _alike(a: str, b: str, percent: int) -> Column:
+    return estimated_similarity(F.col(a), F.col(b)) >= prune_below(percent / 100)
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The different (doc_id, text) of the given doc_ids."""
+    ids = written(ids.distinct(), "near-ids")
+    return written(docs.join(broadcast_if_small(ids), "doc_id", "left_semi").distinct(), "near-texts")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b), a written table, that are similar enough on their full sets."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    texts = _texts(docs, ids)
+    both = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a").join(
         texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b"
     )
-    return written(both.select("a", "b", "ta", "tb").mapInArrow(_confirm(words, percent), "a long, b long"), "near-links")
+    return written(
+        in_arrow(both.select("a", "b", "ta", "tb"), _confirm(words, percent), "a long, b long"), "near-links"
+    )
 
 
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _open(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, id, label) of the buckets whose members are in two components or more."""
+    named = live.join(labels, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("label"))
+    mixed = (
+        named.groupBy("bucket")
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        .where("lo < hi")
+        .select("bucket")
+    )
+    return written(named.join(mixed, "bucket"), "near-open")
+
+
+def _pivots(open_: DataFrame, salt: int) -> DataFrame:
+    """(bucket, pivot, pivot_label): up to PIVOTS members outside a bucket's largest component."""
+    largest = (
+        open_.groupBy("bucket", "label")
+        .agg(F.count("*").alias("n"))
+        .groupBy("bucket")
+        .agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
+    )
+    return written(
+        open_.join(largest, "bucket")
+        .where("label <> largest")
+        .groupBy("bucket", F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(PIVOTS)).alias("part"))
+        .agg(F.min("id").alias("pivot"), F.min_by("label", "id").alias("pivot_label"))
+        .drop("part"),
+        "near-pivots",
+    )
+
+
 def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text).
 
@@ -154,11 +275,16 @@ def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows_per_band(percent / 100)
-    feats = written(docs.mapInArrow(_features(words, rows), FEATURES), "near-features")
+    feats = written(in_arrow(docs, _features(words, rows), FEATURES), "near-features")
     reps = written(
         feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.first("bands").alias("bands")),
+        .agg(
+            F.min("doc_id").alias("id"),
+            F.first("n_shingles").alias("n"),
+            F.first("signature").alias("signature"),
+            F.first("bands").alias("bands"),
+        ),
         "near-classes",
     )
     members = reps.select(F.explode("bands").alias("bucket"), "id")
@@ -166,45 +292,46 @@ def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     live = written(
         members.join(shared.select("bucket", "pivot"), "bucket").where("id <> pivot"), "near-buckets"
     )
-    seen = written(live.select(*_pair("pivot", "id")).distinct(), "near-pairs")
-    edges = _links(seen, reps, docs, words, percent)
-    labels = components(edges, "near-components")
-    live = live.drop("pivot")
-    while True:
-        named = live.join(labels, "id", "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("label")
-        )
-        mixed = (
-            named.groupBy("bucket")
-            .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-            .where("lo < hi")
-            .select("bucket")
-        )
-        open_ = written(named.join(mixed, "bucket"), "near-open")
-        if open_.isEmpty():
-            break
-        pivots = (
-            open_.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(PIVOTS)).alias("part"))
-            .agg(F.min("id").alias("pivot"), F.min_by("label", "id").alias("pivot_label"))
-            .drop("part")
-        )
+    sig = reps.select("id", "signature")
+    seen = written(
+        live.select(*_pair("pivot", "id"))
+        .distinct()
+        .join(sig.withColumnsRenamed({"id": "a", "signature": "sa"}), "a")
+        .join(sig.withColumnsRenamed({"id": "b", "signature": "sb"}), "b")
+        .where(_alike("sa", "sb", percent))
+        .select("a", "b"),
+        "near-pairs",
+    )
+    edges = _links(seen, docs, words, percent)
+    labels = written(components(edges, "near-components"), "near-labels")
+    open_ = _open(live.drop("pivot"), labels)
+    traits = _traits(docs, open_, reps, words)
+    # No text can share more with another than its shingles that some other text here has.
+    hopeful = traits.where(100 * F.col("shared") >= percent * F.col("n")).select("id")
+    open_ = _open(open_.join(hopeful, "id", "left_semi").select("bucket", "id"), labels)
+    rounds = 0
+    while not open_.isEmpty():
+        pivots = _pivots(open_, rounds)
+        of_pivot = traits.select(*(F.col(c).alias(f"p_{c}") for c in traits.columns))
         pairs = written(
-            open_.join(pivots, "bucket")
-            .where("id <> pivot AND label <> pivot_label")
+            open_.join(traits, "id")
+            .join(pivots.join(of_pivot, F.col("pivot") == F.col("p_id")), "bucket")
+            .where(_could_link(percent, PERMUTATIONS // rows))
             .select(*_pair("pivot", "id"))
             .distinct()
             .join(seen, ["a", "b"], "left_anti"),
             "near-pairs",
         )
-        edges = edges.unionByName(_links(pairs, reps, docs, words, percent))
+        links = _links(pairs, docs, words, percent)
         seen = seen.unionByName(pairs)
-        labels = components(edges, "near-components")
-        live = written(
-            open_.select("bucket", "id").join(
-                pivots.select("bucket", F.col("pivot").alias("id")), ["bucket", "id"], "left_anti"
-            ),
-            "near-buckets",
+        if not links.isEmpty():
+            edges = edges.unionByName(links)
+            labels = written(components(edges, "near-components"), "near-labels")
+        left = open_.select("bucket", "id").join(
+            pivots.select("bucket", F.col("pivot").alias("id")), ["bucket", "id"], "left_anti"
         )
+        open_ = _open(left, labels)
+        rounds += 1
     classes = reps.select("digest", "id").join(labels, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
     )

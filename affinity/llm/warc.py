@@ -24,6 +24,7 @@ MIN_REVISIT_BYTES = 100  # fixed value of the contract: smaller payloads are alw
 FILE_BYTES = 16 << 20  # target size of an archive file
 END = "\r\n\r\n"
 
+MANDATORY = ("warc-type", "warc-record-id", "content-length")  # fixed value
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
 
 
@@ -105,9 +106,10 @@ _START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 _NUMBER = re.compile(r"\d+")
 
 
-def _fields(raw: bytes) -> dict:
-    lines = raw.decode("utf-8", "replace").split("\r\n")[1:]
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines) if k}
+def _fields(raw: bytes) -> list[tuple[str, str]]:
+    """(name, value) of the lines after the first; a line without a colon has no name."""
+    parts = (x.rpartition(":") if ":" not in x else x.partition(":") for x in raw.decode("utf-8", "replace").split("\r\n")[1:])
+    return [(k.strip().lower(), v.strip()) for k, _, v in parts]
 
 
 def _parse(data: bytes, at: int) -> Found | str:
@@ -115,7 +117,11 @@ def _parse(data: bytes, at: int) -> Found | str:
     end = data.find(b"\r\n\r\n", at)
     if end < 0:
         return "header not closed"
-    headers = _fields(data[at:end])
+    fields = _fields(data[at:end])
+    headers, names = dict(fields), [k for k, _ in fields]
+    # A header cut off runs into the next record's: a line without a name, or a field twice.
+    if "" in names or any(names.count(k) != 1 for k in MANDATORY):
+        return "malformed header"
     if not _NUMBER.fullmatch(headers.get("content-length", "")):
         return "no content length"
     first, last = end + 4, end + 4 + int(headers["content-length"])
@@ -131,7 +137,7 @@ def _parse(data: bytes, at: int) -> Found | str:
             return "http header not closed"
         payload, size = block[cut + 4 :], len(block) - cut - 4
         if headers.get("warc-type") == "revisit":
-            said = _fields(block[:cut]).get("content-length", "")
+            said = dict(_fields(block[:cut])).get("content-length", "")
             size = int(said) if _NUMBER.fullmatch(said) else 0
     digest = headers.get("warc-payload-digest", "")
     if digest.startswith("sha256:") and headers.get("warc-type") != "revisit":

@@ -1,0 +1,181 @@
+"""WARC, decontamination, licences, URL rules."""
+
+import gzip
+import hashlib
+import random
+
+from affinity.llm import decontaminate as D
+from affinity.llm import licenses, url_filter, warc
+from affinity.llm.contract import RULES
+from tests.llm.cases import DOCS, frame, hostile, sentence
+
+PAGES = "page_id long, url string, html string"
+BIG = "<p>" + "payload " * 40 + "</p>"
+PAGE_ROWS = [
+    (5, "http://a.example.org/x", BIG),
+    (2, "http://b.example.org/y z\r\n", BIG),
+    (9, None, BIG),
+    (1, "http://c.example.org", "short"),
+    (3, "http://c.example.org", "short"),
+    (4, "u", None),
+    (6, "u", ""),
+    (None, "u", "é" * 100),
+    (7, "u", "head\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n" + "x" * 100),
+    (8, "u", "long " * 50_000),
+    (2, "http://b.example.org/y z\r\n", BIG),
+]
+
+
+def test_warc_round_trip(spark, tmp_path):
+    pages = spark.createDataFrame(PAGE_ROWS, PAGES).selectExpr("*", "'x' AS digest", "'y' AS refers_to", "1 AS raw")
+    path = f"file://{tmp_path}/w"
+    warc.write_warc(pages, path)
+    records = warc.read_warc(spark, path)
+    assert records.where("gap IS NOT NULL").count() == 0
+    got = sorted(map(tuple, warc.archived_pages(records).collect()), key=str)
+    want = []
+    for i, _, html in PAGE_ROWS:
+        raw = (html or "").encode()
+        first = 2 if html == BIG and i != 2 else None
+        want.append((i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if first else "response", first))
+    assert got == sorted(want, key=str)
+    payloads = {bytes(r.payload) for r in records.where("record_type = 'response'").collect()}
+    assert payloads == {(h or "").encode() for _, _, h in PAGE_ROWS}
+
+
+def test_warc_empty_table(spark, tmp_path):
+    path = f"file://{tmp_path}/none"
+    warc.write_warc(spark.createDataFrame([], PAGES), path)
+    assert warc.read_warc(spark, path).count() == 0
+
+
+def record(n, body=b"body"):
+    digest = hashlib.sha256(body).hexdigest()
+    head = (
+        f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x-page:{n}>\r\n"
+        f"WARC-Payload-Digest: sha256:{digest}\r\nContent-Length: {len(body)}\r\n\r\n"
+    )
+    return head.encode() + body + b"\r\n\r\n"
+
+
+def salvaged(data):
+    found = list(warc.salvage(data))
+    ids = [f.headers["warc-record-id"] for f in found if not f.gap]
+    return [int(i.split(":")[-1][:-1]) for i in ids], [(f.offset, f.length, f.gap) for f in found if f.gap]
+
+
+def test_salvage_plain_archives():
+    a, b, c = record(1), record(2, b"WARC/1.1\r\n inside"), record(3)
+    assert salvaged(a + b + c) == ([1, 2, 3], [])
+    broken = b.replace(b"inside", b"Inside")  # the digest differs
+    assert salvaged(a + broken + c) == ([1, 3], [(len(a), len(b), "payload digest differs")])
+    assert salvaged(b"junk" + a + c[:-9])[0] == [1]
+    cut = a + b[:30] + c  # a record cut off in its header swallows nothing after it
+    ids, gaps = salvaged(cut)
+    assert ids == [1, 3] and gaps[0][:2] == (len(a), 30)
+    assert salvaged(b"") == ([], []) and salvaged(b"no archive")[1] == [(0, 10, "no version line or member")]
+
+
+def test_salvage_gzip_members():
+    a, b, c = (gzip.compress(record(i)) for i in (1, 2, 3))
+    assert salvaged(a + b + c) == ([1, 2, 3], [])
+    torn = bytearray(b)
+    torn[len(b) // 2] ^= 0xFF
+    ids, gaps = salvaged(a + bytes(torn) + c)
+    assert ids == [1, 3] and gaps[0][:2] == (len(a), len(b))
+    assert salvaged(a + b[:-5])[0] == [1]
+    assert salvaged(a + record(4) + c) == ([1, 4, 3], [])
+
+
+BENCH = "item_id long, text string"
+
+
+def test_overlaps_with_substitutions(spark):
+    rng = random.Random(8)
+    items = [(i, sentence(rng, "en", 30)) for i in range(30)] + [(90, None), (91, ""), (92, "Four odd little words"), (None, None)]
+    rows = hostile()
+    swapped = items[4][1].split()
+    for at in (6, 17, 25):
+        swapped[at] = "other"
+    rows += [
+        (100, sentence(rng, "fr", 50) + " " + items[2][1].upper() + "! " + sentence(rng, "fr", 20), None, None, None),
+        (101, " ".join(swapped), None, None, None),
+        (102, " ".join(items[5][1].split()[:6]) + " " + sentence(rng, "fr", 60), None, None, None),  # too short
+        (103, "some four odd little words here", None, None, None),
+        (104, sentence(rng, "fr", 300), None, None, None),
+    ]
+    got = D.overlaps(frame(spark, rows), spark.createDataFrame(items, BENCH)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(100, 2), (101, 4), (103, 92)}
+    hit = next(r for r in got if r.doc_id == 101)
+    assert (hit.doc_start, hit.doc_end, hit.matched) == (0, 30, 27)
+    kept = D.decontaminate(frame(spark, rows), spark.createDataFrame(items, BENCH))
+    assert kept.count() == len(rows) - 3
+
+
+def test_overlaps_in_blocks_and_empty(spark, monkeypatch):
+    rng = random.Random(9)
+    items = [(i, sentence(rng, "en", 30)) for i in range(30)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in items], DOCS)
+    monkeypatch.setattr(D, "BLOCK", 1000)
+    got = D.overlaps(docs, spark.createDataFrame(items, BENCH)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i, _ in items}
+    assert D.overlaps(docs, spark.createDataFrame([], BENCH)).count() == 0
+    assert D.overlaps(spark.createDataFrame([], DOCS), spark.createDataFrame(items, BENCH)).count() == 0
+
+
+def test_license_digests(spark):
+    known = licenses.known_digests(spark)
+    mit = next(t for n, _, t in licenses.KNOWN if n == "MIT" and len(t) > 500)
+    rows = hostile() + [
+        (200, "Copyright (c) 2019 Some One\n\n" + mit.upper().replace(",", " ; "), None, None, None),
+        (201, "prose\nReleased under the MIT Licence!\nmore\nreleased under the mit license", None, None, None),
+        (202, "Released under the MIT License. And more words.", None, None, None),
+        (203, "(c) 2020 nobody", None, None, None),
+    ]
+    got = {(r.doc_id, r.unit, r.license, r.n) for r in licenses.scan_licenses(frame(spark, rows), known).collect()}
+    assert got == {(200, "text", "MIT", 1), (201, "line", "MIT", 2)}
+    assert licenses.scan_licenses(spark.createDataFrame([], DOCS), known).count() == 0
+
+
+def test_url_rules(spark):
+    rows = [
+        (1, "HTTP://Sub.Example.NET/en/x?q#f", None),
+        (2, "http://other.net/en/", None),
+        (3, "http://example.com/de/a", None),
+        (4, "http://xexample.com/de/a", None),
+        (5, "http://a.org/fr/?x", None),
+        (6, "http://a.net", None),
+        (7, None, None),
+        (8, "no scheme", None),
+        (9, "http://a.net?x=http://b.org/fr/", None),
+        (1, "HTTP://Sub.Example.NET/en/x?q#f", None),
+        (None, "http://b.net/z", ""),
+    ]
+    pages = spark.createDataFrame(rows, PAGES).selectExpr("*", "'x' AS host", "'y' AS path", "1 AS rule", "2 AS verdict", "3 AS src")
+    got = url_filter.judge_urls(pages, RULES).collect()
+    assert len(got) == len(rows)
+    by = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got}
+    assert by[1] == ("sub.example.net", "/en/x", "example.net/en/", "allow")
+    assert by[2] == ("other.net", "/en/", "net/", "block")
+    assert by[3][2:] == ("example.com/de/", "block") and by[4][2:] == (None, "allow")
+    assert by[5][2:] == ("org/fr/", "allow")
+    assert by[6] == ("a.net", "", None, "allow") and by[9] == ("a.net", "", None, "allow")
+    assert by[7] == ("", "", None, "allow") and by[8] == ("", "", None, "allow")
+    assert url_filter.judge_urls(spark.createDataFrame([], PAGES), RULES).count() == 0
+
+
+def test_distrust_flows_backwards_and_trust_forwards(spark):
+    link = lambda *hosts: "".join(f'<a class="x" href="http://{h}/p">y</a><a href="/self">z</a>' for h in hosts)
+    rows = [
+        (1, "http://bad.net/x", None),  # blocked by rule
+        (2, "http://farm.com/x", link("bad.net")),  # links only to it
+        (3, "http://good.org/fr/x", link("fine.com", "mixed.com")),  # allowed by rule
+        (4, "http://fine.com/x", None),
+        (5, "http://mixed.com/x", link("fine.com")),
+        (6, "http://lone.com/x", '<a href="//farm.com/q">'),
+    ]
+    got = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, PAGES), RULES).collect()}
+    assert got[2].verdict == "block" and abs(got[2].distrust - 0.85) < 1e-9
+    assert abs(got[6].distrust - 0.85**2) < 1e-9 and got[6].verdict == "block"
+    assert abs(got[4].trust - (0.85 / 2 + 0.85**2 / 2)) < 1e-9 and got[4].verdict == "allow"
+    assert got[5].verdict == "allow" and abs(got[5].trust - 0.425) < 1e-9 and got[5].distrust == 0

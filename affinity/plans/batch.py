@@ -48,9 +48,12 @@ def run_batch(
 ) -> DataFrame:
     """Build the wide table and write it and its scores where asked.
 
-    With several sinks the wide table is persisted once, so the plan runs once.
+    With several sinks the wide table is persisted once, so the plan runs once. Sinks for
+    predictions without a model raise.
     Returns the wide table (or the predictions when a model is given).
     """
+    if model is None and (predictions_out is not None or jdbc is not None):
+        raise ValueError("predictions_out and jdbc need a model")
     if fact is None:
         if fact_csv is None:
             raise ValueError("give a fact DataFrame or a fact CSV path")

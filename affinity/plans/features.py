@@ -61,6 +61,9 @@ def dedup_fact(fact: DataFrame) -> DataFrame:
     return latest_per_key(fact, [U, E], ["times", "invited"])
 
 
+# Place tables of at most this many rows (place and level) are broadcast.
+PLACES_BROADCAST = 500_000
+
 # ---------------------------------------------------------------- dimension-side blocks
 
 
@@ -133,9 +136,6 @@ def geo_scale(events: DataFrame, scope: Optional[DataFrame] = None) -> DataFrame
 def event_profile(events: DataFrame, mode: str = "intended") -> DataFrame:
     """Event-grain block: host, place, start time, calendar parts, popularity levels, scaled location."""
     check_mode(mode)
-    ranks = popularity_ranks(events, {"city": "city_level", "country": "country_level"}, mode=mode)
-    cities = ranks["city"].select("city", "city_level")
-    countries = ranks["country"].select("country", "country_level")
     scaled = min_max_scale(events, {"lat_prec": "lat", "lng_prec": "lng"})
     base = scaled.select(
         E,
@@ -151,8 +151,24 @@ def event_profile(events: DataFrame, mode: str = "intended") -> DataFrame:
         "lat_prec",
         "lng_prec",
     )
-    # The level tables have one row per place: small next to the events.
-    return base.join(cities, "city", "left").join(countries, "country", "left")
+    levels = {"city": "city_level", "country": "country_level"}
+    if mode == "reference":  # the rank inside a place's own partition
+        return base.withColumns({level: F.when(F.col(k).isNotNull(), F.lit(1)) for k, level in levels.items()})
+    ranks = popularity_ranks(events, levels)
+    for key, level in levels.items():
+        base = _attach_level(base, ranks[key].select(key, level), key)
+    return base
+
+
+def _attach_level(base: DataFrame, places: DataFrame, key: str) -> DataFrame:
+    """`places` (one row per place) joined to the events: broadcast when their number is
+    checked to be small, so that a hot place moves no event; else shuffled, with the NULL
+    places spread by event."""
+    if places.count() <= PLACES_BROADCAST:
+        return base.join(F.broadcast(places), key, "left")
+    spread = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\0"), F.col(E).cast("string")))
+    keyed = places.withColumn("_place", F.col(key).cast("string")).drop(key)
+    return base.withColumn("_place", spread).join(keyed, "_place", "left").drop("_place")
 
 
 @dataclass(frozen=True)
@@ -163,6 +179,7 @@ class DimFeatures:
     events: groups ⋈ events ⟕ whole-event status counts, one row per grouped event
             (joined inner)
     edges, attendance: the inputs of the friends-on-event match.
+    hosts:  (eventid, host) of every event, for the host edge.
 
     The blocks of one grain are joined with each other while they are small, so the fact
     side is joined once per grain instead of once per block.
@@ -172,6 +189,7 @@ class DimFeatures:
     events: DataFrame           # eventid grain
     edges: DataFrame            # (userid, friendid, edge_n)
     attendance: DataFrame       # (eventid, friendid, <friend status counts>)
+    hosts: DataFrame            # (eventid, host)
 
     def frames(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
@@ -246,6 +264,7 @@ def dim_features(dims: Dims, as_of=None, mode: str = "intended") -> DimFeatures:
         events=event_block(dims, mode, pivot),
         edges=edge_multiplicity(dims.user_friends),
         attendance=pivot,
+        hosts=dims.events.select(E, F.col(U).alias("host")),
     )
 
 
@@ -271,12 +290,13 @@ def user_history_features(fact: DataFrame, dims: Dims) -> DataFrame:
     starts = dims.events.select(E, "starttime")
     hist = attendance_history(dims.event_attendees)
     fr = friend_totals(dims.user_friends)
+    # One join on the user: Spark can split a hot user there, not in a chain of joins.
+    users = hist.join(fr, U, "full")
     out = (
         fact.select(U, E, "times")
         .join(starts, E, "left")
         .withColumn("invite_days", days_between("starttime", "times"))
-        .join(hist, U, "left")
-        .join(fr, U, "left")
+        .join(users, U, "left")
     )
     cols = ["invite_days", *USER_STATUS, "friend_count"]
     return out.select(U, E, *cols).fillna(0, subset=cols)
@@ -324,12 +344,8 @@ def event_stat_features(fact: DataFrame, dims: Dims, mode: str = "intended") ->
         *EVENT_STATUS, "event_month", "event_dayofweek", "event_hour",
         "city_level", "country_level", "lat_prec", "lng_prec",
     ]
-    return (
-        fact.select(U, E)
-        .join(status, E, "left")
-        .join(prof, E, "left")
-        .select(E, U, *cols)
-    )
+    # One join on the event, so that Spark can split a hot one.
+    return fact.select(U, E).join(status.join(prof, E, "full"), E, "left").select(E, U, *cols)
 
 
 def host_affinity_features(fact: DataFrame, dims: Dims, mode: str = "intended") -> DataFrame:

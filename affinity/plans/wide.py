@@ -23,8 +23,7 @@ U, E = "userid", "eventid"
 def creator_flags(pairs: DataFrame, feats: DimFeatures) -> DataFrame:
     """(userid, eventid, creator_is_friend) on the narrow pair keys: 1 iff the directed
     edge (host of the event -> user) exists."""
-    hosts = feats.events.select(E, "host")
-    keyed = pairs.select(U, E).join(hosts, E)
+    keyed = pairs.select(U, E).join(feats.hosts, E)
     return has_edge(keyed, feats.edges, "host", U, "creator_is_friend").select(U, E, "creator_is_friend")
 
 
@@ -49,12 +48,12 @@ def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -
     else:
         rows = rows.withColumn("creator_is_friend", F.lit(1))
 
-    rows = rows.join(feats.users, U)
+    users = feats.users
+    denominator = F.col("friend_count")
     if mode == "reference":
-        fact_rows = pairs.groupBy(U).agg(F.count(F.lit(1)).alias("_fact_rows"))
-        rows = rows.join(fact_rows, U).withColumn("fri_count", F.col("friend_count") * F.col("_fact_rows"))
-    else:
-        rows = rows.withColumn("fri_count", F.col("friend_count"))
+        users = users.join(pairs.groupBy(U).agg(F.count(F.lit(1)).alias("_fact_rows")), U)
+        denominator = F.col("friend_count") * F.col("_fact_rows")
+    rows = rows.join(users, U).withColumn("fri_count", denominator)
 
     rows = rows.join(feats.events, E).withColumn(
         # start_date is cast once per event in the event block

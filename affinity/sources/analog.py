@@ -22,14 +22,19 @@ from affinity.session import scratch_path
 FRIEND_KEY_SPAN = 2000
 
 
-_BASE: dict[tuple[int, str], DataFrame] = {}
+_BASE: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _session(spark: SparkSession) -> tuple[str, str]:
+    """Names the application and the session; neither is used again after a stop."""
+    return spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base test table. The DataFrame is kept per session and path, so listing the file
     and reading its footer happen once, not once per query that reads it."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (*_session(spark), path)
     if key not in _BASE:
         _BASE[key] = spark.read.parquet(path)
     return _BASE[key]
@@ -170,7 +175,7 @@ def views(spark: SparkSession, sf_dir: str) -> AnalogData:
     return AnalogData(fact=fact_raw(spark, sf_dir), dims=dims)
 
 
-_WRITTEN: dict[tuple[int, str], AnalogData] = {}
+_WRITTEN: dict[tuple[str, str, str], AnalogData] = {}
 
 
 def materialize(spark: SparkSession, sf_dir: str) -> AnalogData:
@@ -181,7 +186,7 @@ def materialize(spark: SparkSession, sf_dir: str) -> AnalogData:
     fact and the attendance view share one lineitem ⋈ orders join, which column pruning
     would otherwise plan separately in each branch).
     """
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    key = (*_session(spark), sf_dir.rstrip('/'))
     if key in _WRITTEN:
         return _WRITTEN[key]
     lazy = views(spark, sf_dir)

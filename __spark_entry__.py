@@ -11,23 +11,27 @@ the shared checkpoint folder (``AFFINITY_ANALOG=views`` keeps them lazy).
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from affinity import oracle as O
+from affinity.operators.checks import duplicate_keys
 from affinity.operators.edges import attendance_multiplicity, edge_multiplicity, friend_status_counts
 from affinity.operators.latest import latest_per_key
 from affinity.operators.pivot import status_pivot
 from affinity.operators.rank import popularity_rank
 from affinity.plans import features as feat
-from affinity.plans.scoring import model_input
+from affinity.plans.batch import run_batch
+from affinity.plans.scoring import load_model, model_input, score
 from affinity.plans.wide import build_wide
-from affinity.schemas import FRIEND_STATUS, USER_STATUS, WIDE_COLUMNS
+from affinity.schemas import FRIEND_STATUS, USER_STATUS, WIDE_COLUMNS, Dims
 from affinity.session import scratch_path
 from affinity.sinks import write_table
 from affinity.sources import analog
+from affinity.sources.dims import DEFAULT_TABLES, load_dims, load_dims_from_dir
 from affinity.sources.fact import parse_payload, read_wide_csv, to_payload
 from affinity.streaming import BatchSinks, payload_stream, run_stream
 
@@ -41,7 +45,8 @@ except ImportError:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-# The event types of the `events` test table, pivoted by the type pivot.
+# The event types of the `events` test table, pivoted by the type pivot; the
+# pivot's definition is these columns, so other types are not counted.
 EVENT_TYPES = ("view", "click", "purchase", "signup", "error")
 EVENT_TYPE_OUT = {f"{t}_count": t for t in EVENT_TYPES}
 
@@ -128,9 +133,9 @@ def q_user_history(spark, sf_dir):
     return feat.user_history_features(fact, d.dims)
 
 
-def q_friend_attendance(spark, sf_dir):
+def q_friend_attendance(spark, sf_dir, mode="intended"):
     d, fact = _fact(spark, sf_dir)
-    return feat.friend_attendance_features(fact, d.dims, "intended")
+    return feat.friend_attendance_features(fact, d.dims, mode)
 
 
 def q_fact_events_semi(spark, sf_dir):
@@ -153,9 +158,9 @@ def q_geo_scale(spark, sf_dir):
     return feat.geo_scale(d.dims.events, scope=feat.fact_events(fact))
 
 
-def q_event_stats(spark, sf_dir):
+def q_event_stats(spark, sf_dir, mode="intended"):
     d, fact = _fact(spark, sf_dir)
-    return feat.event_stat_features(fact, d.dims, "intended")
+    return feat.event_stat_features(fact, d.dims, mode)
 
 
 def q_host_affinity(spark, sf_dir):
@@ -176,8 +181,8 @@ def q_wide(spark, sf_dir, mode="intended"):
     return build_wide(d.fact, d.dims, as_of=O.AS_OF, mode=mode)
 
 
-def q_model_input(spark, sf_dir):
-    return model_input(q_wide(spark, sf_dir), "intended")
+def q_model_input(spark, sf_dir, mode="intended"):
+    return model_input(q_wide(spark, sf_dir, mode), mode)
 
 
 def q_payload_parse(spark, sf_dir):
@@ -186,18 +191,69 @@ def q_payload_parse(spark, sf_dir):
     return good
 
 
-# Payload files of the streaming replay; each (userid, eventid) key lives in one file, so
-# per-micro-batch de-duplication sees every copy of a key.
-STREAM_FILES = 2
+def q_payload_quarantine(spark, sf_dir):
+    """Payloads that go to quarantine, with the reason, out of a feed where the order key
+    decides whether a payload is short, long, has a bad or an empty key, or is good."""
+    _prepare(spark)
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    user, event, tail = (F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_linenumber"))
+    kind = F.col("l_orderkey") % 6
+    value = (
+        F.when(kind == 0, F.concat_ws(",", user, event))
+        .when(kind == 1, F.concat_ws(",", user, event, tail, tail, tail))
+        .when(kind == 2, F.concat_ws(",", F.concat(F.lit("u"), user), event, tail, tail))
+        .when(kind == 3, F.concat_ws(",", user, F.concat(F.lit("e"), event), tail, tail))
+        .when(kind == 4, F.concat_ws(",", F.lit(""), event, tail, tail))
+        .otherwise(F.concat_ws(",", user, event, tail, tail))
+    )
+    keys = {"userid": T.LongType(), "eventid": T.LongType()}
+    return parse_payload(items.select(value.alias("value")), types=keys)[1]
+
+
+def _table_sizes(dims: Dims) -> DataFrame:
+    """(name, n): the rows of each dimension."""
+    sizes = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("name"), "n") for k, df in dims.frames().items()]
+    return reduce(DataFrame.unionByName, sizes)
+
+
+def q_dims_from_dir(spark, sf_dir):
+    """The dimensions written as a folder of tables and loaded from it."""
+    base = scratch_path(spark, "dims")
+    for name, df in _data(spark, sf_dir).dims.frames().items():
+        df.write.parquet(f"{base}/{name}")
+    return _table_sizes(load_dims_from_dir(spark, base))
+
+
+def q_dims_from_catalog(spark, sf_dir):
+    """The dimensions loaded by catalog name (temporary views)."""
+    for name, df in _data(spark, sf_dir).dims.frames().items():
+        df.createOrReplaceTempView(f"dim_{name}")
+    return _table_sizes(load_dims(spark, tables={k: f"dim_{k}" for k in DEFAULT_TABLES}))
+
+
+def q_duplicate_keys(spark, sf_dir):
+    _prepare(spark)
+    return duplicate_keys(spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet"), ["o_custkey"])
+
+
+def q_batch_run(spark, sf_dir):
+    """The batch runner from a fact CSV to the written wide table. A CSV's ids are text."""
+    d = _data(spark, sf_dir)
+    fact_csv, out = scratch_path(spark, "fact-csv"), scratch_path(spark, "batch-wide")
+    d.fact.write.option("header", True).csv(fact_csv)
+    run_batch(spark, d.dims, fact_csv=fact_csv, as_of=O.AS_OF, wide_out=out)
+    ids = {c: F.col(c).cast("long") for c in ("user_id", "event_id")}
+    return spark.read.parquet(out).withColumns(ids)
 
 
 def q_stream_wide(spark, sf_dir):
     """The fact feed replayed as text payloads through the streaming runner (file source,
     one file per micro-batch, availableNow trigger); the union of the per-batch wide
-    tables."""
+    tables. Files follow the data's size, and each (userid, eventid) key lives in one file,
+    so per-micro-batch de-duplication sees every copy of a key."""
     d = _data(spark, sf_dir)
     feed = scratch_path(spark, "stream-feed")
-    payload = to_payload(d.fact.repartition(STREAM_FILES, "userid", "eventid"))
+    payload = to_payload(d.fact.repartition("userid", "eventid"))
     payload.write.mode("overwrite").text(feed)
     out = scratch_path(spark, "stream-wide")
     query = run_stream(
@@ -223,36 +279,24 @@ def q_csv_round_trip(spark, sf_dir):
     return read_wide_csv(spark, path, wide.schema)
 
 
-def _fixture_model(spark, matrix: DataFrame):
-    """Test fixture only (no training exists in the scored application): a small logistic
-    regression over the model-input matrix, saved and loaded back the way a deployment
-    loads its saved pipeline."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
+# Test fixture only (no training exists in the scored application): a closed-form score over
+# model-input columns, which SQL can compute too.
+FIXTURE_SCORE = "0.01 * friend_count + 0.5 * event_hour + user_invited + 0.25 * event_month"
+
 
-    from affinity.plans.scoring import ID_COLUMNS, load_model
+def _fixture_model(spark):
+    """The fixture saved as a pipeline and loaded back the way a deployment loads its own."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
 
-    features = [c for c in matrix.columns if c not in ID_COLUMNS and c != "user_invited"]
-    pipeline = Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="user_invited", maxIter=5),
-    ])
     path = scratch_path(spark, "fixture-model")
-    pipeline.fit(matrix).write().overwrite().save(path)
+    stage = SQLTransformer(statement=f"SELECT *, {FIXTURE_SCORE} AS prediction FROM __THIS__")
+    PipelineModel(stages=[stage]).write().save(path)
     return load_model(path)
 
 
-def q_score(spark, sf_dir):
-    from affinity.plans.scoring import score
-
-    from pyspark import StorageLevel
-
-    # Fitting passes over the matrix several times; keep the wide table instead of
-    # re-running its plan on each pass.
-    wide = q_wide(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    model = _fixture_model(spark, model_input(wide, "intended"))
-    return score(model, wide, "intended")
+def q_score(spark, sf_dir, mode="intended"):
+    return score(_fixture_model(spark), q_wide(spark, sf_dir, mode), mode)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -302,6 +346,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_wide": q_stream_wide,
         "csv_round_trip": q_csv_round_trip,
         "score": q_score,
+        "score_reference": partial(q_score, mode="reference"),
+        "model_input_reference": partial(q_model_input, mode="reference"),
+        "friend_attendance_reference": partial(q_friend_attendance, mode="reference"),
+        "event_stats_reference": partial(q_event_stats, mode="reference"),
+        "payload_quarantine": q_payload_quarantine,
+        "dims_from_dir": q_dims_from_dir,
+        "dims_from_catalog": q_dims_from_catalog,
+        "duplicate_keys": q_duplicate_keys,
+        "batch_run": q_batch_run,
         **_llm_queries(),
     }
 
@@ -318,6 +371,13 @@ def oracle_sql() -> dict[str, str]:
     hist_cols = ", ".join(f"COALESCE(h.{c}, 0) AS {c}" for c in USER_STATUS)
     friend_cols = ", ".join(f"COALESCE(ufp.{c}, 0) AS {c}" for c in FRIEND_STATUS)
     ratio_cols = O.ratio_cols("COALESCE(fc.friend_count, 0)")
+    fanned = "(COALESCE(fc.friend_count, 0) * frows.n_rows)"
+    score_sql = f"SELECT user_id, event_id, {FIXTURE_SCORE} AS prediction FROM ({{}}) m"
+    sizes = {
+        "customers": "a_customers", "event_attendees": "a_attendees", "event_groups": "a_groups",
+        "events": "a_events", "user_friends": "a_friends", "locales": "nation",
+    }
+    dims_sql = w() + " UNION ALL ".join(f"SELECT '{k}' AS name, count(*) AS n FROM {v}" for k, v in sizes.items())
     event_cols = (
         "est.event_invited_count, est.event_attended_count, est.event_not_att_count, est.event_maybe_count"
     )
@@ -386,5 +446,30 @@ FROM a_fact f LEFT JOIN est ON f.eventid = est.eventid LEFT JOIN ev ON f.eventid
         "csv_round_trip": O.wide_sql("intended"),
         "payload_parse": w() + """SELECT CAST(userid AS VARCHAR) AS userid, CAST(eventid AS VARCHAR) AS eventid,
   invited, CAST(times AS VARCHAR) AS times FROM a_fact0""",
+        "score": score_sql.format(O.model_input_sql()),
+        "score_reference": score_sql.format(O.model_input_sql("reference")),
+        "model_input_reference": O.model_input_sql("reference"),
+        "friend_attendance_reference": w(O.FRIEND_PIVOT_CTE, O.FRIEND_COUNT_CTE, O.FACT_ROWS_CTE)
+        + f"""SELECT f.userid, f.eventid, {friend_cols},
+  {fanned} AS fri_count,
+  {O.ratio_cols(fanned)}
+FROM a_fact f JOIN frows ON f.userid = frows.userid
+  LEFT JOIN ufp ON f.userid = ufp.userid AND f.eventid = ufp.eventid
+  LEFT JOIN fc ON f.userid = fc.userid""",
+        "event_stats_reference": w(*O.event_profile_cte("reference"), O.EVENT_STATUS_CTE)
+        + f"""SELECT f.eventid, f.userid, {event_cols},
+  ev.event_month, ev.event_dayofweek, ev.event_hour, ev.city_level, ev.country_level, ev.lat_prec, ev.lng_prec
+FROM a_fact f LEFT JOIN est ON f.eventid = est.eventid LEFT JOIN ev ON f.eventid = ev.eventid""",
+        "payload_quarantine": """SELECT CASE l_orderkey % 6
+    WHEN 0 THEN l_orderkey || ',' || l_partkey
+    WHEN 2 THEN 'u' || l_orderkey || ',' || l_partkey || ',' || l_linenumber || ',' || l_linenumber
+    ELSE l_orderkey || ',e' || l_partkey || ',' || l_linenumber || ',' || l_linenumber END AS value,
+  CASE l_orderkey % 6 WHEN 0 THEN 2 ELSE 4 END AS n_fields,
+  CASE l_orderkey % 6 WHEN 0 THEN 'fields' WHEN 2 THEN 'userid' ELSE 'eventid' END AS reason
+FROM lineitem WHERE l_orderkey % 6 IN (0, 2, 3)""",
+        "dims_from_dir": dims_sql,
+        "dims_from_catalog": dims_sql,
+        "duplicate_keys": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 1",
+        "batch_run": O.wide_sql("intended"),
         **_llm_oracles(),
     }

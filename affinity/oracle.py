@@ -251,18 +251,19 @@ FROM a_fact f
   LEFT JOIN ufp ON f.userid = ufp.userid AND f.eventid = ufp.eventid"""
 
 
-def model_input_sql() -> str:
+def model_input_sql(mode: str = "intended") -> str:
     from affinity.schemas import WIDE_COLUMNS
 
     cols = []
     for c in WIDE_COLUMNS:
-        if c in ("user_id", "event_id"):
+        if mode == "intended" and c in ("user_id", "event_id"):
             cols.append(c)
         elif c == "event_hour":
-            cols.append(f"COALESCE(TRY_CAST(regexp_extract(event_hour, '^([0-9]{{2}}):', 1) AS DOUBLE), 0) AS {c}")
+            hour = "COALESCE(TRY_CAST(regexp_extract(event_hour, '^([0-9]{2}):', 1) AS DOUBLE), 0)"
+            cols.append(f"{hour if mode == 'intended' else 'CAST(0 AS DOUBLE)'} AS {c}")
         else:
             cols.append(
                 f"CASE WHEN isnan(COALESCE(TRY_CAST({c} AS DOUBLE), 0)) THEN 0 "
                 f"ELSE COALESCE(TRY_CAST({c} AS DOUBLE), 0) END AS {c}"
             )
-    return f"SELECT {', '.join(cols)} FROM (\n{wide_sql('intended')}\n) w"
+    return f"SELECT {', '.join(cols)} FROM (\n{wide_sql(mode)}\n) w"

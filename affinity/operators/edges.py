@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Mapping
+from typing import Mapping, Optional
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,11 +37,18 @@ def attendance_multiplicity(
     return status_pivot(rows, ["eventid", "friendid"], statuses)
 
 
+def degrees(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, name): the rows of each non-NULL key."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+
+
 def friend_status_counts(
     pairs: DataFrame,
     edge_n: DataFrame,
     attend_n: DataFrame,
     outputs: Mapping[str, str],
+    user_deg: Optional[DataFrame] = None,
+    event_deg: Optional[DataFrame] = None,
 ) -> DataFrame:
     """For each (userid, eventid) in `pairs`: how many of the user's friends have each status
     on that event. Returns only pairs with at least one match.
@@ -56,7 +63,8 @@ def friend_status_counts(
     the event has attendees, else through the event's attendees, and the other side is
     probed with a two-key equi-join. The expansion per pair is therefore
     min(friends of user, attendees of event), so neither a hot event nor a hot user makes
-    it quadratic; AQE skew-join splitting balances the remaining hot keys across tasks.
+    it quadratic. The degrees (userid, user_deg) and (eventid, event_deg) only choose the
+    side, so plain row counts do; they are counted here unless given.
 
     The probe side has one row per key pair. AQE picks the probe strategy from the exact
     runtime size of that side: a broadcast hash join when it is under
@@ -66,8 +74,8 @@ def friend_status_counts(
     else a sort-merge join.
     """
     names = list(outputs)
-    user_deg = edge_n.groupBy("userid").agg(F.count(F.lit(1)).alias("user_deg"))
-    event_deg = attend_n.groupBy("eventid").agg(F.count(F.lit(1)).alias("event_deg"))
+    user_deg = degrees(edge_n, "userid", "user_deg") if user_deg is None else user_deg
+    event_deg = degrees(attend_n, "eventid", "event_deg") if event_deg is None else event_deg
     keyed = pairs.select("userid", "eventid").join(user_deg, "userid").join(event_deg, "eventid")
     # The expansion multiplies rows, so its task count must not follow the (small) size of
     # the pair keys that AQE coalesces by: spread the keys over the configured shuffle

@@ -26,6 +26,7 @@ from affinity.functions.expressions import (
     same_place,
 )
 from affinity.operators.edges import (
+    degrees,
     attendance_multiplicity,
     edge_multiplicity,
     friend_status_counts,
@@ -190,9 +191,32 @@ class DimFeatures:
     edges: DataFrame            # (userid, friendid, edge_n)
     attendance: DataFrame       # (eventid, friendid, <friend status counts>)
     hosts: DataFrame            # (eventid, host)
+    user_degree: DataFrame      # (userid, user_deg)
+    event_degree: DataFrame     # (eventid, event_deg)
+    host_edges: Optional[DataFrame] = None  # the edges that the host match reads, if not all
 
     def frames(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: getattr(self, f.name) for f in fields(self) if getattr(self, f.name) is not None}
+
+    def restricted(self, pairs: DataFrame) -> "DimFeatures":
+        """The blocks cut down to what `pairs` (userid, eventid; of checked, small size) can
+        reach, by broadcast semi joins right above the scans: the assembly then shuffles and
+        aggregates no whole table. Ranks and bounds are in the blocks already."""
+        users, events = F.broadcast(pairs.select(U).distinct()), F.broadcast(pairs.select(E).distinct())
+        hosts = self.hosts.join(events, E, "left_semi")
+        of_hosts = F.broadcast(hosts.select(F.col("host").alias(U)).distinct())
+        towards = F.broadcast(pairs.select(F.col(U).alias("friendid")).distinct())
+        return replace(
+            self,
+            users=self.users.join(users, U, "left_semi"),
+            events=self.events.join(events, E, "left_semi"),
+            edges=self.edges.join(users, U, "left_semi"),
+            attendance=self.attendance.join(events, E, "left_semi"),
+            hosts=hosts,
+            user_degree=self.user_degree.join(users, U, "left_semi"),
+            event_degree=self.event_degree.join(events, E, "left_semi"),
+            host_edges=self.edges.join(of_hosts, U, "left_semi").join(towards, "friendid", "left_semi"),
+        )
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "DimFeatures":
         return replace(self, **{k: v.persist(level) for k, v in self.frames().items()})
@@ -265,6 +289,8 @@ def dim_features(dims: Dims, as_of=None, mode: str = "intended") -> DimFeatures:
         edges=edge_multiplicity(dims.user_friends),
         attendance=pivot,
         hosts=dims.events.select(E, F.col(U).alias("host")),
+        user_degree=degrees(dims.user_friends, U, "user_deg"),
+        event_degree=degrees(dims.event_attendees, E, "event_deg"),
     )
 
 

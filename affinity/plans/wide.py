@@ -24,7 +24,8 @@ def creator_flags(pairs: DataFrame, feats: DimFeatures) -> DataFrame:
     """(userid, eventid, creator_is_friend) on the narrow pair keys: 1 iff the directed
     edge (host of the event -> user) exists."""
     keyed = pairs.select(U, E).join(feats.hosts, E)
-    return has_edge(keyed, feats.edges, "host", U, "creator_is_friend").select(U, E, "creator_is_friend")
+    edges = feats.edges if feats.host_edges is None else feats.host_edges
+    return has_edge(keyed, edges, "host", U, "creator_is_friend").select(U, E, "creator_is_friend")
 
 
 def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -> DataFrame:
@@ -41,7 +42,9 @@ def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -
     check_mode(mode)
     pairs = fact.select(U, E, "invited", "times")
 
-    friends_on_event = friend_status_counts(pairs, feats.edges, feats.attendance, FRIEND_STATUS)
+    friends_on_event = friend_status_counts(
+        pairs, feats.edges, feats.attendance, FRIEND_STATUS, feats.user_degree, feats.event_degree
+    )
     rows = pairs.join(friends_on_event, [U, E], "left").fillna(0, subset=list(FRIEND_STATUS))
     if mode == "intended":
         rows = rows.join(creator_flags(pairs, feats), [U, E], "left")

@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x2545F4914F6CDD1D  # odd, so it has an inverse modulo 2**64
@@ -39,7 +39,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, grown by doubling and kept per process."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = 1 << max(21, (n - 1).bit_length())
+        size = 1 << max(20, (n - 1).bit_length())
         have = np.ones(1, dtype=np.uint64)
         while len(have) < size:
             have = np.concatenate([have, have * np.uint64(pow(base, len(have), 1 << 64))])

@@ -3,7 +3,7 @@
 A gear hash rolls over the bytes of a text; a boundary falls where the hash is the smallest
 within `REACH` bytes on either side. Boundaries depend on nearby bytes only, so an
 insertion moves the chunks around it and leaves the others alone. Chunks are de-duplicated
-by a 128-bit digest; neighbouring repeated chunks are reported as one passage.
+by a 128-bit digest; neighbouring repeated chunks make one passage.
 """
 
 from __future__ import annotations
@@ -102,14 +102,16 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """doc_id, start, end (bytes), n_chunks, first_doc_id, kept: every passage of at least
-    `min_bytes` made of neighbouring chunks that also occur in another document.
-
-    first_doc_id is the smallest document that has one of its chunks; `kept` is true for
-    the occurrence in that document, so removing the others leaves one copy of each.
-    Passages count from a few dozen bytes inside their true ends, where chunks straddle
-    them. Null and empty texts and rows without doc_id have no passages; rows that repeat a
-    doc_id are one document; further columns are ignored.
+    """doc_id, start, end (bytes), n_chunks, first_doc_id, kept, copies: every passage of at
+    least `min_bytes` made of neighbouring chunks that also occur in another document.
+
+    A chunk's first document is the smallest one that has it. first_doc_id is the smallest
+    of a passage's chunks, and `kept` is true in that document. `copies` are the (start,
+    end) of the stretches whose chunks are first in other documents: a passage may join
+    chunks of several origins, and removing the copies everywhere leaves the first of every
+    chunk. Passages count from a few dozen bytes inside their true ends, where chunks
+    straddle them. Null and empty texts and rows without doc_id have no passages; rows that
+    repeat a doc_id are one document; further columns are ignored.
     """
     every = chunks(docs).where("doc_id IS NOT NULL")
     shared = (
@@ -118,25 +120,41 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         .where("first_doc_id < last_doc_id")
         .drop("last_doc_id")
     )
-    in_doc = Window.partitionBy("doc_id").orderBy("start")
+    in_doc = Window.partitionBy("doc_id").orderBy("start", "length")
+    so_far = in_doc.rowsBetween(Window.unboundedPreceding, 0)
     end = F.col("start") + F.col("length")
-    run = F.sum(F.when(F.lag(end).over(in_doc) == F.col("start"), 0).otherwise(1)).over(
-        in_doc.rowsBetween(Window.unboundedPreceding, 0)
-    )
+    apart = F.coalesce(F.lag(end).over(in_doc) != F.col("start"), F.lit(True))
+    turns = F.lag("own").over(in_doc) != F.col("own")
     return (
         every.join(shared, ["d1", "d2"])
         .groupBy("doc_id", "start", "length")  # rows that repeat a document
         .agg(F.min("first_doc_id").alias("first_doc_id"))
-        .withColumn("run", run)
-        .groupBy("doc_id", "run")
+        .withColumn("own", F.col("doc_id") == F.col("first_doc_id"))
+        .withColumns({"apart": apart.cast("int"), "cut": (apart | turns).cast("int")})
+        .withColumns({"run": F.sum("apart").over(so_far), "piece": F.sum("cut").over(so_far)})
+        .groupBy("doc_id", "run", "piece", "own")
         .agg(
             F.min("start").alias("start"),
             F.max(end).alias("end"),
             F.count("*").alias("n_chunks"),
             F.min("first_doc_id").alias("first_doc_id"),
         )
+        .groupBy("doc_id", "run")
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            F.sum("n_chunks").alias("n_chunks"),
+            F.min("first_doc_id").alias("first_doc_id"),
+            F.sort_array(F.collect_list(F.when(~F.col("own"), F.struct("start", "end")))).alias("copies"),
+        )
         .where(F.col("end") - F.col("start") >= min_bytes)
         .select(
-            "doc_id", "start", "end", "n_chunks", "first_doc_id", (F.col("doc_id") == F.col("first_doc_id")).alias("kept")
+            "doc_id",
+            "start",
+            "end",
+            "n_chunks",
+            "first_doc_id",
+            (F.col("doc_id") == F.col("first_doc_id")).alias("kept"),
+            "copies",
         )
     )

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import in_arrow
+from affinity.llm.common import in_arrow, written
 
 END_ID = 1  # fixed value: the id after every document
 GROUP_DOCS = 4096  # documents whose pieces are packed together, on average
@@ -175,10 +175,10 @@ def pack_documents(
     pattern or None). Null and empty texts are END_ID alone. Rows without doc_id and rows
     that repeat one are packed like any other. An empty table gives no rows.
     """
-    groups = max(1, math.ceil(docs.count() / GROUP_DOCS))
     cut = pieces(docs, tokenizer, window).withColumn("ids_crc32", F.crc32("ids"))
-    if not carry_ids:
-        cut = cut.drop("ids")
+    # Written, so that a task run again deals its pieces as before (`row` is a task's count).
+    cut = written(cut if carry_ids else cut.drop("ids"), "pieces")
+    groups = max(1, math.ceil(cut.where("start = 0").count() / GROUP_DOCS))
     dealt = cut.withColumn("pack", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "row"), F.lit(groups)))
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema if f.name != "row")
     return dealt.groupBy("pack").applyInPandas(_pack_group(window), f"{kept}, sequence_id long, offset long")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm import kernels as K
-from affinity.llm.common import in_arrow, without_ids
+from affinity.llm.common import in_arrow
 
 SPAN = 10
 MASKS = ("1110010011", "1101001011", "1010110101", "1100111010")  # 1: the position is hashed
@@ -104,25 +105,35 @@ class Index:
         return matched, shift + lo + begin, shift + lo + end, lo + begin, lo + end
 
 
+def _best(ix: Index, texts: list[str]) -> dict:
+    """(text number, item number) to the best overlap of the two."""
+    words = _words(texts)
+    tried, best = set(), {}
+    for p, k, q in ix.hits(words):
+        d = int(np.searchsorted(words.bounds, p, "right")) - 1
+        begin = int(words.bounds[d])
+        diagonal = (d, k, p - begin - q)
+        if diagonal in tried:
+            continue
+        tried.add(diagonal)
+        got = ix.overlap(words.hashes[begin : words.bounds[d + 1]], k, diagonal[2])
+        if got and got > best.get((d, k), (0,)):
+            best[d, k] = got
+    return best
+
+
+def _in_blocks(ix: Index, batch: pa.RecordBatch):
+    texts = [t or "" for t in batch.column("text").cast(pa.string()).to_pylist()]
+    for lo, hi in K.blocks(texts):
+        yield lo, _best(ix, texts[lo:hi])
+
+
 def _search(index):
     def run(batches):
         ix = index.value
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for lo, hi in K.blocks(texts):
-                words = _words(texts[lo:hi])
-                tried, best = set(), {}
-                for p, k, q in ix.hits(words):
-                    d = int(np.searchsorted(words.bounds, p, "right")) - 1
-                    begin = int(words.bounds[d])
-                    diagonal = (d, k, p - begin - q)
-                    if diagonal in tried:
-                        continue
-                    tried.add(diagonal)
-                    got = ix.overlap(words.hashes[begin : words.bounds[d + 1]], k, diagonal[2])
-                    if got and got > best.get((d, k), (0,)):
-                        best[d, k] = got
+            for lo, best in _in_blocks(ix, batch):
                 rows = [
                     (ids[lo + d], ix.ids[k], g[1], g[2], g[3], g[4], g[0], g[0] / (g[2] - g[1]))
                     for (d, k), g in best.items()
@@ -135,12 +146,36 @@ def _search(index):
     return run
 
 
+def _filter(index):
+    def run(batches):
+        for batch in batches:
+            clean = np.ones(batch.num_rows, dtype=bool)
+            for lo, best in _in_blocks(index.value, batch):
+                clean[[lo + d for d, _ in best]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
+
+
 _NAMES = [x.split()[0] for x in OVERLAPS.split(", ")]
 _TYPES = [
     {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}[x.split()[1]] for x in OVERLAPS.split(", ")
 ]
 
 
+def _indexes(benchmark: DataFrame):
+    """Broadcast indexes of the benchmark's non-null texts, about BLOCK bytes of text each."""
+    items = benchmark.select(
+        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
+    ).where("text IS NOT NULL")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_blocks = max(1, math.ceil(total / BLOCK))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
+    for b in range(n_blocks):
+        held = [(r["item_id"], r["text"]) for r in items.where(block == b).collect()]  # about BLOCK bytes
+        yield benchmark.sparkSession.sparkContext.broadcast(Index(held))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per (document, benchmark item) that overlap, with the word ranges of the best
     overlap in both, the words that agree and their share.
@@ -151,20 +186,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     without an id are reported with a null id; further columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).where("text IS NOT NULL")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, math.ceil(total / BLOCK))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    found = None
-    for b in range(n_blocks):
-        held = [(r["item_id"], r["text"]) for r in items.where(block == b).collect()]  # about BLOCK bytes
-        part = in_arrow(docs, _search(docs.sparkSession.sparkContext.broadcast(Index(held))), OVERLAPS)
-        found = part if found is None else found.unionByName(part)
-    return found
+    return reduce(DataFrame.unionByName, (in_arrow(docs, _search(x), OVERLAPS) for x in _indexes(benchmark)))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that overlap with no benchmark item, with all their columns."""
-    return without_ids(docs, overlaps(docs, benchmark), "contaminated")
+    """The rows of `docs` that overlap with no benchmark item, with all their columns. Every
+    row is judged by its own text, whether its doc_id is null, repeated or neither."""
+    for index in _indexes(benchmark):
+        docs = in_arrow(docs, _filter(index), docs.schema)
+    return docs

@@ -12,7 +12,7 @@ from typing import Callable, Optional
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import without_ids, written
+from affinity.llm.common import BROADCAST_ROWS, broadcast_if_small, written
 
 SALTS = 16
 
@@ -69,6 +69,17 @@ def exact_groups(
 
 
 def exact_dedup(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
-    dropped = exact_groups(docs, salts).where("NOT kept").select("doc_id")
-    return without_ids(docs, dropped, "exact-dropped")
+    """The rows of `docs` that stay, with all their columns. A row goes by its doc_id and its
+    own text, so rows that repeat a doc_id with another text have a verdict of their own.
+    Rows without doc_id stay."""
+    dropped = written(
+        exact_groups(docs, salts)
+        .where("NOT kept AND doc_id IS NOT NULL")
+        .select(F.col("doc_id").alias("dropped_id"), F.col("digest").alias("dropped_digest"))
+        .distinct(),
+        "exact-dropped",
+    )
+    dropped = broadcast_if_small(dropped, BROADCAST_ROWS // 8)  # 40 bytes a row, not 8
+    digest = sha256_of(F.coalesce(docs["text"], F.lit("")))
+    gone = (docs["doc_id"] == dropped["dropped_id"]) & (digest == dropped["dropped_digest"])
+    return docs.join(dropped, gone, "left_anti")

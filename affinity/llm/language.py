@@ -99,20 +99,25 @@ def mixture(prob: np.ndarray, grams: np.ndarray) -> tuple[list[int], np.ndarray]
     return chosen, w
 
 
+def name(model: Model, text: str | None) -> tuple[str, float, list[str]]:
+    """A text's language, its share, and all languages of the mixture by falling share."""
+    if not model.langs or text is None or not _LETTER.search(text):
+        return UNKNOWN, 0.0, []
+    chosen, w = mixture(model.prob, trigrams(text))
+    order = sorted(range(len(chosen)), key=lambda i: (-w[i], chosen[i]))
+    found = [model.langs[chosen[i]] for i in order]
+    return found[0], float(min(1.0, max(0.0, w[order[0]]))), found
+
+
+def _texts(batch: pa.RecordBatch) -> list:
+    return batch.column("text").cast(pa.string()).to_pylist()
+
+
 def _predictor(model):
     def run(batches):
-        m = model.value
         for batch in batches:
-            pred, score, found = [], [], []
-            for text in batch.column("text").to_pylist():
-                if not m.langs or text is None or not _LETTER.search(text):
-                    pred.append(UNKNOWN), score.append(0.0), found.append([])
-                    continue
-                chosen, w = mixture(m.prob, trigrams(text))
-                order = sorted(range(len(chosen)), key=lambda i: (-w[i], chosen[i]))
-                pred.append(m.langs[chosen[order[0]]])
-                score.append(float(min(1.0, max(0.0, w[order[0]]))))
-                found.append([m.langs[chosen[i]] for i in order])
+            named = [name(model.value, text) for text in _texts(batch)]
+            pred, score, found = zip(*named) if named else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
@@ -126,6 +131,15 @@ def _predictor(model):
     return run
 
 
+def _filter(model):
+    def run(batches):
+        for batch in batches:
+            known = [name(model.value, text)[0] != UNKNOWN for text in _texts(batch)]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return run
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score (the named language's share, 0 to 1) and all languages of
     the mixture by falling share, one row per row of `docs`. Only the text is read.
@@ -141,6 +155,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def identified(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of `docs` that `predict` does not call `und`, with all their columns. Every
+    row is judged by its own text, whether its doc_id is null, repeated or neither."""
+    return in_arrow(docs, _filter(docs.sparkSession.sparkContext.broadcast(model)), docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Fixed value of the contract: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -149,3 +149,29 @@ def test_repeated_passages(spark):
         assert text[r.doc_id][r.start : r.end].decode() in passage
         assert r.first_doc_id == 3 and r.kept == (r.doc_id == 3)
     assert repeated_passages(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_repeated_passages_keep_one_copy_of_neighbours(spark):
+    rng = random.Random(6)
+    a, b = sentence(rng, "fr", 60), sentence(rng, "en", 60)
+    own = [sentence(rng, "de", 40) for _ in range(6)]
+    rows = [
+        (1, f"{own[0]} {a} {own[1]}", "en", "s", 1),
+        (5, f"{own[2]} {a} {b} {own[3]}", "en", "s", 1),  # b is first here, a is not
+        (7, f"{own[4]} {a} {b} {own[5]}", "en", "s", 1),
+    ]
+    got = repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
+    left = {r[0]: r[1].encode() for r in rows}
+    for r in sorted(got, key=lambda r: -r.start):
+        for start, end in reversed(r.copies):
+            left[r.doc_id] = left[r.doc_id][:start] + left[r.doc_id][end:]
+    for passage in (a, b):
+        core = passage.encode()[100:-100]
+        assert sum(core in t for t in left.values()) == 1
+    assert {(r.doc_id, r.kept) for r in got} == {(1, True), (5, False), (7, False)}
+
+
+def test_exact_dedup_judges_repeated_ids_by_text(spark):
+    rows = [(20, "only here", None, "s", 1), (20, "copy", "en", "s", 1), (21, "copy", "en", "s", 1)]
+    kept = exact_dedup(frame(spark, rows))
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(20, "only here"), (21, "copy")}

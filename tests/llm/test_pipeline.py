@@ -56,6 +56,18 @@ def test_filter_stages_keep_columns_on_hostile_rows(spark, tmp_path):
     assert P.STAGES[-1][1](spark, empty, sf).count() == 0
 
 
+def test_filters_judge_repeated_ids_by_text(spark, tmp_path):
+    rows, items = corpus()
+    sf = f"file://{tmp_path}"
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    twice = frame(spark, [*rows, (0, None, None, None, None), (1, items[0][1], "en", "s", 1)])
+    stages = dict(P.STAGES)
+    known = stages["language_id"](spark, twice, sf).collect()
+    assert sorted(r.doc_id for r in known).count(0) == 1 and len(known) == len(rows) - 1
+    clean = stages["benchmark_decontamination"](spark, twice, sf).collect()
+    assert [r.text for r in clean if r.doc_id == 1] == [rows[1][1]] and len(clean) == len(rows)
+
+
 def test_registered():
     names = [f"op{n}_" for n in range(1, 11)]
     assert all(sum(q.startswith(n) for q in entry.queries()) == 1 for n in names)

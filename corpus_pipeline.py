@@ -8,10 +8,9 @@ stage's result to the shared folder and reads it back as the next one's input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from affinity.llm import decontaminate, exact_dedup, language, near_dedup, packing
-from affinity.llm.common import table, without_ids, written
+from affinity.llm.common import table, written
 from affinity.llm.contract import WINDOW, default_tokenizer, language_model
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -19,8 +18,7 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without any letter (`und`) go."""
-    found = language.predict(docs, language_model(docs))
-    return without_ids(docs, found.where(F.col("lang_pred") == language.UNKNOWN), "no-language")
+    return language.identified(docs, language_model(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,7 +115,10 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
             )
         ).alias("u"),
     )
-    digested = units.select("doc_id", "u.unit", canonical(F.col("u.part")).alias("canon")).where("canon <> ''")
+    # Exploded from an array of one: the conditions on it then use the value, where Spark
+    # would otherwise put the whole normalisation into each of them again.
+    canon = F.explode(F.array(canonical(F.col("u.part")))).alias("canon")
+    digested = units.select("doc_id", "u.unit", canon).where("canon <> ''")
     return (
         digested.select("doc_id", "unit", F.sha2("canon", 256).alias("digest"))
         .join(known, "digest")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Mapping, Optional
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators.pivot import status_pivot
@@ -61,43 +61,62 @@ def friend_status_counts(
     The product pairs ⋈ friends ⋈ attendance is the heavy step. Each pair is expanded from
     the smaller side: through the user's friends when the user has no more friends than
     the event has attendees, else through the event's attendees, and the other side is
-    probed with a two-key equi-join. The expansion per pair is therefore
-    min(friends of user, attendees of event), so neither a hot event nor a hot user makes
-    it quadratic. The degrees (userid, user_deg) and (eventid, event_deg) only choose the
-    side, so plain row counts do; they are counted here unless given.
-
-    The probe side has one row per key pair. AQE picks the probe strategy from the exact
-    runtime size of that side: a broadcast hash join when it is under
-    `spark.sql.adaptive.autoBroadcastJoinThreshold` (the candidates are then never
-    shuffled), a shuffled hash join when each of its partitions is under
-    `spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold` (no sort of the candidates),
-    else a sort-merge join.
+    probed. The expansion per pair is therefore min(friends of user, attendees of event),
+    so neither a hot event nor a hot user makes it quadratic. The degrees (userid,
+    user_deg) and (eventid, event_deg) only choose the side, so plain row counts do; they
+    are counted here unless given.
+
+    Every pair is tagged once with its side and that side's key. Edges and attendance are
+    stacked under the same (side, key), so one join expands all pairs and one more probes
+    them: no branch per direction, and a hot key of either kind is split by AQE in the one
+    join. Both joins read the same stack, whose two aggregates Spark computes once.
+
+    AQE picks the strategy of either join from exact runtime sizes: a broadcast hash join
+    under `spark.sql.adaptive.autoBroadcastJoinThreshold` (the candidates are then never
+    shuffled), a shuffled hash join when each partition is under
+    `spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold`, else a sort-merge join.
     """
     names = list(outputs)
     user_deg = degrees(edge_n, "userid", "user_deg") if user_deg is None else user_deg
     event_deg = degrees(attend_n, "eventid", "event_deg") if event_deg is None else event_deg
-    keyed = pairs.select("userid", "eventid").join(user_deg, "userid").join(event_deg, "eventid")
-    # The expansion multiplies rows, so its task count must not follow the (small) size of
-    # the pair keys that AQE coalesces by: spread the keys over the configured shuffle
-    # parallelism first. Pairs are unique, so this split has no hot key.
-    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = keyed.repartition(parts, "userid", "eventid")
-
-    via_user = (
-        keyed.filter(F.col("user_deg") <= F.col("event_deg"))
-        .select("userid", "eventid")
-        .join(edge_n, "userid")
-        .join(attend_n, ["eventid", "friendid"])
+    # Users and events share the key column: as they are when their types agree, else as text.
+    same_type = pairs.schema["userid"].dataType == pairs.schema["eventid"].dataType
+
+    def key(name: str) -> Column:
+        return F.col(name) if same_type else F.col(name).cast("string")
+
+    by_user = F.col("user_deg") <= F.col("event_deg")
+    tagged = (
+        pairs.select("userid", "eventid")
+        .join(user_deg, "userid")
+        .join(event_deg, "eventid")
+        .select(
+            "userid",
+            "eventid",
+            by_user.alias("of_users"),
+            F.when(by_user, key("userid")).otherwise(key("eventid")).alias("key"),
+            F.when(by_user, key("eventid")).otherwise(key("userid")).alias("other"),
+        )
     )
-    via_event = (
-        keyed.filter(F.col("user_deg") > F.col("event_deg"))
-        .select("userid", "eventid")
-        .join(attend_n, "eventid")
-        .join(edge_n, ["userid", "friendid"])
+    no_count = F.lit(None).cast("long")
+    stack = edge_n.select(
+        F.lit(True).alias("of_users"), key("userid").alias("key"), "friendid", "edge_n",
+        *[no_count.alias(n) for n in names],
+    ).unionByName(
+        attend_n.select(
+            F.lit(False).alias("of_users"), key("eventid").alias("key"), "friendid", no_count.alias("edge_n"), *names
+        )
+    )
+    counts = ["edge_n", *names]
+    probe = stack.select(
+        (~F.col("of_users")).alias("of_users"), F.col("key").alias("other"), "friendid",
+        *[F.col(c).alias(f"_{c}") for c in counts],
+    )
+    matches = tagged.join(stack, ["of_users", "key"]).join(probe, ["of_users", "other", "friendid"])
+    either = {c: F.coalesce(c, f"_{c}") for c in counts}
+    return matches.groupBy("userid", "eventid").agg(
+        *[F.sum(either[n] * either["edge_n"]).cast("long").alias(n) for n in names]
     )
-    cols = ["userid", "eventid", *[(F.col(n) * F.col("edge_n")).alias(n) for n in names]]
-    matches = via_user.select(*cols).unionByName(via_event.select(*cols))
-    return matches.groupBy("userid", "eventid").agg(*[F.sum(n).cast("long").alias(n) for n in names])
 
 
 def has_edge(

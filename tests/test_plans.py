@@ -1,8 +1,11 @@
 """Physical-plan properties the scale design depends on."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from affinity.plans import features
+from affinity.sources import analog
 from tests.conftest import SF_SMALL
 
 
@@ -57,3 +60,45 @@ def test_bounds_are_scalar_subqueries(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" in p or "subquery" in p
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_friend_match_expands_the_pairs_once(spark):
+    p = plan_text(entry.queries()["friend_status_pivot"](spark, SF_SMALL))
+    scans = [l for l in p.splitlines() if "FileScan parquet" in l]
+    assert "REPARTITION_BY_NUM" not in p
+    assert sum("struct<userid:bigint,eventid:bigint" in l for l in scans) == 1
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("hot", ["userid", "eventid"])
+def test_a_hot_key_is_split_in_the_fact_join(spark, small_skew_limits, hot):
+    cold = {"userid": "eventid", "eventid": "userid"}[hot]
+    i = F.col("id")
+    fact = spark.range(0, 200_000, 1, 8).select(
+        F.when(i % 5 == 0, i % 997).otherwise(F.lit(7)).alias(hot),
+        i.alias(cold),
+        F.lit("1").alias("invited"),
+        F.lit("2012-10-02T10:00:00Z").alias("times"),
+    )
+    dims = analog.load(spark, SF_SMALL).dims
+    block = features.user_history_features if hot == "userid" else features.event_stat_features
+    out = block(fact, dims)
+    assert len(out.toPandas()) == 200_000
+    assert "skew=true" in plan_text(out)

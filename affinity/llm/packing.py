@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from affinity.llm.common import in_arrow, written
 
 END_ID = 1  # fixed value: the id after every document
-GROUP_DOCS = 4096  # documents whose pieces are packed together, on average
+GROUP_PIECES = 4096  # pieces that are packed together, on average
 SEQUENCE_BITS = 32  # of a sequence id, below the group's number
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, row long, ids binary"
@@ -178,7 +178,14 @@ def pack_documents(
     cut = pieces(docs, tokenizer, window).withColumn("ids_crc32", F.crc32("ids"))
     # Written, so that a task run again deals its pieces as before (`row` is a task's count).
     cut = written(cut if carry_ids else cut.drop("ids"), "pieces")
-    groups = max(1, math.ceil(cut.where("start = 0").count() / GROUP_DOCS))
-    dealt = cut.withColumn("pack", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "row"), F.lit(groups)))
+    # Full windows need no company: they are dealt apart, so that neither many documents nor
+    # many windows of long ones make a group large.
+    full = F.col("length") == window
+    n = cut.agg(F.count_if(~full).alias("rests"), F.count_if(full).alias("full")).first()
+    groups, more = (max(1, math.ceil(x / GROUP_PIECES)) for x in (n["rests"], n["full"]))
+    place = F.xxhash64("doc_id", "start", "ids_crc32", "row")
+    dealt = cut.withColumn(
+        "pack", F.when(full, F.pmod(place, F.lit(more)) + groups).otherwise(F.pmod(place, F.lit(groups)))
+    )
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema if f.name != "row")
     return dealt.groupBy("pack").applyInPandas(_pack_group(window), f"{kept}, sequence_id long, offset long")

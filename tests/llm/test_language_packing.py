@@ -66,7 +66,9 @@ def test_fill_is_the_best_subset_sum():
         assert sum(k * v for k, v in used.items()) == max(s for s in sums if s <= cap)
 
 
-def test_packing_round_trip(spark):
+@pytest.mark.parametrize("group_pieces", [packing.GROUP_PIECES, 3])
+def test_packing_round_trip(spark, monkeypatch, group_pieces):
+    monkeypatch.setattr(packing, "GROUP_PIECES", group_pieces)
     rows = hostile()
     got = packing.pack_documents(frame(spark, rows), default_tokenizer(), 256).collect()
     tok = packing.Tokenizer(default_tokenizer()[0])

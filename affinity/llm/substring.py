@@ -1,9 +1,9 @@
-"""Substring de-duplication by content-defined chunking.
+"""Repeated passages by winnowed fingerprints, extended to their true byte ends.
 
-A gear hash rolls over the bytes of a text; a boundary falls where the hash is the smallest
-within `REACH` bytes on either side. Boundaries depend on nearby bytes only, so an
-insertion moves the chunks around it and leaves the others alone. Chunks are de-duplicated
-by a 128-bit digest; neighbouring repeated chunks make one passage.
+The digest of the `GRAM` bytes at a place is a fingerprint if it is the smallest of some
+`REACH` successive ones, so two texts that share GRAM + REACH - 1 bytes share a fingerprint
+there, whatever stands around. Repeated fingerprints are seeds only: the bytes around each
+are compared with those around its other occurrences, and ranges that touch make one passage.
 """
 
 from __future__ import annotations
@@ -16,128 +16,261 @@ from pyspark.sql import functions as F
 from affinity.llm import kernels as K
 from affinity.llm.common import in_arrow
 
-REACH = 16  # chunks have more than this many bytes (but for a text's first and last)
-MIN_BYTES = 150  # of a passage that is reported
+GRAM, REACH = 32, 64  # any 95 bytes hold a whole window of fingerprints
+MIN_BYTES = 101  # of a passage that is reported: 51 words of one letter and the blanks between
+SPARE = 4  # last bytes of a fingerprint kept with what follows it, to end on a whole character
+WIDTH = REACH + SPARE
 
-CHUNKS = "doc_id long, start int, length int, d1 long, d2 long"
+PRINTS = "doc_id long, text_hash long, start int, d1 long, d2 long"
+SEEDS = "doc_id long, start int, d1 long, d2 long, before binary, after binary"
 
-_GEAR = K.mix(np.arange(256, dtype=np.uint64) + np.uint64(77)).astype(np.uint32)
 _VALUE = K.odd_constants(512, 21).reshape(2, 256)
 _BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F)  # odd
+_TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def gear(data: np.ndarray) -> np.ndarray:
-    """h[i] = 2 * h[i-1] + gear[byte i] modulo 2**32, for all i, by doubling the window."""
-    h = _GEAR[data]
-    width = 1
-    while width < 32:
-        shifted = np.zeros_like(h)
-        shifted[width:] = h[:-width] << np.uint32(width)
-        h = h + shifted
-        width *= 2
-    return h
+def _grams(data: np.ndarray, which: int) -> np.ndarray:
+    """The digest of the GRAM bytes at every place of `data`."""
+    base, n = _BASES[which], len(data) - GRAM + 1
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_VALUE[which][data] * K.powers(base, len(data)), out=total[1:])
+    return K.mix((total[GRAM:] - total[:n]) * K.powers(pow(base, -1, 1 << 64), len(data))[:n])
 
 
-def _least_before(h: np.ndarray, reach: int) -> np.ndarray:
-    """The minimum of the `reach` values before each position (reach is a power of two)."""
-    out = np.full(len(h), np.uint32(0xFFFFFFFF))
-    out[1:] = h[:-1]
+def _sliding(h: np.ndarray, least) -> np.ndarray:
+    """`least` (np.minimum or np.maximum) of every REACH successive values."""
     width = 1
-    while width < reach:
-        moved = np.full(len(h), np.uint32(0xFFFFFFFF))
-        moved[width:] = out[:-width]
-        out = np.minimum(out, moved)
+    while width < REACH:
+        h = least(h[:-width], h[width:])
         width *= 2
-    return out
+    return h
 
 
-def boundaries(data: np.ndarray) -> np.ndarray:
-    """Ascending positions where a new chunk starts, 0 excluded."""
-    h = gear(data)
-    least = (h < _least_before(h, REACH)) & (h <= _least_before(h[::-1], REACH)[::-1])
-    return np.flatnonzero(least)
+def winnow(h: np.ndarray) -> np.ndarray:
+    """Ascending places whose value is the smallest of some REACH successive ones. Equal
+    smallest values, as in periodic text, are thinned to about one in GRAM places."""
+    if len(h) <= REACH:
+        at = np.flatnonzero(h == h.min())
+    else:
+        beside = np.zeros(REACH - 1, dtype=np.uint64)
+        at = np.flatnonzero(_sliding(np.concatenate([beside, _sliding(h, np.minimum), beside]), np.maximum) == h)
+    fresh = np.ones(len(at), dtype=bool)
+    fresh[1:] = (h[at[1:]] != h[at[:-1]]) | (np.diff(at) > REACH)
+    since = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    fresh[1:] |= since[1:] // GRAM != since[:-1] // GRAM
+    return at[fresh]
 
 
-def _chunk(batches):
+def _print(batches):
     for batch in batches:
-        ids = batch.column("doc_id").cast(pa.int64())
-        texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        ids, hashes = batch.column("doc_id"), batch.column("text_hash")
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
         for lo, hi in K.blocks(texts):
-            lengths = np.fromiter((len(t) for t in texts[lo:hi]), dtype=np.int64, count=hi - lo)
-            ends = np.cumsum(lengths)
-            begins = ends - lengths
             data = np.frombuffer(b"".join(texts[lo:hi]), dtype=np.uint8)
-            if not len(data):
+            if len(data) < GRAM:
                 continue
-            # each text is cut by itself: boundaries must not depend on its neighbours
-            starts = np.concatenate(
-                [np.concatenate([[0], x[x > 0]]) + b for b, e in zip(begins, ends) if e > b for x in [boundaries(data[b:e])]]
-            )
-            stops = np.concatenate([starts[1:], [len(data)]])
-            owner = np.searchsorted(ends, starts, "right")
-            digests = []
-            for v, base in zip(_VALUE, _BASES):
-                total = np.zeros(len(data) + 1, dtype=np.uint64)
-                np.cumsum(v[data] * K.powers(base, len(data)), out=total[1:])
-                inverse = K.powers(pow(base, -1, 1 << 64), len(data))
-                digests.append(
-                    K.mix((total[stops] - total[starts]) * inverse[starts] + (stops - starts).astype(np.uint64))
-                )
+            # characters begin where no continuation byte stands
+            d1, d2 = _grams(data, 0), _grams(data, 1)
+            h = np.where((data[: len(d1)] & 0xC0) == 0x80, _TOP, d1)
+            at, owner, begin = [], [], 0
+            for i in range(lo, hi):
+                if len(texts[i]) >= GRAM:
+                    found = winnow(h[begin : begin + len(texts[i]) - GRAM + 1])
+                    at.append(found + begin), owner.append(np.full(len(found), i))
+                begin += len(texts[i])
+            if not at:
+                continue
+            lengths = np.fromiter((len(t) for t in texts[lo:hi]), dtype=np.int64, count=hi - lo)
+            begins = np.cumsum(lengths) - lengths
+            at, owner = np.concatenate(at), np.concatenate(owner)
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.slice(lo, hi - lo).take(pa.array(owner)),
-                    pa.array((starts - begins[owner]).astype(np.int32)),
-                    pa.array((stops - starts).astype(np.int32)),
-                    pa.array(digests[0].view(np.int64)),
-                    pa.array(digests[1].view(np.int64)),
+                    ids.take(pa.array(owner)),
+                    hashes.take(pa.array(owner)),
+                    pa.array((at - begins[owner - lo]).astype(np.int32)),
+                    pa.array(d1[at].view(np.int64)),
+                    pa.array(d2[at].view(np.int64)),
                 ],
-                names=["doc_id", "start", "length", "d1", "d2"],
+                names=["doc_id", "text_hash", "start", "d1", "d2"],
             )
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """Every chunk of every text: doc_id, start and length in bytes, digest (d1, d2)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return in_arrow(docs, _chunk, CHUNKS)
+def _surround(batches):
+    """The REACH bytes on either side of every seed, those before it in reverse."""
+    names = ["doc_id", "start", "d1", "d2", "before", "after"]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    for batch in batches:
+        rows = []
+        for doc_id, raw, seeds in zip(
+            batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("seeds")
+        ):
+            text = raw.as_py()
+            for s in seeds.as_py():
+                a, b = s["start"], s["start"] + GRAM
+                before = text[max(0, a - REACH) : a][::-1]
+                rows.append((doc_id, a, s["d1"], s["d2"], before, text[b - SPARE : b + REACH]))
+            if len(rows) >= 8192:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
+def _matrix(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    flat = np.frombuffer(b"".join(v.ljust(WIDTH, b"\0") for v in values), dtype=np.uint8)
+    return flat.reshape(-1, WIDTH), np.fromiter((len(v) for v in values), dtype=np.int64, count=len(values))
+
+
+def _common(m: np.ndarray, size: np.ndarray, x, y) -> np.ndarray:
+    """How many first bytes rows x and y have in common."""
+    differ = m[x] != m[y]
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), WIDTH)
+    return np.minimum(first, np.minimum(size[x], size[y]))
+
+
+def _whole(column: str, m: np.ndarray, size: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Lengths cut back to whole characters (at most three bytes), without blanks at the end."""
+    rows = np.arange(len(n))
+    while True:
+        last = m[rows, np.maximum(n - 1, 0)]
+        edge = last if column == "before" else m[rows, np.minimum(n, WIDTH - 1)]
+        split = ((edge & 0xC0) == 0x80) & ((n < size) | (column == "before"))
+        less = (n > 0) & (split | K.SPACES[last])
+        if not less.any():
+            return n
+        n = n - less
+
+
+def _keys(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names], axis=1)
+
+
+def _join(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def _against_first(batches):
+    """Rows ascend by digest, document and place. Adds the first document of the digest, and
+    the bytes in common with its first occurrence; repeated occurrences are left out."""
+    first = last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = [x for x in (first, last) if x is not None]
+        rows = _join([*held, batch])
+        digest, place = _keys(rows, ["d1", "d2"]), _keys(rows, ["doc_id", "start"])
+        n = rows.num_rows
+        new = np.ones(n, dtype=bool)
+        new[1:] = (digest[1:] != digest[:-1]).any(axis=1)
+        again = np.zeros(n, dtype=bool)
+        again[1:] = ~new[1:] & (place[1:] == place[:-1]).all(axis=1)
+        hub = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        shared = []
+        for column in ("before", "after"):
+            m, size = _matrix(rows.column(column).to_pylist())
+            shared.append(_whole(column, m, size, _common(m, size, np.arange(n), hub)))
+        own = (place == place[hub]).all(axis=1)
+        out = rows
+        for name, value in (
+            ("first_doc_id", place[hub, 0]),
+            ("own", own),
+            ("first_before", shared[0].astype(np.int32)),
+            ("first_after", shared[1].astype(np.int32)),
+        ):
+            out = out.append_column(name, pa.array(value))
+        keep = ~again
+        keep[: len(held)] = False
+        first, last = rows.slice(int(hub[-1]), 1), rows.slice(n - 1, 1)
+        yield out.filter(pa.array(keep))
+
+
+def _against_next(column: str):
+    """Rows ascend by digest and `column`. Adds the most bytes in common with another row of
+    the digest, which is the one before or the one after."""
+
+    def finish(rows, skip, stop):
+        digest = _keys(rows, ["d1", "d2"])
+        m, size = _matrix(rows.column(column).to_pylist())
+        x = np.arange(rows.num_rows - 1)
+        step = np.where((digest[1:] == digest[:-1]).all(axis=1), _common(m, size, x, x + 1), 0)
+        most = _whole(column, m, size, np.maximum(np.append(step, 0), np.append(0, step)))
+        return rows.append_column(f"any_{column}", pa.array(most.astype(np.int32))).slice(skip, stop - skip)
+
+    def run(batches):
+        held, skip = None, 0  # the last row waits for its neighbour; the one before it is done
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else _join([held, batch])
+            n = rows.num_rows
+            yield finish(rows, skip, n - 1)
+            keep = min(2, n)
+            held, skip = rows.slice(n - keep, keep), keep - 1
+        if held is not None:
+            yield finish(held, skip, held.num_rows)
+
+    return run
 
 
 def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """doc_id, start, end (bytes), n_chunks, first_doc_id, kept, copies: every passage of at
-    least `min_bytes` made of neighbouring chunks that also occur in another document.
-
-    A chunk's first document is the smallest one that has it. first_doc_id is the smallest
-    of a passage's chunks, and `kept` is true in that document. `copies` are the (start,
-    end) of the stretches whose chunks are first in other documents: a passage may join
-    chunks of several origins, and removing the copies everywhere leaves the first of every
-    chunk. Passages count from a few dozen bytes inside their true ends, where chunks
-    straddle them. Null and empty texts and rows without doc_id have no passages; rows that
-    repeat a doc_id are one document; further columns are ignored.
+    least `min_bytes` whose bytes also stand in another document.
+
+    Ends are the true ends, on whole characters, without blanks. n_chunks are the fingerprints that repeat
+    in the passage, first_doc_id the smallest document that has one of them, and `kept` is
+    true in that document. `copies` are the (start, end) of the stretches that stand at an
+    earlier place, in a smaller document or before in the same: a passage may join stretches
+    of several origins, and removing the copies everywhere leaves the first of each. Null
+    and empty texts and rows without doc_id have no passages; rows that repeat a doc_id are
+    one document; further columns are ignored.
     """
-    every = chunks(docs).where("doc_id IS NOT NULL")
-    shared = (
-        every.groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
-        .where("first_doc_id < last_doc_id")
-        .drop("last_doc_id")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
+    every = in_arrow(docs, _print, PRINTS)
+    digest = Window.partitionBy("d1", "d2")
+    seeds = (
+        every.withColumn("again", F.min("doc_id").over(digest) < F.max("doc_id").over(digest))
+        .where("again")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.collect_set(F.struct("start", "d1", "d2")).alias("seeds"))
+        .join(docs, ["doc_id", "text_hash"])
+        .select("doc_id", "text", "seeds")
     )
-    in_doc = Window.partitionBy("doc_id").orderBy("start", "length")
-    so_far = in_doc.rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("start") + F.col("length")
-    apart = F.coalesce(F.lag(end).over(in_doc) != F.col("start"), F.lit(True))
-    turns = F.lag("own").over(in_doc) != F.col("own")
+    found = in_arrow(seeds, _surround, SEEDS).repartition("d1", "d2").sortWithinPartitions("d1", "d2", "doc_id", "start")
+    held = f"{SEEDS}, first_doc_id long, own boolean, first_before int, first_after int"
+    found = in_arrow(found, _against_first, held)
+    for column in ("before", "after"):
+        held += f", any_{column} int"
+        found = in_arrow(found.sortWithinPartitions("d1", "d2", column), _against_next(column), held)
+    found = found.select(
+        "doc_id",
+        "first_doc_id",
+        "own",
+        (F.col("start") - F.col("any_before")).alias("start"),
+        (F.col("start") + GRAM - SPARE + F.col("any_after")).alias("end"),
+        (F.col("start") - F.col("first_before")).alias("from"),
+        (F.col("start") + GRAM - SPARE + F.col("first_after")).alias("to"),
+    )
+    copy = lambda c: F.when(~F.col("own"), F.col(c))
+    by_start = Window.partitionBy("doc_id").orderBy("start", "end")
+    by_copy = Window.partitionBy("doc_id", "run").orderBy("from", "to")
+    past = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    apart = F.coalesce(F.col("start") > F.max("end").over(past(by_start)), F.lit(True))
+    cut = ~F.col("own") & F.coalesce(F.col("from") > F.max(copy("to")).over(past(by_copy)), F.lit(True))
     return (
-        every.join(shared, ["d1", "d2"])
-        .groupBy("doc_id", "start", "length")  # rows that repeat a document
-        .agg(F.min("first_doc_id").alias("first_doc_id"))
-        .withColumn("own", F.col("doc_id") == F.col("first_doc_id"))
-        .withColumns({"apart": apart.cast("int"), "cut": (apart | turns).cast("int")})
-        .withColumns({"run": F.sum("apart").over(so_far), "piece": F.sum("cut").over(so_far)})
-        .groupBy("doc_id", "run", "piece", "own")
+        found.withColumn("apart", apart.cast("int"))
+        .withColumn("run", F.sum("apart").over(so_far(by_start)))
+        .withColumn("cut", cut.cast("int"))
+        .withColumn("piece", F.sum("cut").over(so_far(by_copy)))
+        .groupBy("doc_id", "run", "piece")
         .agg(
             F.min("start").alias("start"),
-            F.max(end).alias("end"),
+            F.max("end").alias("end"),
             F.count("*").alias("n_chunks"),
             F.min("first_doc_id").alias("first_doc_id"),
+            F.min(copy("from")).alias("from"),
+            F.max(copy("to")).alias("to"),
         )
         .groupBy("doc_id", "run")
         .agg(
@@ -145,7 +278,9 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             F.max("end").alias("end"),
             F.sum("n_chunks").alias("n_chunks"),
             F.min("first_doc_id").alias("first_doc_id"),
-            F.sort_array(F.collect_list(F.when(~F.col("own"), F.struct("start", "end")))).alias("copies"),
+            F.sort_array(
+                F.collect_list(F.when(F.col("from").isNotNull(), F.struct(F.col("from").alias("start"), F.col("to").alias("end"))))
+            ).alias("copies"),
         )
         .where(F.col("end") - F.col("start") >= min_bytes)
         .select(

@@ -175,3 +175,41 @@ def test_exact_dedup_judges_repeated_ids_by_text(spark):
     rows = [(20, "only here", None, "s", 1), (20, "copy", "en", "s", 1), (21, "copy", "en", "s", 1)]
     kept = exact_dedup(frame(spark, rows))
     assert {(r.doc_id, r.text) for r in kept.collect()} == {(20, "only here"), (21, "copy")}
+
+
+def passages(spark, texts):
+    rows = [(i, t, "en", "s", 1) for i, t in texts.items()]
+    return {(r.doc_id, r.start, r.end): r for r in repeated_passages(spark.createDataFrame(rows, DOCS)).collect()}
+
+
+def test_repeated_passages_of_short_words_reach_their_ends(spark):
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    texts, want = {}, set()
+    for k in range(150):  # 51 words of 1 to 3 letters, in two unrelated texts each
+        passage = " ".join(noise(3).replace(" ", "e")[: rng.randint(1, 1 + k % 3)] for _ in range(51))
+        for i in (2 * k, 2 * k + 1):
+            before = noise(rng.randint(0, 90)) + str(i % 2)
+            texts[i] = f"{before}{passage}{'XY'[i % 2]}{noise(rng.randint(0, 90))}"
+            want.add((i, len(before), len(before) + len(passage)))
+    assert set(passages(spark, texts)) == want
+
+
+def test_repeated_passages_of_periodic_text(spark):
+    rng = random.Random(13)
+    texts = {i: f"{sentence(rng, 'de', 30 + i)} {i}{unit * (720 // len(unit))}{i} {sentence(rng, 'fr', 40)}"
+             for i, unit in enumerate(["lorem ipsum ", "lorem ipsum ", "a", "a"])}
+    got = passages(spark, texts)
+    for i, t in texts.items():
+        at = t.index("lorem" if i < 2 else "a" * 300)
+        at = len(t[:at].encode())
+        assert any(d == i and start <= at and end >= at + 719 for d, start, end in got), i
+
+
+def test_repeated_passages_between_copies_of_earlier_pieces(spark):
+    rng = random.Random(14)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    whole = "q" + noise(398) + "q"
+    texts = {i: noise(80) + whole[40 * i : 40 * i + 40] + noise(80) for i in range(10)}  # earlier, too short
+    texts |= {20: noise(50) + "1" + whole + "2" + noise(50), 21: noise(70) + "3" + whole + "4" + noise(50)}
+    assert set(passages(spark, texts)) == {(20, 51, 451), (21, 71, 471)}

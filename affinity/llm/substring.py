@@ -214,7 +214,7 @@ def _against_next(column: str):
 
 def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """doc_id, start, end (bytes), n_chunks, first_doc_id, kept, copies: every passage of at
-    least `min_bytes` whose bytes also stand in another document.
+    least `min_bytes` whose bytes also stand in another document or elsewhere in the same.
 
     Ends are the true ends, on whole characters, without blanks. n_chunks are the fingerprints that repeat
     in the passage, first_doc_id the smallest document that has one of them, and `kept` is
@@ -228,8 +228,9 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
     every = in_arrow(docs, _print, PRINTS)
     digest = Window.partitionBy("d1", "d2")
+    least, most = ({c: f(c).over(digest) for c in ("doc_id", "start")} for f in (F.min, F.max))
     seeds = (
-        every.withColumn("again", F.min("doc_id").over(digest) < F.max("doc_id").over(digest))
+        every.withColumn("again", (least["doc_id"] < most["doc_id"]) | (least["start"] < most["start"]))
         .where("again")
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct("start", "d1", "d2")).alias("seeds"))

@@ -213,3 +213,20 @@ def test_repeated_passages_between_copies_of_earlier_pieces(spark):
     texts = {i: noise(80) + whole[40 * i : 40 * i + 40] + noise(80) for i in range(10)}  # earlier, too short
     texts |= {20: noise(50) + "1" + whole + "2" + noise(50), 21: noise(70) + "3" + whole + "4" + noise(50)}
     assert set(passages(spark, texts)) == {(20, 51, 451), (21, 71, 471)}
+
+
+def test_repeated_passages_inside_one_document(spark):
+    rng = random.Random(15)
+    block = sentence(rng, "fr", 60)
+    texts = {4: " | ".join(x for i in range(30) for x in (sentence(rng, "en", 9), f"{i} {block}"))}
+    texts[9] = f"{sentence(rng, 'de', 20)} {block} {sentence(rng, 'de', 20)}"
+    got = passages(spark, texts)
+    assert {d for d, _, _ in got} == {4, 9} and len(got) == 31
+    left = {i: t.encode() for i, t in texts.items()}
+    for (doc, _, _), r in sorted(got.items(), reverse=True):
+        for start, end in reversed(r.copies):
+            left[doc] = left[doc][:start] + left[doc][end:]
+    assert [left[i].count(block.encode()) for i in (4, 9)] == [1, 0]
+    assert not any(w in left[9].decode() for w in block.split() if w[-1].isdigit() and len(w) > 4)
+    alone = passages(spark, {5: f"{block}. {sentence(rng, 'en', 30)}. {block}"})
+    assert [(start, len(r.copies)) for (_, start, _), r in sorted(alone.items())] == [(0, 0), (min(s for _, s, _ in alone if s), 1)]

@@ -14,6 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,20 @@ _PLACE = K.odd_constants(SPAN * len(MASKS), 11).reshape(len(MASKS), SPAN)
 _TABLE_BITS = 22
 
 
+# Scripts written without spaces: every character is a word.
+_SPACELESS = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
+
+
 def _words(texts: list[str]) -> K.Words:
-    return K.Words([t.lower().encode() for t in texts], K.NOT_WORD)
+    lower = [t.lower() for t in texts]
+    out = [t.encode() for t in lower]
+    wide = [i for i, t in enumerate(lower) if not t.isascii()]
+    if wide:
+        plain = pc.replace_substring_regex(pa.array([lower[i] for i in wide]), r"[^\p{L}\p{M}\p{N}]+", " ")
+        plain = pc.replace_substring_regex(plain, _SPACELESS, r" \1 ")
+        for i, t in zip(wide, plain.cast(pa.binary()).to_pylist()):
+            out[i] = t
+    return K.Words(out, K.NOT_WORD)
 
 
 def _seeds(w: np.ndarray, mask: int) -> np.ndarray:
@@ -180,7 +193,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per (document, benchmark item) that overlap, with the word ranges of the best
     overlap in both, the words that agree and their share.
 
-    Words are runs of letters and digits, lower-cased. The benchmark is held in blocks of
+    Words are runs of letters, marks and digits, lower-cased, and single characters in
+    scripts without spaces. The benchmark is held in blocks of
     bounded size, one pass over the documents each, so it may be of any size. Null and empty
     texts overlap with nothing, on either side; repeated rows are reported each; rows
     without an id are reported with a null id; further columns are ignored.

@@ -179,3 +179,27 @@ def test_distrust_flows_backwards_and_trust_forwards(spark):
     assert abs(got[6].distrust - 0.85**2) < 1e-9 and got[6].verdict == "block"
     assert abs(got[4].trust - (0.85 / 2 + 0.85**2 / 2)) < 1e-9 and got[4].verdict == "allow"
     assert got[5].verdict == "allow" and abs(got[5].trust - 0.425) < 1e-9 and got[5].distrust == 0
+
+
+def test_overlaps_break_words_at_any_punctuation(spark):
+    rng = random.Random(10)
+    item = sentence(rng, "en", 20).split()
+    chinese = "人工智能系统在处理自然语言时需要大量高质量的训练数据来学习语法和语义"
+    thai = "ภาษาไทยเป็นภาษาที่เขียนโดยไม่มีการเว้นวรรคระหว่างคำ"
+    items = [(1, " ".join(item)), (2, chinese), (3, thai)]
+    gaps = [" ", "—", "… ", " “", "　", "，", " "]
+    rows = [
+        (100 + i, sentence(rng, "fr", 20) + " " + gap.join(item) + "” " + sentence(rng, "fr", 20), None, None, None)
+        for i, gap in enumerate(gaps)
+    ]
+    rows += [
+        (200, "今天的天气非常好我们一起去公园散步吧" + chinese + "然后回家吃饭看电视睡觉", None, None, None),
+        (201, "今天的天气非常好我们一起去公园散步吧然后回家吃饭看电视睡觉", None, None, None),
+        (202, "สวัสดีครับ" + thai + "ขอบคุณมาก", None, None, None),
+    ]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = D.overlaps(docs, spark.createDataFrame(items, BENCH)).collect()
+    want = {(100 + i, 1) for i in range(len(gaps))} | {(200, 2), (202, 3)}
+    assert {(r.doc_id, r.item_id) for r in got} == want and all(r.similarity == 1 for r in got)
+    kept = D.decontaminate(docs, spark.createDataFrame(items, BENCH))
+    assert [r.doc_id for r in kept.collect()] == [201]

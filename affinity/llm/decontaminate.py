@@ -23,7 +23,7 @@ from affinity.llm.common import in_arrow
 
 SPAN = 10
 MASKS = ("1110010011", "1101001011", "1010110101", "1100111010")  # 1: the position is hashed
-MIN_WORDS = 10  # words that must agree (or the whole item, if it is shorter)
+MIN_WORDS = 10  # words that must agree (or MIN_SHARE of the item, if it is shorter than 14)
 MIN_SHARE = 0.75  # of the overlap's words, at least, must agree
 BLOCK = 8 << 20  # bytes of benchmark text that one pass over the documents holds
 
@@ -62,6 +62,11 @@ def _seeds(w: np.ndarray, mask: int) -> np.ndarray:
     return K.mix(acc)
 
 
+def _needed(n: int) -> int:
+    """The words of an item of n words that must agree."""
+    return min(MIN_WORDS, math.ceil(MIN_SHARE * n))
+
+
 class Index:
     """Seed hashes of a bounded block of benchmark items, with the words to verify."""
 
@@ -69,11 +74,16 @@ class Index:
         words = _words([t for _, t in items])
         self.ids = [i for i, _ in items]
         self.words = [words.hashes[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
-        self.short = defaultdict(list)  # items of fewer words than a mask spans, by first word
+        # Items of which fewer than MIN_WORDS suffice, or just as many: (item, place) by word. One
+        # more of their longest words than may differ, so one of these agrees.
+        self.short = defaultdict(list)
+        sizes = words.ends - words.starts
         hashes, owner, start = [], [], []
         for k, w in enumerate(self.words):
-            if 0 < len(w) < SPAN:
-                self.short[int(w[0])].append(k)
+            if 0 < len(w) and MIN_SHARE * len(w) <= MIN_WORDS:
+                longest = np.argsort(-sizes[words.bounds[k] : words.bounds[k + 1]], kind="stable")
+                for q in longest[: len(w) - _needed(len(w)) + 1]:
+                    self.short[int(w[q])].append((k, int(q)))
             for m in range(len(MASKS)):
                 s = _seeds(w, m)
                 hashes.append(s), owner.append(np.full(len(s), k)), start.append(np.arange(len(s)))
@@ -84,7 +94,7 @@ class Index:
         self.start = (np.concatenate(start) if start else np.zeros(0, int))[order]
         self.maybe = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.maybe[self.hashes & np.uint64((1 << _TABLE_BITS) - 1)] = True
-        self.first_words = np.array(sorted(self.short), dtype=np.uint64)
+        self.short_words = np.array(sorted(self.short), dtype=np.uint64)
 
     def hits(self, words: K.Words):
         """(window start in the block, item number, window start in the item) of equal seeds."""
@@ -97,27 +107,45 @@ class Index:
             for p, lo, hi in zip(at[right > left], left[right > left], right[right > left]):
                 for q in range(lo, hi):
                     yield int(p), int(self.owner[q]), int(self.start[q])
-        if len(self.first_words):
-            for p in np.flatnonzero(np.isin(words.hashes, self.first_words)):
-                for k in self.short[int(words.hashes[p])]:
-                    yield int(p), k, 0
+        if len(self.short_words):
+            for p in np.flatnonzero(np.isin(words.hashes, self.short_words)):
+                for k, q in self.short[int(words.hashes[p])]:
+                    yield int(p), k, q
 
     def overlap(self, doc: np.ndarray, k: int, shift: int):
         """The best overlap of item k laid at word `shift` of a document, or None: the run
-        of the highest score (an agreeing word +1, another -2) that is long enough."""
+        of the highest score (an agreeing word +1, another -2) or, where too few of its words
+        agree, the run with most agreeing words of all that have MIN_SHARE of them."""
         item = self.words[k]
         lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
         same = doc[shift + lo : shift + hi] == item[lo:hi]
+        need = _needed(len(item))
+        if np.count_nonzero(same) < need:
+            return None
         total = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
         gain = total - np.minimum.accumulate(total)
         end = int(np.argmax(gain))
         begin = int(np.argmin(total[: end + 1]))
         matched = int(same[begin:end].sum())
-        if matched < min(MIN_WORDS, len(item)) or matched < MIN_SHARE * (end - begin):
-            return None
+        if matched < need or matched < MIN_SHARE * (end - begin):
+            begin, end = _longest(same)
+            matched = int(same[begin:end].sum())
+            if matched < need:
+                return None
         return matched, shift + lo + begin, shift + lo + end, lo + begin, lo + end
 
 
+def _longest(same: np.ndarray) -> tuple[int, int]:
+    """The run with most agreeing words, of all runs of which MIN_SHARE agree."""
+    agree = np.concatenate([[0], np.cumsum(same)])
+    spare = agree - MIN_SHARE * np.arange(len(agree))  # no less at a run's end than at its start
+    # for every end the leftmost start: the first place where the least so far is low enough
+    begin = np.searchsorted(-np.minimum.accumulate(spare), -spare, "left")
+    end = int(np.argmax(agree - agree[begin]))
+    kept = np.flatnonzero(same[begin[end] : end]) + begin[end]
+    return int(kept[0]), int(kept[-1]) + 1
+
+
 def _best(ix: Index, texts: list[str]) -> dict:
     """(text number, item number) to the best overlap of the two."""
     words = _words(texts)

@@ -4,6 +4,8 @@ import gzip
 import hashlib
 import random
 
+import numpy as np
+
 from affinity.llm import decontaminate as D
 from affinity.llm import licenses, url_filter, warc
 from affinity.llm.contract import RULES
@@ -203,3 +205,36 @@ def test_overlaps_break_words_at_any_punctuation(spark):
     assert {(r.doc_id, r.item_id) for r in got} == want and all(r.similarity == 1 for r in got)
     kept = D.decontaminate(docs, spark.createDataFrame(items, BENCH))
     assert [r.doc_id for r in kept.collect()] == [201]
+
+
+def test_overlaps_try_every_run_and_scale_with_short_items(spark):
+    words = [f"w{i}" for i in range(108)]
+    changed = [w if i >= 96 or i % 16 < 11 else f"x{i}" for i, w in enumerate(words)]  # 72% agree
+    short = {n: [f"s{n}of{i}" for i in range(n)] for n in (4, 8, 10, 12, 13)}
+    items = [(0, " ".join(words))] + [(n, " ".join(w)) for n, w in short.items()]
+    rows = [(100, " ".join(changed), None, None, None)]
+    for n, w in short.items():
+        for first in range(n):  # as many changed as a quarter is, and one more
+            for more in (0, 1):
+                out = {(first + 3 * j) % n for j in range(n // 4 + more)}
+                text = " ".join("z" if i in out else x for i, x in enumerate(w))
+                rows.append((1000 * n + 10 * first + more, f"a b {text} c d", None, None, None))
+    got = D.overlaps(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, BENCH)).collect()
+    hit = next(r for r in got if r.doc_id == 100)
+    assert hit.matched >= 12 and hit.matched >= 0.75 * (hit.doc_end - hit.doc_start)
+    found = {r.doc_id for r in got}
+    for n in short:
+        assert all(1000 * n + 10 * first in found for first in range(n)), n
+    assert {i for i in found if i > 100 and i % 10} == set()
+
+
+def test_longest_run_matches_brute_force():
+    rng = random.Random(11)
+    for _ in range(300):
+        same = np.array([rng.random() < 0.7 for _ in range(rng.randint(1, 40))] + [True])
+        begin, end = D._longest(same)
+        assert same[begin:end].sum() >= D.MIN_SHARE * (end - begin)
+        assert same[begin:end].sum() == max(
+            same[a:b].sum() for a in range(len(same)) for b in range(a + 1, len(same) + 1)
+            if same[a:b].sum() >= D.MIN_SHARE * (b - a)
+        )

@@ -34,7 +34,8 @@ RULES = (
     url_filter.Rule("block", "example.com", "/de/"),
     url_filter.Rule("allow", "org", "/fr/"),
 )
-PAGERANK_PASSES, DAMPING, BLOCK_ABOVE = 10, 0.85, 0.5
+DAMPING, BLOCK_ABOVE = 0.85, 0.5
+PAGERANK_PASSES = 10  # of the oracle SQL only, which unrolls them
 
 
 def default_tokenizer() -> tuple:
@@ -120,7 +121,7 @@ def op9_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_link_graph_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(
-        table(spark, sf_dir, "pages"), RULES, PAGERANK_PASSES, DAMPING, BLOCK_ABOVE
+        table(spark, sf_dir, "pages"), RULES, damping=DAMPING, threshold=BLOCK_ABOVE
     )
     return judged.select("page_id", "host", "path", "rule", "verdict")
 

@@ -3,11 +3,12 @@
 
 Trust starts at hosts whose pages the rules allow and follows links; distrust starts at
 hosts whose pages they block and follows links backwards. Both are personalised PageRanks
-over the host graph, as a fixed number of join-and-sum passes.
+over the host graph, as join-and-sum passes until the ranks stand still.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -66,11 +67,15 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, passes: int, damping: float, name: str) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float, damping: float, name: str) -> DataFrame:
     """Personalised PageRank: edges (src, dst, links), seeds (host, seed) to (host, rank).
 
     rank = seed + damping * sum over in-links of the linking host's rank by link share: a
-    host without links has its seed as rank. Hosts absent from the result have rank 0."""
+    host without links has its seed as rank. Hosts absent from the result have rank 0.
+
+    Ranks only grow, and the sum grows by `damping` times the last growth at most, so what a
+    host still lacks is bounded by the last growth: passes end when it is below `tolerance`,
+    at the latest after as many as the sum of the seeds takes to shrink to that."""
     out = edges.groupBy("src").agg(F.sum("links").alias("total"))
     shares = written(
         edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("total")).alias("share")), name
@@ -78,7 +83,9 @@ def propagate(edges: DataFrame, seeds: DataFrame, passes: int, damping: float, n
     rank = seeds.select("host", F.col("seed").alias("rank"))
     if shares.isEmpty():
         return rank
-    for _ in range(passes):
+    left = tolerance * (1 - damping) / damping
+    mass = seeds.agg(F.sum("seed")).first()[0] or 0.0
+    for _ in range(math.ceil(math.log(left / mass) / math.log(damping)) if mass > left else 0):
         sent = (
             rank.join(shares, rank.host == shares.src)
             .groupBy(F.col("dst").alias("host"))
@@ -90,13 +97,16 @@ def propagate(edges: DataFrame, seeds: DataFrame, passes: int, damping: float, n
             .agg(F.sum("part").alias("rank")),
             name,
         )
+        before, mass = mass, rank.agg(F.sum("rank")).first()[0]
+        if mass - before <= left:
+            break
     return rank
 
 
 def judge_urls(
     pages: DataFrame,
     rules: Sequence[Rule],
-    passes: int = 10,
+    tolerance: float = 1e-6,
     damping: float = 0.85,
     threshold: float = 0.5,
 ) -> DataFrame:
@@ -106,7 +116,8 @@ def judge_urls(
     Without a rule a page is blocked when its host's distrust exceeds its trust by more
     than `threshold`, the weight of a host with that share of blocked pages; hosts that
     neither reaches are allowed. Null URLs and URLs without `://` have an empty host, which
-    is never a seed; null html has no links. Ties at the threshold are allowed.
+    is never a seed; null html has no links. Ties at the threshold are allowed. Trust and
+    distrust are `tolerance` below their limits at most.
     """
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
@@ -123,10 +134,10 @@ def judge_urls(
     edges = written(host_links(pages), "host-edges")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
     trust = propagate(
-        edges, hosts.where("allowed > 0").select("host", F.col("allowed").alias("seed")), passes, damping, "trust"
+        edges, hosts.where("allowed > 0").select("host", F.col("allowed").alias("seed")), tolerance, damping, "trust"
     )
     distrust = propagate(
-        back, hosts.where("blocked > 0").select("host", F.col("blocked").alias("seed")), passes, damping, "distrust"
+        back, hosts.where("blocked > 0").select("host", F.col("blocked").alias("seed")), tolerance, damping, "distrust"
     )
     ranks = (
         hosts.select("host")

@@ -238,3 +238,16 @@ def test_longest_run_matches_brute_force():
             same[a:b].sum() for a in range(len(same)) for b in range(a + 1, len(same) + 1)
             if same[a:b].sum() >= D.MIN_SHARE * (b - a)
         )
+
+
+def test_distrust_in_cycles_and_along_long_chains(spark):
+    link = lambda *hosts: "".join(f'<a href="http://{h}/p">y</a>' for h in hosts)
+    rows = [(0, "http://bad.net/x", None)]
+    rows += [(i, f"http://f{i}.com/x", link("bad.net", *{1: ["f2.com"], 2: ["f1.com"]}.get(i, []))) for i in range(1, 11)]
+    rows.append((20, "http://good.org/fr/x", link("c0.com")))  # a chain of 25 links
+    rows += [(21 + i, f"http://c{i}.com/x", link(f"c{i + 1}.com")) for i in range(25)]
+    got = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, PAGES), RULES).collect()}
+    for i in (1, 2):  # r = 0.085 + 0.85 r
+        assert abs(got[i].distrust - 0.085 / 0.15) < 1e-5 and got[i].verdict == "block"
+    assert abs(got[3].distrust - 0.085) < 1e-5 and got[3].verdict == "allow"
+    assert abs(got[45].trust - 0.85**25) < 1e-5

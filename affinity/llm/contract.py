@@ -99,7 +99,7 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = F.broadcast(licenses.known_digests(spark))  # as many rows as KNOWN at most
+    known = F.broadcast(licenses.known_digests(spark))  # as many rows as known_texts() at most
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), known)
 
 

@@ -7,6 +7,9 @@ looked up, and each line by itself, since notices often stand as one line of a d
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,21 +73,70 @@ KNOWN = (
     ("CC0-1.0", "public-domain", "Released under CC0 1.0."),
 )
 
+# Whole licence texts: (name, class, file under license_texts, headings it also stands under,
+# the line after which a copy may end).
+_END = "END OF TERMS AND CONDITIONS"
+TEXTS = (
+    ("Apache-2.0", "permissive", "Apache-2.0.txt", (), _END),
+    ("BSD-2-Clause", "permissive", "BSD-2-Clause.txt", ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License"), None),
+    ("BSD-3-Clause", "permissive", "BSD-3-Clause.txt", ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License"), None),
+    ("BSD-3-Clause", "permissive", "BSD-3-Clause-Regents.txt", ("BSD 3-Clause License",), None),
+    ("BSL-1.0", "permissive", "BSL-1.0.txt", (), None),
+    ("GPL-2.0", "copyleft", "GPL-2.txt", (), _END),
+    ("GPL-3.0", "copyleft", "GPL-3.txt", (), _END),
+    ("LGPL-2.1", "copyleft", "LGPL-2.1.txt", (), _END),
+    ("LGPL-3.0", "copyleft", "LGPL-3.txt", (), None),
+    ("MPL-2.0", "copyleft", "MPL-2.0.txt", (), None),
+    ("CC0-1.0", "public-domain", "CC0-1.0.txt", (), None),
+    ("Unlicense", "public-domain", "Unlicense.txt", ("The Unlicense", "UNLICENSE"), None),
+)
+_HEADINGS = {"MIT": ("The MIT License (MIT)", "The MIT License", "MIT License (MIT)"), "ISC": ("The ISC License", "ISC License (ISC)")}
+
+# The oracle SQL takes out these lines only; all of them are also in COPYRIGHT below, up to a notice.
 COPYRIGHT_LINE = r"(?im)^[^\p{L}\p{N}\n]*(copyright\b|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$"
 
+# Lines of a copyright (with its sign, a year or a holder; not the sentences of a licence that
+# start a line with "copyright holder", "copyright license" and the like), up to a licence
+# notice on the same line.
+COPYRIGHT = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:(?i:copyright)\s*(?:\((?i:c)\)|©)|©|(?i:copyright\b|\(c\))(?=[^\n]*[0-9]{4})"
+    r"|(?:Copyright|COPYRIGHT)[ \t]+(?!(?i:holders?|owners?|notices?|licen[sc]es?|laws?|treat(?:y|ies)|and|or|interests?"
+    r"|disclaimer|statements?|protection|infringement|is|in|as|to|for|status|rights?|year)\b)(?=[^\n]))"
+    r"[^\n]*?(?=$|[.;,]\s+(?i:licensed|released|distributed|published|this|permission|redistribution|spdx)\b)"
+)
+RESERVED = r"(?im)^[^\p{L}\p{N}\n]*all rights? reserved[^\p{L}\p{N}\n]*$"
+
 
 def canonical(text: Column) -> Column:
-    """Lower case; copyright lines out; runs of anything but letters and digits as one
+    """Lower case; copyright lines and lines of reserved rights out; runs of anything but letters and digits as one
     space; equivalent spellings as one. Null stays null."""
-    c = F.regexp_replace(text, COPYRIGHT_LINE, "")
+    c = F.regexp_replace(F.regexp_replace(text, COPYRIGHT, ""), RESERVED, "")
     c = F.concat(F.lit(" "), F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     for a, b in SPELLINGS:
         c = F.replace(c, F.lit(f" {a} "), F.lit(f" {b} "))
     return F.trim(F.regexp_replace(c, " +", " "))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+def known_texts() -> list[tuple[str, str, str]]:
+    """KNOWN and the whole licence texts, under each heading and with each usual end."""
+    out = list(KNOWN)
+    for name, kind, body in (("MIT", "permissive", _MIT), ("ISC", "permissive", _ISC)):
+        out += [(name, kind, f"{heading}\n\n{body}") for heading in _HEADINGS[name]]
+    for name, kind, file, headings, end in TEXTS:
+        whole = (Path(__file__).parent / "license_texts" / file).read_text("utf-8")
+        ends = [whole]
+        if end:
+            at = whole.index(end)
+            ends += [whole[:at], whole[: at + len(end)]]
+        if name.startswith("BSD"):  # conditions without numbers
+            ends.append(re.sub(r"(?m)^[0-9]\. ", "* ", whole))
+        out += [(name, kind, f"{heading}\n\n{text}") for text in ends for heading in ("", *headings)]
+    return out
+
+
+def known_digests(spark: SparkSession, known=None) -> DataFrame:
     """license, license_class, digest of the known texts; equal digests are one entry."""
+    known = known_texts() if known is None else known
     rows = spark.createDataFrame(list(known), "license string, license_class string, text string")
     return (
         rows.withColumn("digest", F.sha2(canonical(F.col("text")), 256))

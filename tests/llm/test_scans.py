@@ -251,3 +251,30 @@ def test_distrust_in_cycles_and_along_long_chains(spark):
         assert abs(got[i].distrust - 0.085 / 0.15) < 1e-5 and got[i].verdict == "block"
     assert abs(got[3].distrust - 0.085) < 1e-5 and got[3].verdict == "allow"
     assert abs(got[45].trust - 0.85**25) < 1e-5
+
+
+def test_whole_licenses_under_any_copyright_line(spark):
+    from pathlib import Path
+
+    folder = Path(licenses.__file__).parent / "license_texts"
+    text = {n: (folder / f).read_text() for n, _, f, _, _ in licenses.TEXTS}
+    mit = next(t for n, _, t in licenses.KNOWN if n == "MIT" and len(t) > 500)
+    wrapped = {n: " ".join(t.split()) for n, t in text.items() if "Copyright (" not in t and "All rights" not in t}
+    rows = [(i, t, n, "s", 1) for i, (n, t) in enumerate(text.items())]
+    rows += [(100 + i, t, n, "s", 1) for i, (n, t) in enumerate(wrapped.items()) if n != "Apache-2.0"]
+    headed = "BSD 3-Clause License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n" + text["BSD-3-Clause"]
+    body = mit.split("\n\n", 1)[1]
+    one = (folder / "BSD-3-Clause.txt").read_text()
+    rows += [
+        (200, "The MIT License (MIT)\n\nCopyright (c) The Authors\n\n" + body, "MIT", "s", 1),
+        (201, "MIT License\n\nCopyright Some Company\nAll rights reserved.\n\n" + body, "MIT", "s", 1),
+        (202, "Copyright 2020 X. Licensed under the MIT License.", "MIT", "s", 1),
+        (203, headed, "BSD-3-Clause", "s", 1),
+        (204, "BSD 3-Clause License\n\nCopyright Me\n\n" + one.replace("2. ", "* ").replace("1. ", "* ").replace("3. ", "* "), "BSD-3-Clause", "s", 1),
+        (205, text["Apache-2.0"].split("   END OF TERMS")[0], "Apache-2.0", "s", 1),
+        (206, body.replace("AUTHORS OR COPYRIGHT", "AUTHORS OR\nCOPYRIGHT").replace("above copyright", "above\ncopyright"), "MIT", "s", 1),
+        (207, "Copyright law is no licence", None, "s", 1),
+    ]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, DOCS), licenses.known_digests(spark)).where("unit = 'text'")
+    got = {r.doc_id: r.license for r in found.collect()}
+    assert got == {r[0]: r[2] for r in rows if r[2]}

@@ -8,6 +8,7 @@ valid gzip member or version line, goes on from there, and reports the bytes pas
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -102,88 +103,151 @@ class Found(NamedTuple):
     payload_bytes: int = 0
 
 
-_START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
+_START = re.compile(rb"WARC/[0-9]+\.[0-9]+\r?\n|\x1f\x8b\x08")
+_BLANK = re.compile(rb"\r?\n\r?\n")  # the end of a header; some writers use bare line feeds
+_ENDS = re.compile(rb"\r\n\r\n|\n\n")
+PIECE = 1 << 12  # bytes at a time from a member that does not decompress as a whole
 _NUMBER = re.compile(r"\d+")
 
 
 def _fields(raw: bytes) -> list[tuple[str, str]]:
     """(name, value) of the lines after the first; a line without a colon has no name."""
-    parts = (x.rpartition(":") if ":" not in x else x.partition(":") for x in raw.decode("utf-8", "replace").split("\r\n")[1:])
+    parts = (x.rpartition(":") if ":" not in x else x.partition(":") for x in re.split("\r?\n", raw.decode("utf-8", "replace"))[1:])
     return [(k.strip().lower(), v.strip()) for k, _, v in parts]
 
 
+def _agrees(said: str, data: bytes) -> bool | None:
+    """Whether `data` has the digest said (hexadecimal or base32), None if that cannot be told."""
+    name, _, value = said.partition(":")
+    name, value = name.strip().lower().replace("-", ""), value.strip()
+    if name not in ("md5", "sha1", "sha256", "sha384", "sha512") or not value:
+        return None
+    digest = hashlib.new(name, data, usedforsecurity=False).digest()
+    return value.lower() == digest.hex() or value.upper().rstrip("=") == base64.b32encode(digest).decode().rstrip("=")
+
+
+def _unchunked(payload: bytes) -> bytes:
+    """A payload sent in chunks, put together; what is no chunk ends it."""
+    out, at = [], 0
+    while found := re.compile(rb"([0-9A-Fa-f]+)[^\r\n]*\r\n").match(payload, at):
+        size = int(found[1], 16)
+        out.append(payload[found.end() : found.end() + size])
+        at = found.end() + size + 2
+        if not size:
+            break
+    return b"".join(out)
+
+
 def _parse(data: bytes, at: int) -> Found | str:
     """The record at `at`, or what is wrong with it."""
-    end = data.find(b"\r\n\r\n", at)
-    if end < 0:
+    closed = _BLANK.search(data, at)
+    if not closed:
         return "header not closed"
-    fields = _fields(data[at:end])
+    fields = _fields(data[at : closed.start()])
     headers, names = dict(fields), [k for k, _ in fields]
     # A header cut off runs into the next record's: a line without a name, or a field twice.
     if "" in names or any(names.count(k) != 1 for k in MANDATORY):
         return "malformed header"
     if not _NUMBER.fullmatch(headers.get("content-length", "")):
         return "no content length"
-    first, last = end + 4, end + 4 + int(headers["content-length"])
+    first, last = closed.end(), closed.end() + int(headers["content-length"])
     if last > len(data):
         return "block truncated"
-    if data[last : last + 4] != b"\r\n\r\n":
+    stop = _ENDS.match(data, last)
+    if not stop:
         return "no record end"
     block = data[first:last]
-    payload, size = block, len(block)
+    payload, size, http = block, len(block), {}
+    revisit = headers.get("warc-type") == "revisit"
     if headers.get("content-type", "").startswith("application/http"):
-        cut = block.find(b"\r\n\r\n")
-        if cut < 0:
+        cut = _BLANK.search(block)
+        if not cut:
             return "http header not closed"
-        payload, size = block[cut + 4 :], len(block) - cut - 4
-        if headers.get("warc-type") == "revisit":
-            said = dict(_fields(block[:cut])).get("content-length", "")
+        payload, size = block[cut.end() :], len(block) - cut.end()
+        http = dict(_fields(block[: cut.start()]))
+        if revisit:
+            said = http.get("content-length", "")
             size = int(said) if _NUMBER.fullmatch(said) else 0
-    digest = headers.get("warc-payload-digest", "")
-    if digest.startswith("sha256:") and headers.get("warc-type") != "revisit":
-        if hashlib.sha256(payload).hexdigest() != digest[7:]:
+    if _agrees(headers.get("warc-block-digest", ""), block) is False:
+        return "block digest differs"
+    # A segment's payload digest is that of the whole payload, a revisit's of another record's.
+    said = "" if revisit or "warc-segment-number" in headers else headers.get("warc-payload-digest", "")
+    if _agrees(said, payload) is False:
+        chunked = "chunked" in http.get("transfer-encoding", "").lower()
+        if not (chunked and _agrees(said, _unchunked(payload))):
             return "payload digest differs"
-    return Found(at, last + 4 - at, headers=headers, payload=payload, payload_bytes=size)
+    return Found(at, stop.end() - at, headers=headers, payload=payload, payload_bytes=size)
+
+
+def _before_damage(data: bytes) -> bytes:
+    """What a gzip member that does not decompress as a whole gives before its damage."""
+    member, out = zlib.decompressobj(31), []
+    for lo in range(0, len(data), PIECE):
+        spare = member.copy()
+        try:
+            out.append(member.decompress(data[lo : lo + PIECE]))
+        except zlib.error:
+            try:
+                for i in range(lo, min(lo + PIECE, len(data))):
+                    out.append(spare.decompress(data[i : i + 1]))
+            except zlib.error:
+                break
+    return b"".join(out)
+
+
+def _checked(f: Found) -> bool:
+    """Whether a digest speaks for the record's bytes."""
+    return any(_agrees(f.headers.get(k, ""), b"") is not None for k in ("warc-block-digest", "warc-payload-digest"))
+
 
+def _at(data: bytes, at: int) -> tuple[list[Found], int | None, str | None] | str:
+    """What starts at `at`: the records of a gzip member or one plain record, and the end; or
+    what is wrong. A damaged member has no end, but what is wrong and the records before.
 
-def _at(data: bytes, at: int) -> tuple[list[Found], int] | str:
-    """What starts at `at`: the records of a valid gzip member or one plain record, and the
-    end; or what is wrong."""
+    Of a truncated member all whole records count that other bytes follow; one that ends
+    with the bytes would need the member's checksum. Bytes may go wrong before decompression
+    fails, so of a member with wrong bytes the records with a digest do."""
     if data[at : at + 3] == b"\x1f\x8b\x08":
         member = zlib.decompressobj(31)
         try:
-            inner = member.decompress(data[at:])
+            inner, why = member.decompress(data[at:]), "gzip member truncated"
         except zlib.error as e:
-            return f"gzip member: {e}"[:80]
+            inner, why = _before_damage(data[at:]), f"gzip member: {e}"[:80]
+            got = [f for f in salvage(inner) if not f.gap and _checked(f)]
+            return (got, None, why) if got else why
         if not member.eof:
-            return "gzip member truncated"
+            got = [f for f in salvage(inner) if not f.gap and f.offset + f.length < len(inner)]
+            return (got, None, why) if got else why
         end = len(data) - len(member.unused_data)
-        return [f._replace(offset=at, length=end - at) for f in salvage(inner)], end
+        return [f._replace(offset=at, length=end - at) for f in salvage(inner)], end, None
     got = _parse(data, at)
-    return got if isinstance(got, str) else ([got], at + got.length)
+    return got if isinstance(got, str) else ([got], at + got.length, None)
 
 
 def salvage(data: bytes) -> Iterator[Found]:
-    """Records and quarantined gaps of an archive, in order; together they cover every byte."""
-    at = 0
+    """Records and quarantined gaps of an archive, in order; together they cover every byte.
+    The gap of a damaged member covers the member, also where records of it were read."""
+    at, got = 0, None
     while at < len(data):
-        start = _START.match(data, at)
-        got = _at(data, at) if start else "no version line or member"
-        if not isinstance(got, str):
+        if got is None:
+            got = _at(data, at) if _START.match(data, at) else "no version line or member"
+        if not isinstance(got, str) and got[1] is not None:
             yield from got[0]
-            at = got[1]
+            at, got = got[1], None
             continue
-        why, nxt = got, at
-        while True:
+        records, why = ([], got) if isinstance(got, str) else (got[0], got[2])
+        nxt, got = at, None
+        while got is None or isinstance(got, str):
             again = _START.search(data, nxt + 1)
+            nxt = again.start() if again else len(data)
             if not again:
-                yield Found(at, len(data) - at, gap=why)
-                return
-            nxt = again.start()
-            if not isinstance(_at(data, nxt), str):
-                yield Found(at, nxt - at, gap=why)
-                at = nxt
                 break
+            got = _at(data, nxt)
+        yield from (f._replace(offset=at, length=nxt - at) for f in records)
+        yield Found(at, nxt - at, gap=why)
+        if nxt == len(data):
+            return
+        at = nxt
 
 
 READ = (

@@ -278,3 +278,43 @@ def test_whole_licenses_under_any_copyright_line(spark):
     found = licenses.scan_licenses(spark.createDataFrame(rows, DOCS), licenses.known_digests(spark)).where("unit = 'text'")
     got = {r.doc_id: r.license for r in found.collect()}
     assert got == {r[0]: r[2] for r in rows if r[2]}
+
+
+def test_salvage_damaged_members_keep_records_before():
+    body = lambda i: bytes(random.Random(i).randrange(97, 123) for _ in range(3000))
+    whole = gzip.compress(b"".join(record(i, body(i)) for i in range(40)))
+    cut = whole[: len(whole) // 2]
+    ids, gaps = salvaged(cut)
+    assert 15 <= len(ids) < 25 and ids == list(range(len(ids)))
+    assert gaps == [(0, len(cut), "gzip member truncated")]
+    ids, gaps = salvaged(cut + gzip.compress(record(99)) + record(98))
+    assert len(ids) >= 17 and ids[-2:] == [99, 98] and gaps[0][:2] == (0, len(cut))
+    torn = bytearray(whole)
+    torn[len(whole) // 2] ^= 0xFF
+    ids, gaps = salvaged(bytes(torn) + gzip.compress(record(99)))
+    assert set(range(15)) <= set(ids) and ids[-1] == 99 and gaps[0][:2] == (0, len(whole))
+
+
+def test_salvage_versions_line_feeds_and_digests():
+    import base64
+
+    page = b"HTTP/1.1 200 OK\nContent-Type: text/html\n\n<p>x</p>"
+    sha1 = lambda b: base64.b32encode(hashlib.sha1(b).digest()).decode()
+
+    def made(n, block, *more, version="1.0", eol="\r\n"):
+        head = [f"WARC/{version}", "WARC-Type: response", f"WARC-Record-ID: <urn:x-page:{n}>", *more]
+        head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+        return (eol.join(head) + 2 * eol).encode() + block + (2 * eol).encode()
+
+    payload = f"WARC-Payload-Digest: sha1:{sha1(b'<p>x</p>')}"
+    block = f"WARC-Block-Digest: sha1:{hashlib.sha1(page).hexdigest()}"
+    good = [made(1, page, version="0.17"), made(2, page, version="0.18"), made(3, page, payload), made(4, page, block)]
+    good += [made(5, page, payload, eol="\n"), made(6, page, "WARC-Payload-Digest: blake9:zz")]
+    wire = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n4\r\n<p>x\r\n4\r\n</p>\r\n0\r\n\r\n"
+    good.append(made(7, wire, payload))
+    assert salvaged(b"".join(good)) == ([1, 2, 3, 4, 5, 6, 7], [])
+    assert [f.payload for f in warc.salvage(b"".join(good[:5]))] == [b"<p>x</p>"] * 5
+    bad = [x.replace(b"<p>x", b"<p>y") for x in good[2:4]]
+    ids, gaps = salvaged(good[0] + bad[0] + bad[1] + good[1])
+    assert ids == [1, 2] and [g[2] for g in gaps] == ["payload digest differs"]
+    assert gaps[0][1] == len(bad[0]) + len(bad[1])

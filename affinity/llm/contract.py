@@ -6,16 +6,21 @@ the contract's columns from the operator's output.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     language,
     licenses,
+    mixing,
     near_dedup,
     packing,
+    prefix_trie,
     sharding,
     substring,
     url_filter,
@@ -36,6 +41,9 @@ RULES = (
 )
 DAMPING, BLOCK_ABOVE = 0.85, 0.5
 PAGERANK_PASSES = 10  # of the oracle SQL only, which unrolls them
+MIX = mixing.Mix(weights=(3, 1, 2), share=(3, 2), repeats=2)
+TOP_PHRASES, PHRASE_COUNT = 2000, 100
+BASES, HEADS = 20, 4  # conversations that share a base; first turns taken from it: below HEADS
 
 
 def default_tokenizer() -> tuple:
@@ -126,6 +134,22 @@ def op10_link_graph_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), MIX)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), TOP_PHRASES, PHRASE_COUNT)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefix_trie.digested_turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    head = F.crc32(conv.cast("string")) % HEADS
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(convs, conv - conv % BASES, head, HEADS - 1))
+
+
 def queries() -> dict:
     own = (
         op1_minhash_near_dedup,
@@ -138,6 +162,9 @@ def queries() -> dict:
         op8_exact_dedup,
         op9_bin_slack_packing,
         op10_link_graph_urls,
+        op11_hash_threshold_mix,
+        op12_phrase_collocations,
+        op13_conversation_trie,
     )
     return {f.__name__: f for f in own}
 
@@ -247,6 +274,106 @@ SELECT page_id, host, path, rule,
 FROM j LEFT JOIN t{last} USING (host) LEFT JOIN d{last} USING (host)"""
 
 
+_WORD_COUNT = "len(regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+'))"
+
+
+def _mix_sql() -> str:
+    """Targets in closed form: by falling weight per word, sources are capped until the first
+    one whose share of the rest fits."""
+    num, den = MIX.share
+    step = math.lcm(*MIX.weights)
+    return f"""WITH d AS (
+  SELECT doc_id, source, {_WORD_COUNT.format("coalesce(text, '')")} AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS n,
+    list_extract({list(MIX.weights)}, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(MIX.weights)} + 1 AS INTEGER)) AS w
+  FROM d GROUP BY source),
+o AS (SELECT *, row_number() OVER (ORDER BY n * ({step} // w), source NULLS LAST) AS i FROM s),
+c AS (
+  SELECT i, {num} * (SELECT sum(n) FROM s) - {den} * coalesce(sum({MIX.repeats} * n) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words,
+    {den} * sum(w) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS parts, w, n FROM o),
+f AS (SELECT words, parts, i FROM c WHERE w * words <= {MIX.repeats} * n * parts ORDER BY i LIMIT 1),
+t AS (
+  SELECT source, n, CASE WHEN o.i < f.i THEN CAST({MIX.repeats} * n AS DOUBLE) ELSE CAST(w * words AS DOUBLE) / CAST(parts AS DOUBLE) END AS target,
+    CASE WHEN o.i < f.i THEN {MIX.repeats} * n ELSE (w * words) // parts END AS budget FROM o, f),
+p AS (SELECT *, CASE WHEN n > 0 THEN budget // n ELSE 0 END AS passes, CASE WHEN n > 0 THEN budget % n ELSE 0 END AS rest FROM t),
+r AS (
+  SELECT d.*, p.n, p.target, p.passes, p.rest,
+    sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE UNBOUNDED PRECEDING) AS upto,
+    sum(size) OVER (PARTITION BY d.source, h) AS here
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, CAST(n AS BIGINT) AS source_size, target,
+  CAST(size * passes + CASE WHEN upto <= rest THEN size WHEN upto - here <= rest AND here > 0 THEN size * (rest - (upto - here)) // here ELSE 0 END AS BIGINT) AS taken
+FROM r"""
+
+
+def _phrases_sql() -> str:
+    most = collocations.MAX_WORDS
+    lower = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+    grams = "\nUNION ALL\n".join(
+        f"SELECT lang, unnest([array_to_string(ws[i:i + {j - 1}], ' ') FOR i IN range(1, len(ws) - {j - 2})]) AS p, {j} AS len FROM w"
+        for j in range(1, most + 1)
+    )
+    return f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\\x20\\x09]+') IF x <> ''] AS ws FROM pieces),
+every AS (SELECT lang, p, len, count(*) AS f FROM ({grams}) GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM every WHERE len = 1 GROUP BY lang),
+g AS (SELECT *, string_split(p, ' ') AS ws FROM every WHERE f >= {PHRASE_COUNT}),
+cut AS (SELECT *, unnest(range(1, len)) AS k FROM g WHERE len > 1),
+scored AS (
+  SELECT c.lang, c.p, c.len, c.f AS a, k, x.f AS l, y.f AS r, n,
+    (CAST(1000 AS HUGEINT) * c.f * n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cut c JOIN total USING (lang)
+    JOIN g x ON x.lang = c.lang AND x.p = array_to_string(c.ws[1:k], ' ')
+    JOIN g y ON y.lang = c.lang AND y.p = array_to_string(c.ws[k + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, f, unnest([array_to_string(ws[2:], ' '), array_to_string(ws[:-2], ' ')]) AS p FROM g WHERE len > 2),
+kept AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = s.lang AND i.p = s.p AND 100 * i.f >= 100 * s.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept)
+SELECT lang, rank, p AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {TOP_PHRASES}"""
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bits = "[0, 0, 0, 0, 0, 0, 0, 0]"
+    poly = 0xEDB88320  # fixed value: the polynomial of CRC-32
+    step = f"list_reduce(list_concat([xor(c, b)], {bits}), lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, {poly}) ELSE v >> 1 END)"
+    codes = f"[CAST(ascii(x) AS BIGINT) FOR x IN string_split({text}, '')]"
+    start = 0xFFFFFFFF
+    return f"xor(list_reduce(list_concat([CAST({start} AS BIGINT)], {codes}), lambda c, b: {step}), {start})"
+
+
+def _trie_sql() -> str:
+    text, role = "coalesce(text, '')", "coalesce(role, '')"
+    return f"""WITH t AS (
+  SELECT conv_id, turn, md5(CAST(length({role}) AS VARCHAR) || ':' || {role} || {text}) AS id, {_WORD_COUNT.format(text)} AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({{'id': id, 'words': words}} ORDER BY turn NULLS FIRST, id) AS turns FROM t GROUP BY conv_id),
+h AS (SELECT *, {_crc32_sql('CAST(conv_id AS VARCHAR)')} % {HEADS} AS h FROM c),
+b AS (
+  SELECT h.conv_id, list_concat(coalesce(x.turns, [])[1:h], h.turns[h + 1:]) AS turns
+  FROM h LEFT JOIN c x ON x.conv_id = h.conv_id - h.conv_id % {BASES}),
+m AS (
+  SELECT conv_id, d AS depth, [x.id FOR x IN turns[1:d]] AS prefix, CASE WHEN d > 0 THEN turns[d].words ELSE 0 END AS words, len(turns) AS size
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM b)),
+n AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+  FROM m GROUP BY prefix, depth),
+k AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (prefix)),
+s AS (
+  SELECT up, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest([prefix[1:d] FOR d IN range(0, depth + 1)]) AS up FROM v) GROUP BY up)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+FROM v JOIN s ON s.up = v.prefix LEFT JOIN n p ON v.depth > 0 AND p.prefix = v.prefix[1:v.depth - 1]"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": _near_sql(),
@@ -254,4 +381,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_license_digests": _licenses_sql(),
         "op8_exact_dedup": _EXACT_SQL,
         "op10_link_graph_urls": _urls_sql(),
+        "op11_hash_threshold_mix": _mix_sql(),
+        "op12_phrase_collocations": _phrases_sql(),
+        "op13_conversation_trie": _trie_sql(),
     }

@@ -69,7 +69,7 @@ def test_filters_judge_repeated_ids_by_text(spark, tmp_path):
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in entry.queries()) == 1 for n in names)
     assert entry.queries()["pipeline"] is P.run
     assert set(contract.oracle_sql()) <= set(contract.queries())

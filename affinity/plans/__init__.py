@@ -17,5 +17,5 @@ from affinity.plans.features import (  # noqa: F401
     restrict_to_fact_events,
     user_history_features,
 )
-from affinity.plans.scoring import load_model, model_input, score  # noqa: F401
+from affinity.plans.scoring import fit_linear, load_model, model_input, save_model, score  # noqa: F401
 from affinity.plans.wide import assemble_wide, build_wide  # noqa: F401

@@ -15,6 +15,9 @@ from affinity.session import scratch_path
 # same join is shuffled.
 BROADCAST_ROWS = 1_000_000
 
+# Rows of an Arrow batch: whole texts pass through it, on both sides of the pipe at once.
+BATCH_ROWS, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -31,8 +34,12 @@ def importable(spark: SparkSession) -> None:
 
 
 def in_arrow(df: DataFrame, task: Callable, schema: str) -> DataFrame:
-    """`df.mapInArrow`, with this package importable in the task."""
-    importable(df.sparkSession)
+    """`df.mapInArrow`, with this package importable in the task. A batch of texts has
+    ARROW_ROWS rows at most, unless the session asks for fewer or more."""
+    spark = df.sparkSession
+    importable(spark)
+    if spark.conf.get(BATCH_ROWS) == "10000":  # Spark's default
+        spark.conf.set(BATCH_ROWS, ARROW_ROWS)
     return df.mapInArrow(task, schema)
 
 
@@ -49,9 +56,3 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df` (a written table of narrow rows) marked for broadcast when its row count is
     checked to be at most `rows`; otherwise unchanged, so that Spark shuffles the join."""
     return F.broadcast(df) if df.count() <= rows else df
-
-
-def without_ids(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """The rows of `docs` whose doc_id is not in `ids` (one column doc_id). Null ids stay."""
-    dropped = broadcast_if_small(written(ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), name))
-    return docs.join(dropped, "doc_id", "left_anti")

@@ -28,8 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.llm import kernels as K
-from affinity.llm.common import broadcast_if_small, in_arrow, without_ids, written
+from affinity.llm.common import BROADCAST_ROWS, broadcast_if_small, in_arrow, written
 from affinity.llm.components import components
+from affinity.operators.rank import order_index
 
 PERMUTATIONS = 252
 WORDS_64 = 4  # 64-bit words a bit plane takes (256 bits for 252 minima)
@@ -38,7 +39,7 @@ MISS = 1e-5  # chance that a pair at the threshold shares no band, or is pruned,
 CELLS = 8192  # hash cells of a text's shingles, for an upper bound of what two texts share
 PIVOTS = 512  # pivots of a bucket in each round after the first
 
-FEATURES = "doc_id long, n_shingles long, digest binary, signature array<long>, bands array<long>"
+FEATURES = "doc_id long, text_hash long, n_shingles long, digest binary, signature array<long>, bands array<long>"
 
 
 def rows_per_band(threshold: float, permutations: int = PERMUTATIONS, miss: float = MISS) -> int:
@@ -53,7 +54,7 @@ def _features(words: int, rows: int):
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, hashes = batch.column("doc_id"), batch.column("text_hash")
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             for lo, hi in K.blocks(texts):
                 sets = K.Words([t.lower() for t in texts[lo:hi]], K.SPACES).shingles(words)
@@ -74,12 +75,13 @@ def _features(words: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(lo, hi - lo).cast(pa.int64()),
+                        hashes.slice(lo, hi - lo),
                         pa.array(counts, pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                         pa.array(list(np.concatenate(planes, axis=1)), pa.list_(pa.int64())),
                         pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "signature", "bands"],
+                    names=["doc_id", "text_hash", "n_shingles", "digest", "signature", "bands"],
                 )
 
     return run
@@ -264,18 +266,40 @@ def _pivots(open_: DataFrame, salt: int) -> DataFrame:
     )
 
 
-def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text).
+def _featured(docs: DataFrame, words: int, rows: int) -> DataFrame:
+    return in_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), _features(words, rows), FEATURES)
 
-    Words are runs of non-white-space of the text with A-Z lower-cased; two texts are linked
-    when 100 * intersection >= percent * union of their shingle sets. Texts without words
-    (null, empty, blank) and rows without doc_id are linked with nothing; the latter are
-    kept, with a null component. Rows that repeat a doc_id share its component. Empty tables
-    give no rows; further columns are ignored.
-    """
+
+def _namesakes(docs: DataFrame, feats: DataFrame, words: int, rows: int):
+    """Where a doc_id has texts with different sets, each such text gets an id of its own, a
+    number above all doc_ids. Returns `docs` and `feats` under these ids, and whether there
+    are any."""
+    twice = written(
+        feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+        .where("lo <> hi")
+        .select("doc_id"),
+        "near-namesakes",
+    )
+    if twice.isEmpty():
+        return docs, feats, False
+    small = broadcast_if_small(twice)
+    top = docs.agg(F.max("doc_id")).first()[0]
+    own = docs.where("text IS NOT NULL").join(small, "doc_id", "left_semi").distinct()
+    own = order_index(own, [F.col("doc_id"), F.col("text")], "at")
+    own = written(own.select((F.lit(top) + F.col("at")).alias("doc_id"), "text"), "near-apart")
+    docs, feats = (t.join(small, "doc_id", "left_anti") for t in (docs, feats))
+    return docs.unionByName(own), feats.unionByName(_featured(own, words, rows)), True
+
+
+def near_verdicts(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept for every row of `docs` (doc_id,
+    text); see `near_groups`."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows_per_band(percent / 100)
-    feats = written(in_arrow(docs, _features(words, rows), FEATURES), "near-features")
+    every = written(_featured(docs, words, rows), "near-features")
+    docs, feats, renamed = _namesakes(docs.where("text IS NOT NULL"), every, words, rows)
     reps = written(
         feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
@@ -335,15 +359,38 @@ def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     classes = reps.select("digest", "id").join(labels, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
     )
+    found = every.select("doc_id", "text_hash", "n_shingles", "digest").join(classes, "digest", "left")
+    if renamed:  # labels may be numbers of texts: name every component by its smallest doc_id
+        found = written(found, "near-found")
+        least = found.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+        found = found.join(least, "component", "left").withColumn("component", F.col("least"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return (
-        feats.select("doc_id", "n_shingles", "digest")
-        .join(classes, "digest", "left")
-        .select("doc_id", "n_shingles", own.alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return found.select("doc_id", "text_hash", "n_shingles", own.alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
 
+def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text).
+
+    Words are runs of non-white-space of the text with A-Z lower-cased; two texts are linked
+    when 100 * intersection >= percent * union of their shingle sets. Texts without words
+    (null, empty, blank) and rows without doc_id are linked with nothing; the latter are
+    kept, with a null component. Rows that repeat a doc_id with another text are judged by
+    their own text. Empty tables give no rows; further columns are ignored.
+    """
+    return near_verdicts(docs, words, percent).drop("text_hash")
+
+
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group of near duplicates (the smallest doc_id), all columns."""
-    return without_ids(docs, near_groups(docs, words, percent).where("NOT kept"), "near-dropped")
+    """One document of each group of near duplicates (the smallest doc_id), all columns. A row
+    goes by its doc_id and its own text."""
+    dropped = (
+        near_verdicts(docs, words, percent)
+        .where("NOT kept AND doc_id IS NOT NULL")
+        .select(F.col("doc_id").alias("dropped_id"), F.col("text_hash").alias("dropped_hash"))
+        .distinct()
+    )
+    dropped = broadcast_if_small(written(dropped, "near-dropped"), BROADCAST_ROWS // 2)
+    gone = (docs["doc_id"] == dropped["dropped_id"]) & (F.xxhash64(docs["text"]) == dropped["dropped_hash"])
+    return docs.join(dropped, gone, "left_anti")

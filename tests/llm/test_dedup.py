@@ -90,6 +90,31 @@ def test_near_groups_match_brute_force(spark, words, percent):
     assert {tuple(r) for r in got} == near_brute(rows, words, percent)
 
 
+def test_namesakes_are_judged_by_their_own_text(spark):
+    """A doc_id with a near copy, an unrelated text, a null, and a copy under a null id."""
+    rng = random.Random(8)
+    base, other = sentence(rng, "en", 120), sentence(rng, "fr", 120)
+    near = base.split()
+    near[60] = "changed"
+    near = " ".join(near)
+    rows = [(1, base), (2, near), (2, other), (2, None), (2, ""), (3, other), (3, None), (4, None), (None, base), (9, near), (9, near)]
+    for third in (None, sentence(rng, "de", 60)):
+        docs = frame(spark, [(i, t, "en", "s", 1) for i, t in [*rows, (5, third), (5, base)]])
+        got = near_groups(docs, 5, 80).collect()
+        assert len(got) == len(rows) + 2
+        by = {(r.doc_id, r.n_shingles > 0): set() for r in got}
+        for r in got:
+            by[r.doc_id, r.n_shingles > 0].add((r.component_id, r.kept))
+        assert by[1, True] == {(1, True)} and by[9, True] == {(1, False)}
+        assert by[2, True] == {(1, False), (2, True)} and by[2, False] == {(2, True)}
+        assert by[3, True] == {(2, False)} and by[3, False] == {(3, True)} and by[4, False] == {(4, True)}
+        assert by[None, True] == {(None, True)}
+        assert by[5, True] == ({(1, False)} if third is None else {(1, False), (5, True)})
+        left = Counter((r.doc_id, r.text) for r in near_dedup(docs, 5, 80).collect())
+        want = [(1, base), (2, other), (2, None), (2, ""), (3, None), (4, None), (None, base), (5, third)]
+        assert left == Counter(want)
+
+
 def test_near_groups_hostile_rows(spark):
     got = near_groups(frame(spark, hostile()), 3, 85).collect()
     assert len(got) == len(hostile())

@@ -69,19 +69,24 @@ def _tokenizer(*args) -> Tokenizer:
 def _cut(source: tuple, window: int):
     def run(batches):
         tok, row = _tokenizer(*source), 0
-        for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.array(tok.ids(text or "") + [END_ID], dtype="<u4")
-                for at in range(0, len(ids), window):
-                    piece = ids[at : at + window]
-                    out.append((doc_id, at, len(piece), len(ids), row, piece.tobytes()))
-                    row += 1
-                if len(out) >= 2048:
+        try:
+            for batch in batches:
+                out = []
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                    ids = np.array(tok.ids(text.as_py() or "") + [END_ID], dtype="<u4")
+                    for at in range(0, len(ids), window):
+                        piece = ids[at : at + window]
+                        out.append((doc_id, at, len(piece), len(ids), row, piece.tobytes()))
+                        row += 1
+                    if len(out) >= 512:
+                        yield _batch(out)
+                        out = []
+                if out:
                     yield _batch(out)
-                    out = []
-            if out:
-                yield _batch(out)
+        finally:
+            # The worker process goes on to other tasks, which need this memory.
+            tok = None
+            _loaded.clear()
 
     return run
 

@@ -142,3 +142,34 @@ def test_sharding_hostile_rows(spark):
     assert len(got) == len(hostile())
     assert {r.size for r in got if r.doc_id in (4, 5)} == {16}
     assert sharding.shard_documents(spark.createDataFrame([], DOCS), 4).count() == 0
+
+
+def test_shares_stand_still_and_the_set_is_the_best_of_all():
+    """Small models of overlapping languages: the shares are those of a very long EM, and the
+    chosen set has the best penalised likelihood of all sets."""
+    from itertools import combinations
+
+    from affinity.llm import language as L
+
+    rng = np.random.default_rng(5)
+    best = 0
+    for case in range(40):
+        prob = rng.dirichlet(np.full(40, 0.3), 4) * 0.5 + rng.dirichlet(np.full(40, 0.3)) * 0.5
+        truth = rng.dirichlet([0.4] * 4)
+        grams = rng.choice(40, 400, p=truth @ prob)
+        ids, n = np.unique(grams, return_counts=True)
+        local = prob[:, ids]
+
+        def long_run(rows):
+            w = np.full(len(rows), 1 / len(rows))
+            for _ in range(4000):
+                w = w * (local[rows] @ (n / (w @ local[rows]))) / n.sum()
+            return w, float(n @ np.log(w @ local[rows]))
+
+        chosen, w = L.mixture(prob, grams)
+        exact, ll = long_run(chosen)
+        assert np.abs(w - exact).max() < 0.12
+        penalty = L.PENALTY * np.log(n.sum())
+        score = {s: long_run(list(s))[1] - penalty * len(s) for k in range(1, 5) for s in combinations(range(4), k)}
+        best += ll - penalty * len(chosen) >= max(score.values()) - 0.5
+    assert best >= 38

@@ -9,6 +9,7 @@ compared along the diagonal, and an overlap counts when enough words agree.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import defaultdict
 from functools import reduce
 
@@ -34,6 +35,7 @@ OVERLAPS = (
 
 _PLACE = K.odd_constants(SPAN * len(MASKS), 11).reshape(len(MASKS), SPAN)
 _TABLE_BITS = 22
+HITS = 1 << 20  # pairs of equal seeds held at once
 
 
 # Scripts written without spaces: every character is a word.
@@ -97,20 +99,25 @@ class Index:
         self.short_words = np.array(sorted(self.short), dtype=np.uint64)
 
     def hits(self, words: K.Words):
-        """(window start in the block, item number, window start in the item) of equal seeds."""
+        """Arrays of (window start in the block, item number, window start in the item) of
+        equal seeds, HITS pairs at a time; a seed that many items share takes several."""
         low = np.uint64((1 << _TABLE_BITS) - 1)
         for m in range(len(MASKS)):
             s = _seeds(words.hashes, m)
             at = np.flatnonzero(self.maybe[s & low])
             left = np.searchsorted(self.hashes, s[at], "left")
-            right = np.searchsorted(self.hashes, s[at], "right")
-            for p, lo, hi in zip(at[right > left], left[right > left], right[right > left]):
-                for q in range(lo, hi):
-                    yield int(p), int(self.owner[q]), int(self.start[q])
+            many = np.searchsorted(self.hashes, s[at], "right") - left
+            upto = np.cumsum(many)
+            for lo in range(0, int(upto[-1]) if len(upto) else 0, HITS):
+                pair = np.arange(lo, min(lo + HITS, int(upto[-1])))
+                of = np.searchsorted(upto, pair, "right")
+                entry = left[of] + pair - (upto[of] - many[of])
+                yield at[of], self.owner[entry], self.start[entry]
         if len(self.short_words):
-            for p in np.flatnonzero(np.isin(words.hashes, self.short_words)):
-                for k, q in self.short[int(words.hashes[p])]:
-                    yield int(p), k, q
+            at = np.flatnonzero(np.isin(words.hashes, self.short_words))
+            found = [(p, k, q) for p in at.tolist() for k, q in self.short[int(words.hashes[p])]]
+            if found:
+                yield tuple(np.array(x) for x in zip(*found))
 
     def overlap(self, doc: np.ndarray, k: int, shift: int):
         """The best overlap of item k laid at word `shift` of a document, or None: the run
@@ -146,27 +153,38 @@ def _longest(same: np.ndarray) -> tuple[int, int]:
     return int(kept[0]), int(kept[-1]) + 1
 
 
-def _best(ix: Index, texts: list[str]) -> dict:
-    """(text number, item number) to the best overlap of the two."""
+def _found(ix: Index, texts: list[str]) -> list[tuple]:
+    """(text number, item number, overlap) of all overlaps. Where those of one text and item
+    share words of the text, the better one counts, so the others lie apart from it."""
     words = _words(texts)
-    tried, best = set(), {}
+    diagonals = []
     for p, k, q in ix.hits(words):
-        d = int(np.searchsorted(words.bounds, p, "right")) - 1
-        begin = int(words.bounds[d])
-        diagonal = (d, k, p - begin - q)
-        if diagonal in tried:
-            continue
-        tried.add(diagonal)
-        got = ix.overlap(words.hashes[begin : words.bounds[d + 1]], k, diagonal[2])
-        if got and got > best.get((d, k), (0,)):
-            best[d, k] = got
-    return best
+        d = np.searchsorted(words.bounds, p, "right") - 1
+        diagonals.append(np.unique(np.stack([d, k, p - words.bounds[d] - q], axis=1), axis=0))
+    if not diagonals:
+        return []
+    good = defaultdict(list)
+    for d, k, shift in np.unique(np.concatenate(diagonals), axis=0).tolist():
+        got = ix.overlap(words.hashes[words.bounds[d] : words.bounds[d + 1]], k, shift)
+        if got:
+            good[d, k].append(got)
+    out = []
+    for (d, k), every in good.items():
+        starts, ends = [], []  # of the ranges taken, ascending
+        for got in sorted(every, reverse=True):
+            at = bisect_right(starts, got[1])
+            if (at and ends[at - 1] > got[1]) or (at < len(starts) and starts[at] < got[2]):
+                continue
+            starts.insert(at, got[1])
+            ends.insert(at, got[2])
+            out.append((d, k, got))
+    return out
 
 
 def _in_blocks(ix: Index, batch: pa.RecordBatch):
     texts = [t or "" for t in batch.column("text").cast(pa.string()).to_pylist()]
     for lo, hi in K.blocks(texts):
-        yield lo, _best(ix, texts[lo:hi])
+        yield lo, _found(ix, texts[lo:hi])
 
 
 def _search(index):
@@ -174,10 +192,9 @@ def _search(index):
         ix = index.value
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for lo, best in _in_blocks(ix, batch):
+            for lo, found in _in_blocks(ix, batch):
                 rows = [
-                    (ids[lo + d], ix.ids[k], g[1], g[2], g[3], g[4], g[0], g[0] / (g[2] - g[1]))
-                    for (d, k), g in best.items()
+                    (ids[lo + d], ix.ids[k], g[1], g[2], g[3], g[4], g[0], g[0] / (g[2] - g[1])) for d, k, g in found
                 ]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
@@ -191,8 +208,8 @@ def _filter(index):
     def run(batches):
         for batch in batches:
             clean = np.ones(batch.num_rows, dtype=bool)
-            for lo, best in _in_blocks(index.value, batch):
-                clean[[lo + d for d, _ in best]] = False
+            for lo, found in _in_blocks(index.value, batch):
+                clean[[lo + d for d, _, _ in found]] = False
             yield batch.filter(pa.array(clean))
 
     return run
@@ -218,8 +235,9 @@ def _indexes(benchmark: DataFrame):
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per (document, benchmark item) that overlap, with the word ranges of the best
-    overlap in both, the words that agree and their share.
+    """One row per overlap of a document and a benchmark item, with its word ranges in both,
+    the words that agree and their share. An item that stands several times in a document
+    has a row each; overlaps of one item never share words of the document.
 
     Words are runs of letters, marks and digits, lower-cased, and single characters in
     scripts without spaces. The benchmark is held in blocks of

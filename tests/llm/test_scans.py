@@ -318,3 +318,34 @@ def test_salvage_versions_line_feeds_and_digests():
     ids, gaps = salvaged(good[0] + bad[0] + bad[1] + good[1])
     assert ids == [1, 2] and [g[2] for g in gaps] == ["payload digest differs"]
     assert gaps[0][1] == len(bad[0]) + len(bad[1])
+
+
+def test_an_item_that_stands_twice_is_found_twice(spark):
+    rng = random.Random(31)
+    item = sentence(rng, "en", 30)
+    changed = item.split()
+    changed[12] = "other"
+    parts = [sentence(rng, "de", 25), item, sentence(rng, "fr", 25), " ".join(changed), sentence(rng, "de", 25)]
+    docs = frame(spark, [(1, " ".join(parts), "en", "s", 1)])
+    got = D.overlaps(docs, spark.createDataFrame([(7, item)] * 2, BENCH)).collect()  # a repeated row counts each
+    at = [len(" ".join(parts[:i]).split()) for i in (1, 3)]
+    assert sorted((r.doc_start, r.doc_end, r.matched) for r in got) == sorted(
+        [(at[0], at[0] + 30, 30), (at[1], at[1] + 30, 29)] * 2
+    )
+
+
+def test_overlaps_of_repetitive_items_lie_apart(monkeypatch):
+    monkeypatch.setattr(D, "HITS", 997)
+    rng = random.Random(32)
+    line = " ".join(f"w{i}" for i in range(12))
+    ix = D.Index([(i, f"{line} {line} {sentence(rng, 'en', i)}") for i in range(30)])
+    texts = [" ".join([line] * 26)] * 2
+    found = D._found(ix, texts)
+    taken = {}
+    for d, k, (matched, start, end, lo, hi) in found:
+        assert matched >= D.MIN_WORDS and matched >= D.MIN_SHARE * (end - start)
+        for a, b in taken.setdefault((d, k), []):
+            assert end <= a or b <= start
+        taken[d, k].append((start, end))
+    assert set(taken) == {(d, k) for d in range(2) for k in range(30)}
+    assert all(sum(b - a for a, b in x) >= 24 * 12 for x in taken.values())

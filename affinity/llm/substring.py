@@ -8,6 +8,9 @@ are compared with those around its other occurrences, and ranges that touch make
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -22,7 +25,7 @@ SPARE = 4  # last bytes of a fingerprint kept with what follows it, to end on a
 WIDTH = REACH + SPARE
 
 PRINTS = "doc_id long, text_hash long, start int, d1 long, d2 long"
-SEEDS = "doc_id long, start int, d1 long, d2 long, before binary, after binary"
+SEEDS = "doc_id long, text_hash long, start int, d1 long, d2 long, before binary, after binary"
 
 _VALUE = K.odd_constants(512, 21).reshape(2, 256)
 _BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F)  # odd
@@ -97,18 +100,17 @@ def _print(batches):
 
 def _surround(batches):
     """The REACH bytes on either side of every seed, those before it in reverse."""
-    names = ["doc_id", "start", "d1", "d2", "before", "after"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    names = ["doc_id", "text_hash", "start", "d1", "d2", "before", "after"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     for batch in batches:
         rows = []
-        for doc_id, raw, seeds in zip(
-            batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("seeds")
-        ):
+        ids = zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist())
+        for own, raw, seeds in zip(ids, batch.column("text").cast(pa.binary()), batch.column("seeds")):
             text = raw.as_py()
             for s in seeds.as_py():
                 a, b = s["start"], s["start"] + GRAM
                 before = text[max(0, a - REACH) : a][::-1]
-                rows.append((doc_id, a, s["d1"], s["d2"], before, text[b - SPARE : b + REACH]))
+                rows.append((*own, a, s["d1"], s["d2"], before, text[b - SPARE : b + REACH]))
             if len(rows) >= 8192:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                 rows = []
@@ -158,7 +160,7 @@ def _against_first(batches):
             continue
         held = [x for x in (first, last) if x is not None]
         rows = _join([*held, batch])
-        digest, place = _keys(rows, ["d1", "d2"]), _keys(rows, ["doc_id", "start"])
+        digest, place = _keys(rows, ["d1", "d2"]), _keys(rows, ["doc_id", "text_hash", "start"])
         n = rows.num_rows
         new = np.ones(n, dtype=bool)
         new[1:] = (digest[1:] != digest[:-1]).any(axis=1)
@@ -221,23 +223,25 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     true in that document. `copies` are the (start, end) of the stretches that stand at an
     earlier place, in a smaller document or before in the same: a passage may join stretches
     of several origins, and removing the copies everywhere leaves the first of each. Null
-    and empty texts and rows without doc_id have no passages; rows that repeat a doc_id are
-    one document; further columns are ignored.
+    and empty texts and rows without doc_id have no passages; rows that repeat a doc_id and
+    its text are one, another text under the same doc_id has passages of its own; further
+    columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
     every = in_arrow(docs, _print, PRINTS)
     digest = Window.partitionBy("d1", "d2")
-    least, most = ({c: f(c).over(digest) for c in ("doc_id", "start")} for f in (F.min, F.max))
+    places = ("doc_id", "text_hash", "start")
+    least, most = ({c: f(c).over(digest) for c in places} for f in (F.min, F.max))
     seeds = (
-        every.withColumn("again", (least["doc_id"] < most["doc_id"]) | (least["start"] < most["start"]))
+        every.withColumn("again", reduce(or_, (least[c] < most[c] for c in places)))
         .where("again")
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct("start", "d1", "d2")).alias("seeds"))
         .join(docs, ["doc_id", "text_hash"])
-        .select("doc_id", "text", "seeds")
+        .select("doc_id", "text_hash", "text", "seeds")
     )
-    found = in_arrow(seeds, _surround, SEEDS).repartition("d1", "d2").sortWithinPartitions("d1", "d2", "doc_id", "start")
+    found = in_arrow(seeds, _surround, SEEDS).repartition("d1", "d2").sortWithinPartitions("d1", "d2", *places)
     held = f"{SEEDS}, first_doc_id long, own boolean, first_before int, first_after int"
     found = in_arrow(found, _against_first, held)
     for column in ("before", "after"):
@@ -245,6 +249,7 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         found = in_arrow(found.sortWithinPartitions("d1", "d2", column), _against_next(column), held)
     found = found.select(
         "doc_id",
+        "text_hash",
         "first_doc_id",
         "own",
         (F.col("start") - F.col("any_before")).alias("start"),
@@ -253,8 +258,8 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         (F.col("start") + GRAM - SPARE + F.col("first_after")).alias("to"),
     )
     copy = lambda c: F.when(~F.col("own"), F.col(c))
-    by_start = Window.partitionBy("doc_id").orderBy("start", "end")
-    by_copy = Window.partitionBy("doc_id", "run").orderBy("from", "to")
+    by_start = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end")
+    by_copy = Window.partitionBy("doc_id", "text_hash", "run").orderBy("from", "to")
     past = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
     apart = F.coalesce(F.col("start") > F.max("end").over(past(by_start)), F.lit(True))
@@ -264,7 +269,7 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         .withColumn("run", F.sum("apart").over(so_far(by_start)))
         .withColumn("cut", cut.cast("int"))
         .withColumn("piece", F.sum("cut").over(so_far(by_copy)))
-        .groupBy("doc_id", "run", "piece")
+        .groupBy("doc_id", "text_hash", "run", "piece")
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),
@@ -273,7 +278,7 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             F.min(copy("from")).alias("from"),
             F.max(copy("to")).alias("to"),
         )
-        .groupBy("doc_id", "run")
+        .groupBy("doc_id", "text_hash", "run")
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),

@@ -255,3 +255,18 @@ def test_repeated_passages_inside_one_document(spark):
     assert not any(w in left[9].decode() for w in block.split() if w[-1].isdigit() and len(w) > 4)
     alone = passages(spark, {5: f"{block}. {sentence(rng, 'en', 30)}. {block}"})
     assert [(start, len(r.copies)) for (_, start, _), r in sorted(alone.items())] == [(0, 0), (min(s for _, s, _ in alone if s), 1)]
+
+
+def test_repeated_passages_of_namesakes_stay_in_their_text(spark):
+    rng = random.Random(16)
+    texts = [sentence(rng, "fr", 60), sentence(rng, "de", 60)]
+    rows = [
+        (1, f"1 {texts[0]} A {sentence(rng, 'en', 40)}", "en", "s", 1),
+        (1, f"{sentence(rng, 'en', 40)} 2 {texts[1]} B", "en", "s", 1),
+        (2, f"3 {texts[0]} C", "en", "s", 1),
+        (3, f"4 {texts[1]} D", "en", "s", 1),
+    ]
+    got = repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
+    spans = [(i, t.encode().index(x.encode()), t.encode().index(x.encode()) + len(x.encode()))
+             for (i, t, *_), x in zip(rows, [texts[0], texts[1], *texts])]
+    assert sorted((r.doc_id, r.start, r.end) for r in got) == sorted(spans)

@@ -7,8 +7,9 @@ blocks (C4–C7) attach them to the de-duplicated fact pairs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
-from typing import Optional
+from dataclasses import dataclass, field, fields, replace
+from functools import reduce
+from typing import Mapping, Optional
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -26,7 +27,6 @@ from affinity.functions.expressions import (
     same_place,
 )
 from affinity.operators.edges import (
-    degrees,
     attendance_multiplicity,
     edge_multiplicity,
     friend_status_counts,
@@ -134,10 +134,12 @@ def geo_scale(events: DataFrame, scope: Optional[DataFrame] = None) -> DataFrame
     return scaled.select(E, "lat_prec", "lng_prec")
 
 
-def event_profile(events: DataFrame, mode: str = "intended") -> DataFrame:
-    """Event-grain block: host, place, start time, calendar parts, popularity levels, scaled location."""
+def event_profile(events: DataFrame, mode: str = "intended", scope: Optional[DataFrame] = None) -> DataFrame:
+    """Event-grain block: host, place, start time, calendar parts, popularity levels, scaled
+    location. `scope` (eventid) restricts the output rows, never levels or bounds."""
     check_mode(mode)
-    scaled = min_max_scale(events, {"lat_prec": "lat", "lng_prec": "lng"})
+    rows = events if scope is None else events.join(scope, E, "left_semi")
+    scaled = min_max_scale(rows, {"lat_prec": "lat", "lng_prec": "lng"}, bounds_from=events)
     base = scaled.select(
         E,
         F.col(U).alias("host"),
@@ -156,22 +158,36 @@ def event_profile(events: DataFrame, mode: str = "intended") -> DataFrame:
     if mode == "reference":  # the rank inside a place's own partition
         return base.withColumns({level: F.when(F.col(k).isNotNull(), F.lit(1)) for k, level in levels.items()})
     ranks = popularity_ranks(events, levels)
+    # The levels of a key are its places' positions, so one pass over both tables counts them.
+    sizes = reduce(DataFrame.unionByName, (ranks[k].select(F.lit(k).alias("key")) for k in levels))
+    small = {r["key"]: r["count"] <= PLACES_BROADCAST for r in sizes.groupBy("key").count().collect()}
     for key, level in levels.items():
-        base = _attach_level(base, ranks[key].select(key, level), key)
+        base = _attach_level(base, ranks[key].select(key, level), key, small.get(key, True))
     return base
 
 
-def _attach_level(base: DataFrame, places: DataFrame, key: str) -> DataFrame:
-    """`places` (one row per place) joined to the events: broadcast when their number is
-    checked to be small, so that a hot place moves no event; else shuffled, with the NULL
-    places spread by event."""
-    if places.count() <= PLACES_BROADCAST:
+def _attach_level(base: DataFrame, places: DataFrame, key: str, small: bool) -> DataFrame:
+    """`places` (one row per place) joined to the events: broadcast when their number was
+    found small, so that a hot place moves no event; else shuffled, with the NULL places
+    spread by event."""
+    if small:
         return base.join(F.broadcast(places), key, "left")
     spread = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\0"), F.col(E).cast("string")))
     keyed = places.withColumn("_place", F.col(key).cast("string")).drop(key)
     return base.withColumn("_place", spread).join(keyed, "_place", "left").drop("_place")
 
 
+# The key that each block is bucketed by when it is written, and the bucket's column.
+BLOCK_KEYS = {
+    "users": U, "events": E, "edges": U, "attendance": E, "hosts": E, "user_degree": U, "event_degree": E,
+}
+BUCKET = "_bucket"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
 @dataclass(frozen=True)
 class DimFeatures:
     """Dimension-side blocks of the wide table, pre-joined by grain.
@@ -194,41 +210,69 @@ class DimFeatures:
     user_degree: DataFrame      # (userid, user_deg)
     event_degree: DataFrame     # (eventid, event_deg)
     host_edges: Optional[DataFrame] = None  # the edges that the host match reads, if not all
+    buckets: int = 1            # of the written blocks; see `write`
+    bucketed: Mapping[str, DataFrame] = field(default_factory=dict)  # the blocks with BUCKET
 
     def frames(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if getattr(self, f.name) is not None}
+        frames = {f.name: getattr(self, f.name) for f in fields(self)}
+        return {k: v for k, v in frames.items() if isinstance(v, DataFrame)}
+
+    def _touched(self, keys: DataFrame, *columns: str) -> dict[str, Optional[list[int]]]:
+        """Per key column the buckets that its values fall into (at most `buckets` numbers
+        each), or None where that is all of them or the blocks are not bucketed."""
+        if self.buckets == 1:
+            return dict.fromkeys(columns)
+        found = keys.select(F.explode(F.array(*(
+            F.struct(F.lit(c).alias("key"), bucket_of(c, self.buckets).alias("b")) for c in columns
+        ))).alias("x")).select("x.*").distinct().collect()
+        by_key = {c: sorted(r["b"] for r in found if r["key"] == c) for c in columns}
+        return {c: None if len(b) == self.buckets else b for c, b in by_key.items()}
+
+    def _block(self, name: str, buckets: Optional[list[int]]) -> DataFrame:
+        """A block, or only the folders of the given buckets of it."""
+        if buckets is None:
+            return getattr(self, name)
+        return self.bucketed[name].where(F.col(BUCKET).isin(buckets)).drop(BUCKET)
 
     def restricted(self, pairs: DataFrame) -> "DimFeatures":
         """The blocks cut down to what `pairs` (userid, eventid; of checked, small size) can
-        reach, by broadcast semi joins right above the scans: the assembly then shuffles and
-        aggregates no whole table. Ranks and bounds are in the blocks already."""
+        reach: of bucketed blocks only the folders of the keys are read, and broadcast semi
+        joins right above the scans leave the keys' rows. The assembly then reads, shuffles
+        and aggregates no whole table. Ranks and bounds are in the blocks already."""
         users, events = F.broadcast(pairs.select(U).distinct()), F.broadcast(pairs.select(E).distinct())
-        hosts = self.hosts.join(events, E, "left_semi")
+        at = self._touched(pairs, U, E)
+        hosts = self._block("hosts", at[E]).join(events, E, "left_semi")
         of_hosts = F.broadcast(hosts.select(F.col("host").alias(U)).distinct())
         towards = F.broadcast(pairs.select(F.col(U).alias("friendid")).distinct())
-        return replace(
-            self,
-            users=self.users.join(users, U, "left_semi"),
-            events=self.events.join(events, E, "left_semi"),
-            edges=self.edges.join(users, U, "left_semi"),
-            attendance=self.attendance.join(events, E, "left_semi"),
-            hosts=hosts,
-            user_degree=self.user_degree.join(users, U, "left_semi"),
-            event_degree=self.event_degree.join(events, E, "left_semi"),
-            host_edges=self.edges.join(of_hosts, U, "left_semi").join(towards, "friendid", "left_semi"),
-        )
+        host_edges = self._block("edges", self._touched(hosts, "host")["host"])
+        user_keyed = {k: self._block(k, at[U]).join(users, U, "left_semi") for k, c in BLOCK_KEYS.items() if c == U}
+        event_keyed = {k: self._block(k, at[E]).join(events, E, "left_semi") for k, c in BLOCK_KEYS.items() if c == E}
+        event_keyed["hosts"] = hosts
+        host_edges = host_edges.join(of_hosts, U, "left_semi").join(towards, "friendid", "left_semi")
+        return replace(self, **user_keyed, **event_keyed, host_edges=host_edges, buckets=1, bucketed={})
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "DimFeatures":
         return replace(self, **{k: v.persist(level) for k, v in self.frames().items()})
 
-    def write(self, base: str) -> "DimFeatures":
-        """Materialise every block as parquet under `base` (a shared folder) and read it back."""
-        out = {}
+    def write(self, base: str, buckets: int = 1) -> "DimFeatures":
+        """Materialise every block as parquet under `base` (a shared folder) and read it back.
+
+        With several `buckets`, a block has a folder for each bucket of its key, so that
+        `restricted` reads the folders of a micro-batch's keys only. Rebalancing gives a
+        bucket one file, or several where a hot key makes it large.
+        """
+        out, bucketed = {}, {}
         for name, df in self.frames().items():
-            path = f"{base.rstrip('/')}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            out[name] = df.sparkSession.read.parquet(path)
-        return replace(self, **out)
+            path, spark = f"{base.rstrip('/')}/{name}", df.sparkSession
+            if buckets == 1 or name not in BLOCK_KEYS:
+                df.write.mode("overwrite").parquet(path)
+                out[name] = spark.read.schema(df.schema).parquet(path)
+                continue
+            tagged = df.withColumn(BUCKET, bucket_of(BLOCK_KEYS[name], buckets))
+            tagged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+            bucketed[name] = spark.read.schema(tagged.schema).parquet(path)
+            out[name] = bucketed[name].select(*df.columns)
+        return replace(self, **out, buckets=buckets, bucketed=bucketed)
 
     def unpersist(self) -> None:
         for df in self.frames().values():
@@ -283,14 +327,19 @@ def dim_features(dims: Dims, as_of=None, mode: str = "intended") -> DimFeatures:
     user history, the whole-event counts and the friend match all read that pivot."""
     check_mode(mode)
     pivot = attendance_multiplicity(dims.event_attendees, FRIEND_STATUS)
+    # The degrees only choose a side of the friend match. They read the aggregates that the
+    # user and event blocks need anyway, so no large table is grouped by one key twice.
+    attended = reduce(lambda a, b: a + b, (F.col(c) for c in EVENT_STATUS))
     return DimFeatures(
         users=user_block(dims, as_of, mode, pivot),
         events=event_block(dims, mode, pivot),
         edges=edge_multiplicity(dims.user_friends),
         attendance=pivot,
         hosts=dims.events.select(E, F.col(U).alias("host")),
-        user_degree=degrees(dims.user_friends, U, "user_deg"),
-        event_degree=degrees(dims.event_attendees, E, "event_deg"),
+        user_degree=friend_totals(dims.user_friends).where(F.col(U).isNotNull()).select(
+            U, F.col("friend_count").alias("user_deg")
+        ),
+        event_degree=event_status_from_pivot(pivot).where(F.col(E).isNotNull()).select(E, attended.alias("event_deg")),
     )
 
 
@@ -363,9 +412,10 @@ def friend_attendance_features(fact: DataFrame, dims: Dims, mode: str = "intende
 def event_stat_features(fact: DataFrame, dims: Dims, mode: str = "intended") -> DataFrame:
     """Per fact pair, whole-event status counts (NULL when the event has no attendance
     rows), calendar parts, popularity levels and scaled location."""
-    # Status counts only for the fact's events (J6); popularity and bounds stay global.
-    status = event_attendance(restrict_to_fact_events(dims.event_attendees, fact))
-    prof = event_profile(dims.events, mode)
+    # Both blocks only for the fact's events (J6); popularity and bounds stay global.
+    scope = fact_events(fact)
+    status = event_attendance(dims.event_attendees.join(scope, E, "left_semi"))
+    prof = event_profile(dims.events, mode, scope)
     cols = [
         *EVENT_STATUS, "event_month", "event_dayofweek", "event_hour",
         "city_level", "country_level", "lat_prec", "lng_prec",

@@ -102,3 +102,46 @@ def test_a_hot_key_is_split_in_the_fact_join(spark, small_skew_limits, hot):
     out = block(fact, dims)
     assert len(out.toPandas()) == 200_000
     assert "skew=true" in plan_text(out)
+
+
+def test_event_stats_restrict_events_before_the_blocks_meet(spark):
+    """The events table is cut to the fact's events below its joins; bounds stay global."""
+    d = analog.load(spark, SF_SMALL)
+    some = d.fact.where("eventid % 10 = 0")
+    out = features.event_stat_features(some, d.dims)
+    whole = features.event_stat_features(d.fact, d.dims).where("eventid % 10 = 0")
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    assert "FullOuter" in plan_text(out) and "LeftSemi" in optimized_text(features.event_profile(d.dims.events, "reference", some.select("eventid")))
+
+
+def test_degrees_come_from_the_blocks_aggregates(spark):
+    """The friend and attendance tables are grouped by one key once each."""
+    d = analog.load(spark, SF_SMALL)
+    feats = features.dim_features(d.dims, as_of="2002-01-01")
+    got = {r.userid: r.user_deg for r in feats.user_degree.collect()}
+    want = {r.userid: r["count"] for r in d.dims.user_friends.groupBy("userid").count().collect()}
+    assert got == want
+    assert feats.event_degree.agg(F.sum("event_deg")).first()[0] == d.dims.event_attendees.count()
+
+
+@pytest.mark.parametrize("buckets", [1, 8])
+def test_a_small_batch_reads_its_buckets_only(spark, tmp_path, buckets):
+    from affinity.plans.wide import assemble_wide
+
+    d = analog.load(spark, SF_SMALL)
+    fact = features.dedup_fact(d.fact)
+    written = features.dim_features(d.dims, as_of="2002-01-01").write(str(tmp_path), buckets)
+    one = fact.where("userid = 7").limit(1)
+    pairs = spark.createDataFrame(one.collect(), fact.schema)
+    small = written.restricted(pairs)
+    for name, key in features.BLOCK_KEYS.items():
+        files = {r.f for r in getattr(small, name).select(F.input_file_name().alias("f")).distinct().collect()}
+        folders = {f.split(features.BUCKET + "=")[1].split("/")[0] for f in files if features.BUCKET in f}
+        assert len(folders) <= 1 and bool(folders) == (buckets > 1 and bool(files)), name
+        if buckets > 1:
+            assert f"{features.BUCKET}#" in plan_text(getattr(small, name)).split("PartitionFilters: ", 1)[1], name
+    want = sorted(map(tuple, assemble_wide(pairs, written).collect()), key=repr)
+    assert sorted(map(tuple, assemble_wide(pairs, small).collect()), key=repr) == want and want
+    whole = features.dim_features(d.dims, as_of="2002-01-01")
+    both = [sorted(map(tuple, assemble_wide(fact, x).collect()), key=repr) for x in (written, whole)]
+    assert both[0] == both[1]

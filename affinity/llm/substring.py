@@ -1,116 +1,165 @@
-"""Repeated passages by winnowed fingerprints, extended to their true byte ends.
-
-The digest of the `GRAM` bytes at a place is a fingerprint if it is the smallest of some
-`REACH` successive ones, so two texts that share GRAM + REACH - 1 bytes share a fingerprint
-there, whatever stands around. Repeated fingerprints are seeds only: the bytes around each
-are compared with those around its other occurrences, and ranges that touch make one passage.
+"""Repeated passages by content-defined chunks, extended to their true byte ends.
+
+A gear hash rolls over the `WINDOW` bytes up to a place; a cut falls where it is the smallest
+of some `REACH` successive ones, so cuts move with the text and lie at most REACH bytes apart.
+Chunks run from cut to cut and are de-duplicated by digest. Texts that share 2 * REACH +
+WINDOW - 1 bytes have two successive cuts in common there, whatever stands around, hence a
+chunk. Repeated chunks that follow each other wherever they stand are joined to stretches; the
+bytes around a stretch are compared with those around its other occurrences, and ranges that
+touch make one passage.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.llm import kernels as K
-from affinity.llm.common import in_arrow
+from affinity.llm.common import in_arrow, written
 
-GRAM, REACH = 32, 64  # any 95 bytes hold a whole window of fingerprints
+WINDOW, REACH = 8, 46  # any 99 bytes hold a whole chunk
+LEAST = 32  # bytes that a digest speaks for at least: the chunk's, the gear window's, those that follow
 MIN_BYTES = 101  # of a passage that is reported: 51 words of one letter and the blanks between
-SPARE = 4  # last bytes of a fingerprint kept with what follows it, to end on a whole character
-WIDTH = REACH + SPARE
+AROUND = 48  # bytes compared on either side: a shared cut lies no farther from a passage's ends
+SPARE = 4  # last bytes of a stretch kept with what follows it, to end on a whole character
+WIDTH = AROUND + SPARE
+SAMPLE_DOCS = 20_000  # documents about, in which hot chunks are sought; decides where rows go, not the result
+HOT_SHARE = 1000  # a chunk is hot if one in so many chunks is its copy
 
-PRINTS = "doc_id long, text_hash long, start int, d1 long, d2 long"
-SEEDS = "doc_id long, text_hash long, start int, d1 long, d2 long, before binary, after binary"
+CHUNKS = "doc_id long, text_hash long, place int, next int, d1 long, d2 int"
+SEEDS = "doc_id long, text_hash long, start int, size int, n int, d1 long, d2 int, before binary, after binary"
 
+_GEAR = K.mix(np.arange(256, dtype=np.uint64) + np.uint64(77)).astype(np.uint32)
 _VALUE = K.odd_constants(512, 21).reshape(2, 256)
 _BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F)  # odd
-_TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+_TOP = np.uint32(0xFFFFFFFF)
 
 
-def _grams(data: np.ndarray, which: int) -> np.ndarray:
-    """The digest of the GRAM bytes at every place of `data`."""
-    base, n = _BASES[which], len(data) - GRAM + 1
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUE[which][data] * K.powers(base, len(data)), out=total[1:])
-    return K.mix((total[GRAM:] - total[:n]) * K.powers(pow(base, -1, 1 << 64), len(data))[:n])
+def gear(data: np.ndarray) -> np.ndarray:
+    """The gear hash (twice the hash before, plus the byte's value) of the WINDOW bytes that
+    end at every place; the window is doubled instead of rolled."""
+    h, width = _GEAR[data], 1
+    while width < WINDOW:
+        longer = h.copy()
+        longer[width:] += h[:-width] << np.uint32(width)
+        h, width = longer, 2 * width
+    return h
 
 
 def _sliding(h: np.ndarray, least) -> np.ndarray:
     """`least` (np.minimum or np.maximum) of every REACH successive values."""
     width = 1
     while width < REACH:
-        h = least(h[:-width], h[width:])
-        width *= 2
+        step = min(width, REACH - width)
+        h = least(h[:-step], h[step:])
+        width += step
     return h
 
 
-def winnow(h: np.ndarray) -> np.ndarray:
-    """Ascending places whose value is the smallest of some REACH successive ones. Equal
-    smallest values, as in periodic text, are thinned to about one in GRAM places."""
+def cuts(h: np.ndarray) -> np.ndarray:
+    """Ascending places whose value is the smallest of some REACH successive ones. Where the
+    same value returns over and over, as in periodic text, about one in LEAST places is kept."""
     if len(h) <= REACH:
         at = np.flatnonzero(h == h.min())
     else:
-        beside = np.zeros(REACH - 1, dtype=np.uint64)
+        beside = np.zeros(REACH - 1, dtype=h.dtype)
         at = np.flatnonzero(_sliding(np.concatenate([beside, _sliding(h, np.minimum), beside]), np.maximum) == h)
     fresh = np.ones(len(at), dtype=bool)
     fresh[1:] = (h[at[1:]] != h[at[:-1]]) | (np.diff(at) > REACH)
-    since = at - np.maximum.accumulate(np.where(fresh, at, 0))
-    fresh[1:] |= since[1:] // GRAM != since[:-1] // GRAM
-    return at[fresh]
+    order = np.arange(len(at))
+    head = np.maximum.accumulate(np.where(fresh, order, 0))
+    since = at - at[head]
+    keep = order - head < 4
+    keep[1:] |= since[1:] // LEAST != since[:-1] // LEAST
+    return at[keep]
+
 
+def _end(place, stop, length):
+    """Where the bytes end that the digest of the chunk from `place` to `stop` speaks for."""
+    return np.minimum(np.maximum(stop, place + LEAST - WINDOW + 1), length)
 
-def _print(batches):
+
+def _chunk(batches):
     for batch in batches:
         ids, hashes = batch.column("doc_id"), batch.column("text_hash")
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         for lo, hi in K.blocks(texts):
             data = np.frombuffer(b"".join(texts[lo:hi]), dtype=np.uint8)
-            if len(data) < GRAM:
-                continue
-            # characters begin where no continuation byte stands
-            d1, d2 = _grams(data, 0), _grams(data, 1)
-            h = np.where((data[: len(d1)] & 0xC0) == 0x80, _TOP, d1)
-            at, owner, begin = [], [], 0
-            for i in range(lo, hi):
-                if len(texts[i]) >= GRAM:
-                    found = winnow(h[begin : begin + len(texts[i]) - GRAM + 1])
-                    at.append(found + begin), owner.append(np.full(len(found), i))
-                begin += len(texts[i])
-            if not at:
-                continue
             lengths = np.fromiter((len(t) for t in texts[lo:hi]), dtype=np.int64, count=hi - lo)
             begins = np.cumsum(lengths) - lengths
+            long = np.flatnonzero(lengths >= LEAST)
+            if not len(long):
+                continue
+            # characters begin where no continuation byte stands; a text is cut by its own bytes alone
+            h = np.where((data & 0xC0) == 0x80, _TOP, gear(data))
+            h[(begins[long][:, None] + np.arange(WINDOW - 1)).ravel()] = _TOP
+            at, owner = [], []
+            for i in long:
+                found = cuts(h[begins[i] : begins[i] + lengths[i]])
+                found = np.concatenate([[0], found[found > 0]])
+                at.append(found), owner.append(np.full(len(found), i))
             at, owner = np.concatenate(at), np.concatenate(owner)
+            last = np.append(owner[1:] != owner[:-1], True)
+            stop = np.where(last, lengths[owner], np.append(at[1:], 0))
+            lead = np.minimum(at, WINDOW - 1)
+            a, b = begins[owner] + at - lead, begins[owner] + _end(at, stop, lengths[owner])
+            shape = K.mix((lead * (1 << 32) + stop - at).astype(np.uint64))
+            digests = []
+            for value, base in zip(_VALUE, _BASES):
+                total = np.zeros(len(data) + 1, dtype=np.uint64)
+                np.cumsum(value[data] * K.powers(base, len(data)), out=total[1:])
+                back = K.powers(pow(base, -1, 1 << 64), len(data))
+                digests.append(K.mix((total[b] - total[a]) * back[a] + shape))
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.take(pa.array(owner)),
-                    hashes.take(pa.array(owner)),
-                    pa.array((at - begins[owner - lo]).astype(np.int32)),
-                    pa.array(d1[at].view(np.int64)),
-                    pa.array(d2[at].view(np.int64)),
+                    ids.take(pa.array(owner + lo)),
+                    hashes.take(pa.array(owner + lo)),
+                    pa.array(at.astype(np.int32)),
+                    pa.array(stop.astype(np.int32)),
+                    pa.array(digests[0].view(np.int64)),
+                    pa.array((digests[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                 ],
-                names=["doc_id", "text_hash", "start", "d1", "d2"],
+                names=["doc_id", "text_hash", "place", "next", "d1", "d2"],
             )
 
 
-def _surround(batches):
-    """The REACH bytes on either side of every seed, those before it in reverse."""
-    names = ["doc_id", "text_hash", "start", "d1", "d2", "before", "after"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+def chunks(docs: DataFrame) -> DataFrame:
+    """Every chunk of the texts of at least LEAST bytes: its place and that of the next (in
+    bytes), and a digest of 96 bits."""
+    return in_arrow(docs, _chunk, CHUNKS)
+
+
+def _stretch(batches):
+    """Joins the repeated chunks of a text that follow each other wherever they stand, and
+    adds the AROUND bytes on either side, those before in reverse."""
+    names = [x.split()[0] for x in SEEDS.split(", ")]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
     for batch in batches:
-        rows = []
-        ids = zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist())
-        for own, raw, seeds in zip(ids, batch.column("text").cast(pa.binary()), batch.column("seeds")):
-            text = raw.as_py()
-            for s in seeds.as_py():
-                a, b = s["start"], s["start"] + GRAM
-                before = text[max(0, a - REACH) : a][::-1]
-                rows.append((*own, a, s["d1"], s["d2"], before, text[b - SPARE : b + REACH]))
+        if not batch.num_rows:
+            continue
+        seeds = batch.column("seeds")
+        owner = np.repeat(np.arange(batch.num_rows), seeds.value_lengths().to_numpy())
+        column = dict(zip((f.name for f in seeds.type.value_type), seeds.flatten().flatten()))
+        known = [column[c].is_valid().to_numpy(zero_copy_only=False) for c in ("follows", "leads")]
+        place, stop, d1, d2, follows, leads = (
+            column[c].fill_null(0).to_numpy() for c in ("place", "next", "d1", "d2", "follows", "leads")
+        )
+        joined = (owner[1:] == owner[:-1]) & (stop[:-1] == place[1:])
+        joined &= known[0][1:] & known[1][:-1] & (follows[1:] == leads[:-1])
+        first = np.flatnonzero(np.append(True, ~joined))
+        last = np.append(first[1:], len(place)) - 1
+        ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
+        rows, row, text = [], -1, b""
+        for f, e in zip(first.tolist(), last.tolist()):
+            if owner[f] != row:
+                row = int(owner[f])
+                text = batch.column("text")[row].as_py().encode()
+            a = int(place[f]) - min(int(place[f]), WINDOW - 1)
+            b = int(_end(place[e], stop[e], len(text)))
+            before = text[max(0, a - AROUND) : a][::-1]
+            rows.append((ids[row], hashes[row], a, b - a, e - f + 1, d1[f], d2[f], before, text[b - SPARE : b + AROUND]))
             if len(rows) >= 8192:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                 rows = []
@@ -152,7 +201,7 @@ def _join(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def _against_first(batches):
-    """Rows ascend by digest, document and place. Adds the first document of the digest, and
+    """Rows ascend by digest, document and start. Adds the first document of the digest, and
     the bytes in common with its first occurrence; repeated occurrences are left out."""
     first = last = None
     for batch in batches:
@@ -214,34 +263,69 @@ def _against_next(column: str):
     return run
 
 
+def _hot(docs: DataFrame) -> DataFrame | None:
+    """What `_spread` adds, of chunks that would fill a task, summed before they are
+    shuffled: a table of about HOT_SHARE rows at most, None if there is no such chunk."""
+    rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text").cast("long"))).first()
+    every = max(1, rows // SAMPLE_DOCS)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(every)) == 0)
+    enough = max(64, (size or 0) * 2 // (REACH * every * HOT_SHARE))
+    found = chunks(sample).groupBy("d1", "d2").agg(F.count("*").alias("n")).where(F.col("n") >= enough)
+    hot = written(found.select("d1", "d2"), "hot-chunks")
+    if hot.isEmpty():
+        return None
+    whole = _placed(chunks(docs).join(F.broadcast(hot), ["d1", "d2"])).groupBy("d1", "d2")
+    return written(whole.agg(*(f.alias(c) for c, f in _spread().items())), "hot-places")
+
+
+def _placed(every: DataFrame) -> DataFrame:
+    mark = lambda c: F.xxhash64("doc_id", "text_hash", c)
+    return every.withColumns({"here": mark("place"), "there": mark("next")})
+
+
+def _spread() -> dict:
+    """Of a digest: whether it stands at several places, and sums over its places and those
+    of the chunks after it (null if too large; then the chunk is joined to no other)."""
+    total = lambda c: F.try_sum(F.shiftright(c, 24))
+    return {"least": F.min("here"), "most": F.max("here"), "follows": total("here"), "leads": total("there")}
+
+
+def _repeated(docs: DataFrame) -> DataFrame:
+    """Every chunk that stands at several places. Hot ones stay where they are, the others
+    meet by digest."""
+    every, hot = _placed(chunks(docs)), _hot(docs)
+    rest = every if hot is None else every.join(F.broadcast(hot), ["d1", "d2"], "left_anti")
+    digest = Window.partitionBy("d1", "d2")
+    found = rest.withColumns({c: f.over(digest) for c, f in _spread().items()})
+    if hot is not None:
+        found = found.unionByName(every.join(F.broadcast(hot), ["d1", "d2"]))
+    return found.where("least < most")
+
+
 def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """doc_id, start, end (bytes), n_chunks, first_doc_id, kept, copies: every passage of at
     least `min_bytes` whose bytes also stand in another document or elsewhere in the same.
 
-    Ends are the true ends, on whole characters, without blanks. n_chunks are the fingerprints that repeat
-    in the passage, first_doc_id the smallest document that has one of them, and `kept` is
-    true in that document. `copies` are the (start, end) of the stretches that stand at an
-    earlier place, in a smaller document or before in the same: a passage may join stretches
-    of several origins, and removing the copies everywhere leaves the first of each. Null
-    and empty texts and rows without doc_id have no passages; rows that repeat a doc_id and
-    its text are one, another text under the same doc_id has passages of its own; further
+    Ends are the true ends, on whole characters, without blanks. n_chunks are the chunks that
+    repeat in the passage, first_doc_id the smallest document that has one of its stretches,
+    and `kept` is true in that document. `copies` are the (start, end) of the stretches that
+    stand at an earlier place, in a smaller document or before in the same: a passage may join
+    stretches of several origins, and removing the copies everywhere leaves the first of each.
+    Null and empty texts and rows without doc_id have no passages; rows that repeat a doc_id
+    and its text are one, another text under the same doc_id has passages of its own; further
     columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
-    every = in_arrow(docs, _print, PRINTS)
-    digest = Window.partitionBy("d1", "d2")
-    places = ("doc_id", "text_hash", "start")
-    least, most = ({c: f(c).over(digest) for c in places} for f in (F.min, F.max))
     seeds = (
-        every.withColumn("again", reduce(or_, (least[c] < most[c] for c in places)))
-        .where("again")
+        _repeated(docs)
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set(F.struct("start", "d1", "d2")).alias("seeds"))
+        .agg(F.sort_array(F.collect_set(F.struct("place", "next", "d1", "d2", "follows", "leads"))).alias("seeds"))
         .join(docs, ["doc_id", "text_hash"])
         .select("doc_id", "text_hash", "text", "seeds")
     )
-    found = in_arrow(seeds, _surround, SEEDS).repartition("d1", "d2").sortWithinPartitions("d1", "d2", *places)
+    places = ("doc_id", "text_hash", "start")
+    found = in_arrow(seeds, _stretch, SEEDS).repartition("d1", "d2").sortWithinPartitions("d1", "d2", *places)
     held = f"{SEEDS}, first_doc_id long, own boolean, first_before int, first_after int"
     found = in_arrow(found, _against_first, held)
     for column in ("before", "after"):
@@ -252,10 +336,11 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         "text_hash",
         "first_doc_id",
         "own",
+        "n",
         (F.col("start") - F.col("any_before")).alias("start"),
-        (F.col("start") + GRAM - SPARE + F.col("any_after")).alias("end"),
+        (F.col("start") + F.col("size") - SPARE + F.col("any_after")).alias("end"),
         (F.col("start") - F.col("first_before")).alias("from"),
-        (F.col("start") + GRAM - SPARE + F.col("first_after")).alias("to"),
+        (F.col("start") + F.col("size") - SPARE + F.col("first_after")).alias("to"),
     )
     copy = lambda c: F.when(~F.col("own"), F.col(c))
     by_start = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end")
@@ -273,7 +358,7 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),
-            F.count("*").alias("n_chunks"),
+            F.sum("n").alias("n_chunks"),
             F.min("first_doc_id").alias("first_doc_id"),
             F.min(copy("from")).alias("from"),
             F.max(copy("to")).alias("to"),

@@ -11,6 +11,9 @@ touch make one passage.
 
 from __future__ import annotations
 
+import hashlib
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,13 +31,14 @@ WIDTH = AROUND + SPARE
 SAMPLE_DOCS = 20_000  # documents about, in which hot chunks are sought; decides where rows go, not the result
 HOT_SHARE = 1000  # a chunk is hot if one in so many chunks is its copy
 
-CHUNKS = "doc_id long, text_hash long, place int, next int, d1 long, d2 int"
-SEEDS = "doc_id long, text_hash long, start int, size int, n int, d1 long, d2 int, before binary, after binary"
+CHUNKS = "doc_id long, text_hash long, digest long, spot long"  # spot: 256 * place + bytes to the next cut
+SEEDS = "doc_id long, text_hash long, start int, size int, n int, d1 long, d2 long, before binary, after binary"
 
 _GEAR = K.mix(np.arange(256, dtype=np.uint64) + np.uint64(77)).astype(np.uint32)
-_VALUE = K.odd_constants(512, 21).reshape(2, 256)
-_BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F)  # odd
+_VALUE = K.odd_constants(256, 21)
+_BASE = 0x5851F42D4C957F2D  # odd
 _TOP = np.uint32(0xFFFFFFFF)
+_PAIR = struct.Struct("<qq")
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -106,48 +110,39 @@ def _chunk(batches):
             lead = np.minimum(at, WINDOW - 1)
             a, b = begins[owner] + at - lead, begins[owner] + _end(at, stop, lengths[owner])
             shape = K.mix((lead * (1 << 32) + stop - at).astype(np.uint64))
-            digests = []
-            for value, base in zip(_VALUE, _BASES):
-                total = np.zeros(len(data) + 1, dtype=np.uint64)
-                np.cumsum(value[data] * K.powers(base, len(data)), out=total[1:])
-                back = K.powers(pow(base, -1, 1 << 64), len(data))
-                digests.append(K.mix((total[b] - total[a]) * back[a] + shape))
+            total = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum(_VALUE[data] * K.powers(_BASE, len(data)), out=total[1:])
+            digest = K.mix((total[b] - total[a]) * K.powers(pow(_BASE, -1, 1 << 64), len(data))[a] + shape)
+            owner = pa.array(owner + lo)
+            spot = pa.array(at * 256 + stop - at)  # cuts are fewer than 256 bytes apart
             yield pa.RecordBatch.from_arrays(
-                [
-                    ids.take(pa.array(owner + lo)),
-                    hashes.take(pa.array(owner + lo)),
-                    pa.array(at.astype(np.int32)),
-                    pa.array(stop.astype(np.int32)),
-                    pa.array(digests[0].view(np.int64)),
-                    pa.array((digests[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                ],
-                names=["doc_id", "text_hash", "place", "next", "d1", "d2"],
+                [ids.take(owner), hashes.take(owner), pa.array(digest.view(np.int64)), spot],
+                names=["doc_id", "text_hash", "digest", "spot"],
             )
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """Every chunk of the texts of at least LEAST bytes: its place and that of the next (in
-    bytes), and a digest of 96 bits."""
+    """Every chunk of the texts of at least LEAST bytes: its place and length in bytes, and a
+    digest of 64 bits, which finds repeated chunks; whole stretches are told apart by 128."""
     return in_arrow(docs, _chunk, CHUNKS)
 
 
 def _stretch(batches):
     """Joins the repeated chunks of a text that follow each other wherever they stand, and
-    adds the AROUND bytes on either side, those before in reverse."""
+    adds a digest of each stretch and the AROUND bytes on either side, those before in reverse."""
     names = [x.split()[0] for x in SEEDS.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     for batch in batches:
         if not batch.num_rows:
             continue
         seeds = batch.column("seeds")
         owner = np.repeat(np.arange(batch.num_rows), seeds.value_lengths().to_numpy())
-        column = dict(zip((f.name for f in seeds.type.value_type), seeds.flatten().flatten()))
-        known = [column[c].is_valid().to_numpy(zero_copy_only=False) for c in ("follows", "leads")]
-        place, stop, d1, d2, follows, leads = (
-            column[c].fill_null(0).to_numpy() for c in ("place", "next", "d1", "d2", "follows", "leads")
-        )
-        joined = (owner[1:] == owner[:-1]) & (stop[:-1] == place[1:])
-        joined &= known[0][1:] & known[1][:-1] & (follows[1:] == leads[:-1])
+        spot, link = seeds.flatten().flatten()
+        known, link = link.is_valid().to_numpy(zero_copy_only=False), link.fill_null(0).to_numpy()
+        place = spot.to_numpy() >> 8
+        stop = place + (spot.to_numpy() & 255)
+        joined = (owner[1:] == owner[:-1]) & (stop[:-1] == place[1:]) & known[1:] & known[:-1]
+        joined &= (link[1:] >> 32).astype(np.int32) == link[:-1].astype(np.int32)
         first = np.flatnonzero(np.append(True, ~joined))
         last = np.append(first[1:], len(place)) - 1
         ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
@@ -158,8 +153,9 @@ def _stretch(batches):
                 text = batch.column("text")[row].as_py().encode()
             a = int(place[f]) - min(int(place[f]), WINDOW - 1)
             b = int(_end(place[e], stop[e], len(text)))
-            before = text[max(0, a - AROUND) : a][::-1]
-            rows.append((ids[row], hashes[row], a, b - a, e - f + 1, d1[f], d2[f], before, text[b - SPARE : b + AROUND]))
+            d1, d2 = _PAIR.unpack(hashlib.blake2b(text[a:b], digest_size=16).digest())
+            before, after = text[max(0, a - AROUND) : a][::-1], text[b - SPARE : b + AROUND]
+            rows.append((ids[row], hashes[row], a, b - a, e - f + 1, d1, d2, before, after))
             if len(rows) >= 8192:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                 rows = []
@@ -237,15 +233,19 @@ def _against_first(batches):
 
 def _against_next(column: str):
     """Rows ascend by digest and `column`. Adds the most bytes in common with another row of
-    the digest, which is the one before or the one after."""
+    the digest, which is the one before or the one after. A digest's only row (its chunks met
+    others by a digest of 64 bits alone) is left out."""
 
     def finish(rows, skip, stop):
         digest = _keys(rows, ["d1", "d2"])
         m, size = _matrix(rows.column(column).to_pylist())
         x = np.arange(rows.num_rows - 1)
-        step = np.where((digest[1:] == digest[:-1]).all(axis=1), _common(m, size, x, x + 1), 0)
+        same = (digest[1:] == digest[:-1]).all(axis=1)
+        step = np.where(same, _common(m, size, x, x + 1), 0)
         most = _whole(column, m, size, np.maximum(np.append(step, 0), np.append(0, step)))
-        return rows.append_column(f"any_{column}", pa.array(most.astype(np.int32))).slice(skip, stop - skip)
+        several = pa.array((np.append(same, False) | np.append(False, same))[skip:stop])
+        rows = rows.append_column(f"any_{column}", pa.array(most.astype(np.int32)))
+        return rows.slice(skip, stop - skip).filter(several)
 
     def run(batches):
         held, skip = None, 0  # the last row waits for its neighbour; the one before it is done
@@ -270,17 +270,18 @@ def _hot(docs: DataFrame) -> DataFrame | None:
     every = max(1, rows // SAMPLE_DOCS)
     sample = docs.where(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(every)) == 0)
     enough = max(64, (size or 0) * 2 // (REACH * every * HOT_SHARE))
-    found = chunks(sample).groupBy("d1", "d2").agg(F.count("*").alias("n")).where(F.col("n") >= enough)
-    hot = written(found.select("d1", "d2"), "hot-chunks")
+    found = chunks(sample).groupBy("digest").agg(F.count("*").alias("n")).where(F.col("n") >= enough)
+    hot = written(found.select("digest"), "hot-chunks")
     if hot.isEmpty():
         return None
-    whole = _placed(chunks(docs).join(F.broadcast(hot), ["d1", "d2"])).groupBy("d1", "d2")
+    whole = _placed(chunks(docs).join(F.broadcast(hot), "digest")).groupBy("digest")
     return written(whole.agg(*(f.alias(c) for c, f in _spread().items())), "hot-places")
 
 
 def _placed(every: DataFrame) -> DataFrame:
-    mark = lambda c: F.xxhash64("doc_id", "text_hash", c)
-    return every.withColumns({"here": mark("place"), "there": mark("next")})
+    place = F.shiftright("spot", 8)
+    mark = lambda at: F.xxhash64("doc_id", "text_hash", at)
+    return every.withColumns({"here": mark(place), "there": mark(place + F.col("spot").bitwiseAND(255))})
 
 
 def _spread() -> dict:
@@ -291,15 +292,18 @@ def _spread() -> dict:
 
 
 def _repeated(docs: DataFrame) -> DataFrame:
-    """Every chunk that stands at several places. Hot ones stay where they are, the others
-    meet by digest."""
-    every, hot = _placed(chunks(docs)), _hot(docs)
-    rest = every if hot is None else every.join(F.broadcast(hot), ["d1", "d2"], "left_anti")
-    digest = Window.partitionBy("d1", "d2")
-    found = rest.withColumns({c: f.over(digest) for c, f in _spread().items()})
+    """Every chunk that stands at several places: doc_id, text_hash, spot, link (the low halves
+    of both sums). Hot ones stay where they are, the others meet by digest."""
+    every, hot = chunks(docs), _hot(docs)
+    rest = every if hot is None else every.join(F.broadcast(hot), "digest", "left_anti")
+    digest = Window.partitionBy("digest")
+    # places are hashed after the shuffle, which carries the narrow rows alone
+    found = _placed(rest.repartition("digest")).withColumns({c: f.over(digest) for c, f in _spread().items()})
     if hot is not None:
-        found = found.unionByName(every.join(F.broadcast(hot), ["d1", "d2"]))
-    return found.where("least < most")
+        found = found.unionByName(_placed(every).join(F.broadcast(hot), "digest"))
+    low = F.col("leads").bitwiseAND(F.lit((1 << 32) - 1))
+    link = F.shiftleft("follows", 32).bitwiseOR(low).alias("link")
+    return found.where("least < most").select("doc_id", "text_hash", "spot", link)
 
 
 def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -319,8 +323,9 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
     seeds = (
         _repeated(docs)
+        .repartition("doc_id", "text_hash")
         .groupBy("doc_id", "text_hash")
-        .agg(F.sort_array(F.collect_set(F.struct("place", "next", "d1", "d2", "follows", "leads"))).alias("seeds"))
+        .agg(F.sort_array(F.collect_set(F.struct("spot", "link"))).alias("seeds"))
         .join(docs, ["doc_id", "text_hash"])
         .select("doc_id", "text_hash", "text", "seeds")
     )

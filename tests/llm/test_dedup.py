@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from affinity.llm import kernels as K
 from affinity.llm.components import components
 from affinity.llm.exact_dedup import exact_dedup, exact_groups
 from affinity.llm.near_dedup import near_dedup, near_groups, prune_below, rows_per_band
-from affinity.llm.substring import repeated_passages
+from affinity.llm.substring import REACH, cuts, gear, repeated_passages
 from tests.llm.cases import DOCS, frame, hostile, sentence
 
 
@@ -270,3 +271,53 @@ def test_repeated_passages_of_namesakes_stay_in_their_text(spark):
     spans = [(i, t.encode().index(x.encode()), t.encode().index(x.encode()) + len(x.encode()))
              for (i, t, *_), x in zip(rows, [texts[0], texts[1], *texts])]
     assert sorted((r.doc_id, r.start, r.end) for r in got) == sorted(spans)
+
+
+def _covered(texts: dict, n: int) -> dict:
+    """Per text the places inside some n bytes that stand at another place, in any text, too."""
+    seen = {}
+    for i, t in texts.items():
+        for at in range(len(t) - n + 1):
+            seen.setdefault(t[at : at + n], []).append((i, at))
+    out = {i: set() for i in texts}
+    for places in seen.values():
+        for i, at in places if len(places) > 1 else ():
+            out[i].update(range(at, at + n))
+    return out
+
+
+def test_repeated_passages_match_all_shared_substrings(spark):
+    rng = random.Random(17)
+    texts = {}
+    for i in range(60):  # pieces of earlier texts between own words, over few and many letters
+        letters = "ab é" if i % 3 == 0 else "abcdefghijklmnopqrstuvwxyzäß "
+        own = lambda n: "".join(rng.choice(letters) for _ in range(n))
+        parts = [own(rng.randint(0, 200))]
+        for _ in range(rng.randint(0, 4)):
+            if texts:
+                source = texts[rng.choice(list(texts))]
+                at = rng.randint(0, len(source))
+                parts += [source[at : at + rng.randint(20, 300)], own(rng.choice([0, 1, 30]))]
+        texts[i] = "".join(parts) + own(40)
+    raw = {i: t.encode() for i, t in texts.items()}
+    must, may = _covered(raw, 101 + 8), _covered(raw, 28)  # ends give up blanks and parts of characters
+    got = {i: set() for i in raw}
+    for i, start, end in passages(spark, texts):
+        got[i].update(range(start, end))
+    assert sum(map(len, must.values())) > 5000
+    for i, t in raw.items():
+        assert got[i] <= may[i], i
+        lost = must[i] - got[i]
+        assert all(t[x] in b" " or t[x] >= 0x80 for x in lost), (i, len(lost))
+
+
+def test_gear_cuts_are_content_defined():
+    rng = np.random.default_rng(3)
+    shared = rng.integers(97, 123, 4000, dtype=np.uint8)
+    for lead in (0, 1, 777):
+        data = np.concatenate([rng.integers(97, 123, lead, dtype=np.uint8), shared])
+        at = cuts(gear(data)) - lead
+        assert np.diff(at).max() <= REACH
+        if lead:
+            assert set(at[(at > 2 * REACH) & (at < 3900)]) == set(own[(own > 2 * REACH) & (own < 3900)])
+        own = at

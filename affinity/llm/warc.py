@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from affinity.llm.common import BROADCAST_ROWS, in_arrow, written
 
 MIN_REVISIT_BYTES = 100  # fixed value of the contract: smaller payloads are always responses
-FILE_BYTES = 16 << 20  # target size of an archive file
+FILE_BYTES = 16 << 20  # of an archive file at most, unless one record is larger
+SIZE_STEP = 8  # records are written by classes of size, each this many times the one before
 END = "\r\n\r\n"
+HEAD_BYTES = 700  # of a record without its payload and its url, at most
 
 MANDATORY = ("warc-type", "warc-record-id", "content-length")  # fixed value
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value
@@ -57,7 +59,10 @@ def write_warc(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z")
     named `null`, and rows that repeat the smallest page_id are all responses.
     """
     rows = record_types(pages)
-    total = pages.agg(F.avg(F.octet_length(F.coalesce(F.col("html").cast("string"), F.lit(""))))).first()[0] or 0
+    level = F.ceil(F.log(float(SIZE_STEP), F.greatest(F.octet_length("raw"), F.lit(1)) / SIZE_STEP**3)).cast("int")
+    level = F.greatest(level, F.lit(0))
+    sizes = pages.select(F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8").alias("raw"))
+    largest = sizes.groupBy(level.alias("level")).agg(F.max(F.octet_length("raw"))).collect()  # a dozen rows at most
     revisit = F.col("refers_to").isNotNull()
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
@@ -86,10 +91,12 @@ def write_warc(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z")
         F.octet_length(block).cast("string"),
         F.lit(END),
     )
-    per_file = max(1, int(FILE_BYTES // (total + 600)))
-    rows.select(F.concat(head, block).alias("value")).write.option("lineSep", END).option(
-        "maxRecordsPerFile", per_file
-    ).text(path)
+    head_bytes = F.octet_length(F.coalesce(F.col("url"), F.lit("")))
+    urls = pages.agg(F.max(head_bytes)).first()[0] or 0
+    for at, most in sorted(largest) or [(0, 0)]:
+        of_level = rows.where(level == at).select(F.concat(head, block).alias("value"))
+        per_file = max(1, FILE_BYTES // (most + 3 * urls + HEAD_BYTES))  # a blank of a url becomes three bytes
+        of_level.write.mode("append").option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
 
 
 class Found(NamedTuple):
@@ -106,7 +113,9 @@ class Found(NamedTuple):
 _START = re.compile(rb"WARC/[0-9]+\.[0-9]+\r?\n|\x1f\x8b\x08")
 _BLANK = re.compile(rb"\r?\n\r?\n")  # the end of a header; some writers use bare line feeds
 _ENDS = re.compile(rb"\r\n\r\n|\n\n")
-PIECE = 1 << 12  # bytes at a time from a member that does not decompress as a whole
+FEED = 1 << 14  # bytes at a time from a member, so what follows it is not copied
+PIECE = 1 << 12  # from a member that does not decompress as a whole
+HEADER_BYTES = 1 << 20  # of a header; one that is not closed by then is damaged
 _NUMBER = re.compile(r"\d+")
 
 
@@ -140,7 +149,7 @@ def _unchunked(payload: bytes) -> bytes:
 
 def _parse(data: bytes, at: int) -> Found | str:
     """The record at `at`, or what is wrong with it."""
-    closed = _BLANK.search(data, at)
+    closed = _BLANK.search(data, at, at + HEADER_BYTES)
     if not closed:
         return "header not closed"
     fields = _fields(data[at : closed.start()])
@@ -179,7 +188,16 @@ def _parse(data: bytes, at: int) -> Found | str:
     return Found(at, stop.end() - at, headers=headers, payload=payload, payload_bytes=size)
 
 
-def _before_damage(data: bytes) -> bytes:
+def _inflate(data: bytes, at: int) -> tuple[bytes, int | None]:
+    """What the gzip member at `at` holds and where it ends, None if the bytes end first."""
+    member, view, out = zlib.decompressobj(31), memoryview(data), []
+    while at < len(data) and not member.eof:
+        out.append(member.decompress(view[at : at + FEED]))
+        at += FEED
+    return b"".join(out), min(at, len(data)) - len(member.unused_data) if member.eof else None
+
+
+def _before_damage(data: memoryview) -> bytes:
     """What a gzip member that does not decompress as a whole gives before its damage."""
     member, out = zlib.decompressobj(31), []
     for lo in range(0, len(data), PIECE):
@@ -208,17 +226,15 @@ def _at(data: bytes, at: int) -> tuple[list[Found], int | None, str | None] | st
     with the bytes would need the member's checksum. Bytes may go wrong before decompression
     fails, so of a member with wrong bytes the records with a digest do."""
     if data[at : at + 3] == b"\x1f\x8b\x08":
-        member = zlib.decompressobj(31)
         try:
-            inner, why = member.decompress(data[at:]), "gzip member truncated"
+            (inner, end), why = _inflate(data, at), "gzip member truncated"
         except zlib.error as e:
-            inner, why = _before_damage(data[at:]), f"gzip member: {e}"[:80]
+            inner, why = _before_damage(memoryview(data)[at:]), f"gzip member: {e}"[:80]
             got = [f for f in salvage(inner) if not f.gap and _checked(f)]
             return (got, None, why) if got else why
-        if not member.eof:
+        if end is None:
             got = [f for f in salvage(inner) if not f.gap and f.offset + f.length < len(inner)]
             return (got, None, why) if got else why
-        end = len(data) - len(member.unused_data)
         return [f._replace(offset=at, length=end - at) for f in salvage(inner)], end, None
     got = _parse(data, at)
     return got if isinstance(got, str) else ([got], at + got.length, None)

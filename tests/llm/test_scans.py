@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import random
+import time
 
 import numpy as np
 
@@ -349,3 +350,42 @@ def test_overlaps_of_repetitive_items_lie_apart(monkeypatch):
         taken[d, k].append((start, end))
     assert set(taken) == {(d, k) for d in range(2) for k in range(30)}
     assert all(sum(b - a for a, b in x) >= 24 * 12 for x in taken.values())
+
+
+def test_gzip_members_take_the_same_time_each():
+    rng = np.random.default_rng(5)
+    member = gzip.compress(record(1, rng.bytes(11_000)))
+
+    def seconds(n):
+        data = member * n
+        start = time.process_time()
+        assert sum(f.gap is None for f in warc.salvage(data)) == n
+        return (time.process_time() - start) / n
+
+    assert min(seconds(400) for _ in range(3)) * 4 > min(seconds(6400) for _ in range(2))
+
+
+def test_archives_are_bounded_by_bytes_and_damage_loses_its_record_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 200_000)
+    rng = random.Random(33)
+    sizes = [30] * 3000 + [40_000] * 40 + [300_000]  # an average would put all long ones into one file
+    rows = [(i, f"http://h{i}.org/ a", f"{i} " + "x" * rng.randint(n // 2, n)) for i, n in enumerate(sizes)]
+    warc.write_warc(spark.createDataFrame(rows, PAGES).coalesce(1), f"file://{tmp_path}/w")
+    files = sorted((tmp_path / "w").glob("part-*"))
+    assert len(files) > 10 and sorted(f.stat().st_size for f in files)[-2] <= 200_000
+    lost = set()
+    for file in files:  # one byte of a payload in the middle of every archive
+        data = bytearray(file.read_bytes())
+        at = data.index(b"Content-Type: text/html", len(data) // 2 if data.count(b"text/html") > 1 else 0)
+        at = data.index(b"\r\n\r\n", at) + 4
+        lost.add(int(bytes(data[at : data.index(b" ", at)])))
+        data[at] = ord("?")
+        (tmp_path / "damaged").mkdir(exist_ok=True)
+        (tmp_path / "damaged" / file.name).write_bytes(bytes(data))
+    read = warc.read_warc(spark, f"file://{tmp_path}/damaged")
+    kept = warc.archived_pages(read).collect()
+    assert len(lost) == len(files)
+    assert sorted(r.page_id for r in kept) == sorted(set(range(len(rows))) - lost)
+    gaps = read.where("gap IS NOT NULL").collect()
+    assert {r.gap for r in gaps} == {"payload digest differs"} and len(gaps) == len(files)
+    assert {r.payload_digest for r in kept} == {hashlib.sha256(h.encode()).hexdigest() for i, _, h in rows if i not in lost}

@@ -32,6 +32,15 @@ from affinity.schemas import FRIEND_STATUS, USER_STATUS, WIDE_COLUMNS, Dims
 from affinity.session import scratch_path
 from affinity.sinks import write_table
 from affinity.sources import analog
+from affinity.plans.refresh import (
+    ATTENDANCE,
+    EVENT_COUNTS,
+    FRIENDS,
+    HISTORY,
+    CountStore,
+    bounds_of,
+    merge_bounds,
+)
 from affinity.sources.dims import DEFAULT_TABLES, load_dims, load_dims_from_dir
 from affinity.sources.fact import parse_payload, read_wide_csv, to_payload
 from affinity.sinks.ledger import Files, FolderRows
@@ -59,6 +68,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # The event types of the `events` test table, pivoted by the type pivot; the
 # pivot's definition is these columns, so other types are not counted.
 EVENT_TYPES = ("view", "click", "purchase", "signup", "error")
+PLACE = {"lat_prec": "lat", "lng_prec": "lng"}  # scaled between their bounds
 EVENT_TYPE_OUT = {f"{t}_count": t for t in EVENT_TYPES}
 
 
@@ -242,6 +252,36 @@ def q_dims_from_catalog(spark, sf_dir):
     return _table_sizes(load_dims(spark, tables={k: f"dim_{k}" for k in DEFAULT_TABLES}))
 
 
+def _shares(rows: DataFrame, a: str, b: str) -> list[DataFrame]:
+    """The rows dealt into three shares by two of their columns."""
+    share = F.coalesce(F.pmod(F.col(a) + F.col(b), F.lit(3)), F.lit(0))
+    return [rows.where(share == i) for i in range(3)]
+
+
+def q_refreshed_counts(spark, sf_dir, table, counted, other):
+    """A counted block built from a third of its table and two batches of changes. The first
+    third also has rows twice, which the last batch takes out again."""
+    rows = _data(spark, sf_dir).dims.frames()[table]
+    first, second, third = _shares(rows, counted.keys[0], other)
+    again = first.where(F.pmod(other, F.lit(7)) == 0)
+    store = CountStore(spark, scratch_path(spark, "refreshed"), counted)
+    store.apply(first.unionByName(again), 0)
+    store.apply(second, 1)
+    tagged = third.withColumn("change", F.lit(1)).unionByName(again.withColumn("change", F.lit(-1)))
+    store.apply(tagged, 2)
+    store.vacuum()
+    return store.read()
+
+
+def q_refreshed_bounds(spark, sf_dir):
+    """Bounds of the events' places from three shares; a removed row within them changes nothing."""
+    events = _data(spark, sf_dir).dims.events
+    first, *later = (bounds_of(x, PLACE) for x in _shares(events, "eventid", "userid"))
+    for added in later:
+        first = merge_bounds(first, added).drop("stale")
+    return first
+
+
 def q_duplicate_keys(spark, sf_dir):
     _prepare(spark)
     return duplicate_keys(spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet"), ["o_custkey"])
@@ -478,6 +518,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payload_quarantine": q_payload_quarantine,
         "dims_from_dir": q_dims_from_dir,
         "dims_from_catalog": q_dims_from_catalog,
+        "refreshed_user_status": partial(q_refreshed_counts, table="event_attendees", counted=HISTORY, other="eventid"),
+        "refreshed_event_status": partial(
+            q_refreshed_counts, table="event_attendees", counted=EVENT_COUNTS, other="userid"
+        ),
+        "refreshed_attendance": partial(q_refreshed_counts, table="event_attendees", counted=ATTENDANCE, other="userid"),
+        "refreshed_friend_count": partial(q_refreshed_counts, table="user_friends", counted=FRIENDS, other="friendid"),
+        "refreshed_bounds": q_refreshed_bounds,
         "duplicate_keys": q_duplicate_keys,
         "batch_run": q_batch_run,
         "stream_latest": q_stream_latest,
@@ -607,6 +654,16 @@ FROM a_fact f LEFT JOIN est ON f.eventid = est.eventid LEFT JOIN ev ON f.eventid
 FROM lineitem WHERE l_orderkey % 6 IN (0, 2, 3)""",
         "dims_from_dir": dims_sql,
         "dims_from_catalog": dims_sql,
+        "refreshed_user_status": w() + O.pivot_two_level("a_attendees", "userid", "eventid", O.USER_OUT),
+        "refreshed_event_status": w() + O.pivot_two_level("a_attendees", "eventid", "userid", O.EVENT_OUT),
+        "refreshed_attendance": w() + "SELECT eventid, userid, " + ", ".join(
+            f"count(*) FILTER (status = '{status}') AS {name}" for name, status in FRIEND_STATUS.items()
+        ) + " FROM a_attendees GROUP BY eventid, userid",
+        "refreshed_friend_count": w() + "SELECT userid, count(friendid) AS friend_count FROM a_friends GROUP BY userid",
+        "refreshed_bounds": w() + " UNION ALL ".join(
+            f"SELECT '{name}' AS name, min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi FROM a_events"
+            for name, c in PLACE.items()
+        ),
         "duplicate_keys": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 1",
         "batch_run": O.wide_sql("intended"),
         "stream_latest": w() + "SELECT userid, eventid, invited, times FROM a_fact",

@@ -1,0 +1,118 @@
+"""Counts kept up to date from changes against a rebuild, versions, replays, bounds."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from affinity.plans.features import attendance_history, event_attendance, friend_totals
+from affinity.plans.refresh import (
+    ATTENDANCE,
+    EVENT_COUNTS,
+    FRIENDS,
+    HISTORY,
+    CountStore,
+    bounds_of,
+    merge_bounds,
+)
+from affinity.session import scratch_path
+from affinity.sinks.ledger import Files
+
+ATTENDEES = "eventid long, userid long, status string"
+CHANGES = f"{ATTENDEES}, change int"
+STATUSES = ["invited", "yes", "no", "maybe", "other", None]
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def _attendee(rng):
+    key = lambda n: rng.choice([None, *range(n)])
+    return key(12), key(9), rng.choice(STATUSES)
+
+
+def test_random_changes_equal_a_rebuild(spark):
+    rng = random.Random(1)
+    have = [_attendee(rng) for _ in range(150)]
+    stores = {c: CountStore(spark, scratch_path(spark, "t-counts"), c, 8) for c in (HISTORY, EVENT_COUNTS, ATTENDANCE)}
+    batch = [(*r, 1) for r in have]
+    for i in range(3):
+        for store in stores.values():
+            assert store.apply(spark.createDataFrame(batch, CHANGES), i)
+        now = spark.createDataFrame(have, ATTENDEES)
+        for counted, rebuilt in ((HISTORY, attendance_history(now)), (EVENT_COUNTS, event_attendance(now))):
+            got = stores[counted].read()
+            assert got.columns == rebuilt.columns and _rows(got) == _rows(rebuilt)
+        listed = Counter((e, u) for e, u, s in have if s == "yes")
+        pairs = {(r.eventid, r.userid): r.uf_attended_count for r in stores[ATTENDANCE].read().collect()}
+        assert set(pairs) == {(e, u) for e, u, _ in have} and all(n == listed[k] for k, n in pairs.items())
+        gone = rng.sample(have, 30)
+        new = [_attendee(rng) for _ in range(25)]
+        for r in gone:
+            have.remove(r)
+        have += new
+        batch = [(*r, -1) for r in gone] + [(*r, 1) for r in new]
+
+
+def test_only_the_changed_keys_buckets_are_written(spark):
+    folder = scratch_path(spark, "t-counts")
+    store, files = CountStore(spark, folder, FRIENDS, 16), Files(spark)
+    edges = spark.createDataFrame([(i, i + j) for i in range(200) for j in range(1, 3)], "userid long, friendid long")
+    assert store.apply(edges, 0)
+    more = spark.createDataFrame([(7, 500), (7, None)], "userid long, friendid long")
+    assert store.apply(more, 1)
+    assert len([n for n in files.names(f"{folder}/data/1") if n.startswith("bucket=")]) == 1
+    read = [f for f in store.read().inputFiles() if "/data/1/" in f]
+    assert 0 < len(read) < len(store.read().inputFiles())
+    assert _rows(store.read()) == _rows(friend_totals(edges.union(more)))
+    before = _rows(store.read())
+    assert not store.apply(more, 1) and not store.apply(more, 0)  # run again
+    store.vacuum(1)
+    assert store.versions() == [1] and _rows(store.read()) == before
+
+
+def test_a_stopped_batch_is_written_again(spark, monkeypatch):
+    folder = scratch_path(spark, "t-counts")
+    rows = spark.createDataFrame([(1, 2), (1, 3), (4, 5)], "userid long, friendid long")
+    store = CountStore(spark, folder, FRIENDS, 4)
+    store.apply(rows, 0)
+    before = _rows(store.read())
+    with monkeypatch.context() as m:
+        m.setattr(Files, "move", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            store.apply(rows, 1)
+    assert _rows(store.read()) == before
+    assert CountStore(spark, folder, FRIENDS, 4).apply(rows, 1)
+    assert _rows(store.read()) == [(1, 4), (4, 2)]
+
+
+def test_keys_without_rows_leave_and_empty_stores(spark):
+    store = CountStore(spark, scratch_path(spark, "t-counts"), HISTORY, 4)
+    with pytest.raises(ValueError):
+        store.read()
+    rows = spark.createDataFrame([(1, 1, "yes"), (2, 1, "other"), (3, 2, None)], ATTENDEES)
+    store.apply(rows, 0)
+    assert _rows(store.read()) == [(1, 0, 1, 0, 0), (2, 0, 0, 0, 0)]
+    store.apply(spark.createDataFrame([(1, 1, "yes", -1), (2, 1, "other", -1), (3, 2, None, -1)], CHANGES), 1)
+    schema = attendance_history(rows).schema
+    assert store.read(schema).count() == 0
+    store.apply(rows, 2)
+    assert _rows(store.read()) == _rows(attendance_history(rows))
+    store.apply(rows.limit(0), 3)
+    assert _rows(store.read()) == _rows(attendance_history(rows))
+
+
+def test_bounds_are_merged_and_told_stale(spark):
+    def bounds(*values):
+        return bounds_of(spark.createDataFrame([(v,) for v in values], "x string"), {"a": "x", "b": "x"})
+
+    merged = lambda *x: {tuple(r)[1:] for r in merge_bounds(*x).collect()}
+    old = bounds("1", "5", None, "no number")
+    assert merged(old, bounds("9", "3")) == {(1.0, 9.0, False)}
+    assert merged(old, bounds(None)) == {(1.0, 5.0, False)}
+    assert merged(bounds(None), bounds("2")) == {(2.0, 2.0, False)}
+    assert merged(old, bounds("3"), bounds("4")) == {(1.0, 5.0, False)}
+    assert merged(old, bounds("3"), bounds("5")) == {(1.0, 5.0, True)}
+    assert merged(old, bounds("7"), bounds("5")) == {(1.0, 7.0, False)}
+    assert merged(old, bounds(None), bounds("1")) == {(1.0, 5.0, True)}

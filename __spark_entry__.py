@@ -231,10 +231,38 @@ def q_payload_quarantine(spark, sf_dir):
     return parse_payload(items.select(value.alias("value")), types=keys)[1]
 
 
-def _table_sizes(dims: Dims) -> DataFrame:
-    """(name, n): the rows of each dimension."""
-    sizes = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("name"), "n") for k, df in dims.frames().items()]
-    return reduce(DataFrame.unionByName, sizes)
+# Columns of the dimensions whose values are compared; those of locales are the nation table's.
+DIM_TEXTS = {
+    "customers": ("userid", "localename", "birthyear", "gender", "location", "timezone"),
+    "event_attendees": ("eventid", "userid", "status"),
+    "event_groups": ("eventid", "grouptype"),
+    "events": ("eventid", "userid", "starttime", "city", "state", "country"),
+    "user_friends": ("userid", "friendid"),
+    "locales": ("n_nationkey", "n_name"),
+}
+DIM_NUMBERS = {"customers": ("joinedat",), "events": ("lat", "lng")}
+
+
+def _table_contents(dims: Dims) -> DataFrame:
+    """(name, n, rows_digest, total): of each dimension the rows, the sum of a digest of each
+    row's texts and ids, and the sum of its numbers."""
+
+    def of(name: str, df: DataFrame) -> DataFrame:
+        cell = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
+        digest = F.conv(F.substring(F.md5(F.concat_ws("|", *map(cell, DIM_TEXTS[name]))), 1, 8), 16, 10).cast("long")
+        numbers = [F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0)) for c in DIM_NUMBERS.get(name, ())]
+        total = F.round(reduce(lambda a, b: a + b, numbers, F.lit(0.0)), 2)
+        sums = df.agg(F.count("*").alias("n"), F.sum(digest).alias("rows_digest"), total.alias("total"))
+        return sums.select(F.lit(name).alias("name"), "n", "rows_digest", "total")
+
+    return reduce(DataFrame.unionByName, (of(k, df) for k, df in dims.frames().items()))
+
+
+def _contents_sql(name: str, table: str) -> str:
+    cells = " || '|' || ".join(f"coalesce('=' || CAST({c} AS VARCHAR), 'null')" for c in DIM_TEXTS[name])
+    total = " + ".join(["0.0", *(f"coalesce(sum(CAST({c} AS DOUBLE)), 0)" for c in DIM_NUMBERS.get(name, ()))])
+    digest = f"CAST(sum(CAST('0x' || substr(md5({cells}), 1, 8) AS BIGINT)) AS BIGINT)"
+    return f"SELECT '{name}' AS name, count(*) AS n, {digest} AS rows_digest, CAST(round({total}, 2) AS DOUBLE) AS total FROM {table}"
 
 
 def q_dims_from_dir(spark, sf_dir):
@@ -242,14 +270,14 @@ def q_dims_from_dir(spark, sf_dir):
     base = scratch_path(spark, "dims")
     for name, df in _data(spark, sf_dir).dims.frames().items():
         df.write.parquet(f"{base}/{name}")
-    return _table_sizes(load_dims_from_dir(spark, base))
+    return _table_contents(load_dims_from_dir(spark, base))
 
 
 def q_dims_from_catalog(spark, sf_dir):
     """The dimensions loaded by catalog name (temporary views)."""
     for name, df in _data(spark, sf_dir).dims.frames().items():
         df.createOrReplaceTempView(f"dim_{name}")
-    return _table_sizes(load_dims(spark, tables={k: f"dim_{k}" for k in DEFAULT_TABLES}))
+    return _table_contents(load_dims(spark, tables={k: f"dim_{k}" for k in DEFAULT_TABLES}))
 
 
 def _shares(rows: DataFrame, a: str, b: str) -> list[DataFrame]:
@@ -550,7 +578,7 @@ def oracle_sql() -> dict[str, str]:
     ratio_cols = O.ratio_cols("COALESCE(fc.friend_count, 0)")
     fanned = "(COALESCE(fc.friend_count, 0) * frows.n_rows)"
     score_sql = f"SELECT user_id, event_id, {FIXTURE_SCORE} AS prediction FROM ({{}}) m"
-    sizes = {
+    tables = {
         "customers": "a_customers", "event_attendees": "a_attendees", "event_groups": "a_groups",
         "events": "a_events", "user_friends": "a_friends", "locales": "nation",
     }
@@ -562,7 +590,7 @@ def oracle_sql() -> dict[str, str]:
       covar_pop({FEATURES[0]}, {LABEL}) AS s1y, covar_pop({FEATURES[1]}, {LABEL}) AS s2y FROM m) c) b,
   (SELECT user_id, event_id, {FEATURES[0]} AS x1, {FEATURES[1]} AS x2 FROM m) r"""
     fitted_sql = f"WITH m AS ({O.model_input_sql()})\n{fitted_sql}"
-    dims_sql = w() + " UNION ALL ".join(f"SELECT '{k}' AS name, count(*) AS n FROM {v}" for k, v in sizes.items())
+    dims_sql = w() + " UNION ALL ".join(_contents_sql(k, v) for k, v in tables.items())
     event_cols = (
         "est.event_invited_count, est.event_attended_count, est.event_not_att_count, est.event_maybe_count"
     )

@@ -221,7 +221,7 @@ def _licenses_sql() -> str:
             x = f"replace({x}, ' {a} ', ' {b} ')"
         return f"trim(regexp_replace({x}, ' +', ' ', 'g'))"
 
-    known = ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in licenses.KNOWN)
+    known = ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in licenses.known_texts())
     return f"""WITH k AS (
   SELECT {canon('t')} AS c, min(l) AS license, min(cl) AS license_class FROM (VALUES {known}) AS x(l, cl, t) GROUP BY 1),
 u AS (

@@ -54,6 +54,7 @@ from affinity.streaming import (
     run_stream,
     run_window_counts,
 )
+from affinity.streaming.stream import MAX_BUCKETS, ROWS_PER_BUCKET
 
 # The training-data operators and the corpus pipeline are optional: without their folders
 # every other query still works.
@@ -292,7 +293,8 @@ def q_refreshed_counts(spark, sf_dir, table, counted, other):
     rows = _data(spark, sf_dir).dims.frames()[table]
     first, second, third = _shares(rows, counted.keys[0], other)
     again = first.where(F.pmod(other, F.lit(7)) == 0)
-    store = CountStore(spark, scratch_path(spark, "refreshed"), counted)
+    buckets = max(8, min(MAX_BUCKETS, rows.count() // ROWS_PER_BUCKET))
+    store = CountStore(spark, scratch_path(spark, "refreshed"), counted, buckets)
     store.apply(first.unionByName(again), 0)
     store.apply(second, 1)
     tagged = third.withColumn("change", F.lit(1)).unionByName(again.withColumn("change", F.lit(-1)))

@@ -8,8 +8,8 @@ blocks (C4–C7) attach them to the de-duplicated fact pairs.
 from __future__ import annotations
 
 from dataclasses import dataclass, field, fields, replace
-from functools import reduce
-from typing import Mapping, Optional
+from functools import partial, reduce
+from typing import Callable, Mapping, Optional
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -183,11 +183,28 @@ BLOCK_KEYS = {
 }
 BUCKET = "_bucket"
 
+# Reads a block: the folders of the given buckets (None: all), each of its tables cut by a function.
+Reader = Callable[[Optional[list[int]], Callable[[DataFrame], DataFrame]], DataFrame]
+
 
 def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
+def write_block(df: DataFrame, key: str, path: str, buckets: int) -> DataFrame:
+    """`df` written with a folder for each bucket of `key`, and read back with BUCKET.
+    Rebalancing gives a bucket one file, or several where a hot key makes it large."""
+    tagged = df.withColumn(BUCKET, bucket_of(key, buckets))
+    tagged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    return df.sparkSession.read.schema(tagged.schema).parquet(path)
+
+
+def read_buckets(
+    written: DataFrame, buckets: Optional[list[int]], cut: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    return cut((written if buckets is None else written.where(F.col(BUCKET).isin(buckets))).drop(BUCKET))
+
+
 @dataclass(frozen=True)
 class DimFeatures:
     """Dimension-side blocks of the wide table, pre-joined by grain.
@@ -211,7 +228,7 @@ class DimFeatures:
     event_degree: DataFrame     # (eventid, event_deg)
     host_edges: Optional[DataFrame] = None  # the edges that the host match reads, if not all
     buckets: int = 1            # of the written blocks; see `write`
-    bucketed: Mapping[str, DataFrame] = field(default_factory=dict)  # the blocks with BUCKET
+    bucketed: Mapping[str, Reader] = field(default_factory=dict)  # how to read a part of a block
 
     def frames(self) -> dict[str, DataFrame]:
         frames = {f.name: getattr(self, f.name) for f in fields(self)}
@@ -228,11 +245,12 @@ class DimFeatures:
         by_key = {c: sorted(r["b"] for r in found if r["key"] == c) for c in columns}
         return {c: None if len(b) == self.buckets else b for c, b in by_key.items()}
 
-    def _block(self, name: str, buckets: Optional[list[int]]) -> DataFrame:
-        """A block, or only the folders of the given buckets of it."""
-        if buckets is None:
-            return getattr(self, name)
-        return self.bucketed[name].where(F.col(BUCKET).isin(buckets)).drop(BUCKET)
+    def _block(self, name: str, buckets: Optional[list[int]], *keys: tuple[DataFrame, str]) -> DataFrame:
+        """A block, or only the folders of the given buckets of it, cut to some columns' keys."""
+        def cut(df: DataFrame) -> DataFrame:
+            return reduce(lambda x, k: x.join(k[0], k[1], "left_semi"), keys, df)
+
+        return self.bucketed[name](buckets, cut) if name in self.bucketed else cut(getattr(self, name))
 
     def restricted(self, pairs: DataFrame) -> "DimFeatures":
         """The blocks cut down to what `pairs` (userid, eventid; of checked, small size) can
@@ -241,14 +259,13 @@ class DimFeatures:
         and aggregates no whole table. Ranks and bounds are in the blocks already."""
         users, events = F.broadcast(pairs.select(U).distinct()), F.broadcast(pairs.select(E).distinct())
         at = self._touched(pairs, U, E)
-        hosts = self._block("hosts", at[E]).join(events, E, "left_semi")
+        hosts = self._block("hosts", at[E], (events, E))
         of_hosts = F.broadcast(hosts.select(F.col("host").alias(U)).distinct())
         towards = F.broadcast(pairs.select(F.col(U).alias("friendid")).distinct())
-        host_edges = self._block("edges", self._touched(hosts, "host")["host"])
-        user_keyed = {k: self._block(k, at[U]).join(users, U, "left_semi") for k, c in BLOCK_KEYS.items() if c == U}
-        event_keyed = {k: self._block(k, at[E]).join(events, E, "left_semi") for k, c in BLOCK_KEYS.items() if c == E}
+        host_edges = self._block("edges", self._touched(hosts, "host")["host"], (of_hosts, U), (towards, "friendid"))
+        user_keyed = {k: self._block(k, at[U], (users, U)) for k, c in BLOCK_KEYS.items() if c == U}
+        event_keyed = {k: self._block(k, at[E], (events, E)) for k, c in BLOCK_KEYS.items() if c == E}
         event_keyed["hosts"] = hosts
-        host_edges = host_edges.join(of_hosts, U, "left_semi").join(towards, "friendid", "left_semi")
         return replace(self, **user_keyed, **event_keyed, host_edges=host_edges, buckets=1, bucketed={})
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "DimFeatures":
@@ -258,8 +275,7 @@ class DimFeatures:
         """Materialise every block as parquet under `base` (a shared folder) and read it back.
 
         With several `buckets`, a block has a folder for each bucket of its key, so that
-        `restricted` reads the folders of a micro-batch's keys only. Rebalancing gives a
-        bucket one file, or several where a hot key makes it large.
+        `restricted` reads the folders of a micro-batch's keys only.
         """
         out, bucketed = {}, {}
         for name, df in self.frames().items():
@@ -268,10 +284,9 @@ class DimFeatures:
                 df.write.mode("overwrite").parquet(path)
                 out[name] = spark.read.schema(df.schema).parquet(path)
                 continue
-            tagged = df.withColumn(BUCKET, bucket_of(BLOCK_KEYS[name], buckets))
-            tagged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-            bucketed[name] = spark.read.schema(tagged.schema).parquet(path)
-            out[name] = bucketed[name].select(*df.columns)
+            written = write_block(df, BLOCK_KEYS[name], path, buckets)
+            bucketed[name] = partial(read_buckets, written)
+            out[name] = written.drop(BUCKET)
         return replace(self, **out, buckets=buckets, bucketed=bucketed)
 
     def unpersist(self) -> None:
@@ -303,23 +318,30 @@ def event_status_from_pivot(pivot: DataFrame) -> DataFrame:
     return _rollup(pivot, "eventid", "friendid", EVENT_STATUS)
 
 
-def user_block(dims: Dims, as_of=None, mode: str = "intended", pivot: Optional[DataFrame] = None) -> DataFrame:
-    history = attendance_history(dims.event_attendees) if pivot is None else history_from_pivot(pivot)
-    return (
-        customer_features(dims.customers, as_of, mode)
-        .join(history, U, "left")
-        .join(friend_totals(dims.user_friends), U, "left")
-        .fillna(0, subset=[*USER_STATUS, "friend_count"])
-    )
+def with_user_counts(customers: DataFrame, history: DataFrame, friends: DataFrame) -> DataFrame:
+    """The user block of `customer_features`, A4 and A7."""
+    counted = customers.join(history, U, "left").join(friends, U, "left")
+    return counted.fillna(0, subset=[*USER_STATUS, "friend_count"])
 
 
-def event_block(dims: Dims, mode: str = "intended", pivot: Optional[DataFrame] = None) -> DataFrame:
-    status = event_attendance(dims.event_attendees) if pivot is None else event_status_from_pivot(pivot)
-    return (
-        group_size_features(dims.event_groups)
-        .join(event_profile(dims.events, mode), E)
-        .join(status, E, "left")
-    )
+def grouped_events(dims: Dims, mode: str = "intended") -> DataFrame:
+    """The event block without the whole-event status counts."""
+    return group_size_features(dims.event_groups).join(event_profile(dims.events, mode), E)
+
+
+def event_hosts(events: DataFrame) -> DataFrame:
+    return events.select(E, F.col(U).alias("host"))
+
+
+def user_degrees(friends: DataFrame) -> DataFrame:
+    """(userid, user_deg) from A7."""
+    return friends.where(F.col(U).isNotNull()).select(U, F.col("friend_count").alias("user_deg"))
+
+
+def event_degrees(status: DataFrame) -> DataFrame:
+    """(eventid, event_deg) from A6."""
+    attended = reduce(lambda a, b: a + b, (F.col(c) for c in EVENT_STATUS))
+    return status.where(F.col(E).isNotNull()).select(E, attended.alias("event_deg"))
 
 
 def dim_features(dims: Dims, as_of=None, mode: str = "intended") -> DimFeatures:
@@ -327,19 +349,17 @@ def dim_features(dims: Dims, as_of=None, mode: str = "intended") -> DimFeatures:
     user history, the whole-event counts and the friend match all read that pivot."""
     check_mode(mode)
     pivot = attendance_multiplicity(dims.event_attendees, FRIEND_STATUS)
+    friends, status = friend_totals(dims.user_friends), event_status_from_pivot(pivot)
     # The degrees only choose a side of the friend match. They read the aggregates that the
     # user and event blocks need anyway, so no large table is grouped by one key twice.
-    attended = reduce(lambda a, b: a + b, (F.col(c) for c in EVENT_STATUS))
     return DimFeatures(
-        users=user_block(dims, as_of, mode, pivot),
-        events=event_block(dims, mode, pivot),
+        users=with_user_counts(customer_features(dims.customers, as_of, mode), history_from_pivot(pivot), friends),
+        events=grouped_events(dims, mode).join(status, E, "left"),
         edges=edge_multiplicity(dims.user_friends),
         attendance=pivot,
-        hosts=dims.events.select(E, F.col(U).alias("host")),
-        user_degree=friend_totals(dims.user_friends).where(F.col(U).isNotNull()).select(
-            U, F.col("friend_count").alias("user_deg")
-        ),
-        event_degree=event_status_from_pivot(pivot).where(F.col(E).isNotNull()).select(E, attended.alias("event_deg")),
+        hosts=event_hosts(dims.events),
+        user_degree=user_degrees(friends),
+        event_degree=event_degrees(status),
     )
 
 

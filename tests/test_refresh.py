@@ -2,21 +2,40 @@
 
 import random
 from collections import Counter
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
-from affinity.plans.features import attendance_history, event_attendance, friend_totals
+from affinity.operators.edges import edge_multiplicity
+from affinity.plans.features import (
+    BLOCK_KEYS,
+    attendance_history,
+    dedup_fact,
+    dim_features,
+    event_attendance,
+    friend_totals,
+)
 from affinity.plans.refresh import (
     ATTENDANCE,
+    EDGES,
     EVENT_COUNTS,
     FRIENDS,
     HISTORY,
+    CountedDims,
     CountStore,
+    DimChanges,
     bounds_of,
     merge_bounds,
 )
+from affinity.plans.wide import assemble_wide, build_wide
 from affinity.session import scratch_path
 from affinity.sinks.ledger import Files
+from affinity.sources.fact import to_payload
+from affinity.streaming import BatchSinks, payload_stream, run_stream
+from tests.fixtures import ATTENDEE_ROWS, ATTENDEES_DDL, FRIEND_ROWS, FRIENDS_DDL, native
+
+AS_OF = "2002-01-01"
 
 ATTENDEES = "eventid long, userid long, status string"
 CHANGES = f"{ATTENDEES}, change int"
@@ -116,3 +135,165 @@ def test_bounds_are_merged_and_told_stale(spark):
     assert merged(old, bounds("3"), bounds("5")) == {(1.0, 5.0, True)}
     assert merged(old, bounds("7"), bounds("5")) == {(1.0, 7.0, False)}
     assert merged(old, bounds(None), bounds("1")) == {(1.0, 5.0, True)}
+
+
+def _relations(spark, attendees, friends):
+    return {
+        "event_attendees": spark.createDataFrame(attendees, ATTENDEES_DDL),
+        "user_friends": spark.createDataFrame(friends, FRIENDS_DDL),
+    }
+
+
+def _changes(spark, number, attendees, friends):
+    """Changes from (row..., change) tuples; None for a table without any."""
+    tables = ((attendees, f"{ATTENDEES_DDL}, change int"), (friends, f"{FRIENDS_DDL}, change int"))
+    return DimChanges(number, *(spark.createDataFrame(rows, ddl) if rows else None for rows, ddl in tables))
+
+
+def _same_blocks(got, want):
+    for name in BLOCK_KEYS:
+        a, b = getattr(got, name), getattr(want, name)
+        assert sorted(a.columns) == sorted(b.columns), name
+        assert _rows(a.select(*b.columns)) == _rows(b), name
+
+
+def test_edge_counts_equal_a_rebuild(spark):
+    rows = [("a", "b"), ("a", "b"), ("a", None), (None, "b"), ("c", "a")]
+    store = CountStore(spark, scratch_path(spark, "t-counts"), EDGES, 4)
+    store.apply(spark.createDataFrame(rows, FRIENDS_DDL), 0)
+    gone = [("a", "b", -1), ("c", "a", -1)]
+    store.apply(spark.createDataFrame(gone, f"{FRIENDS_DDL}, change int"), 1)
+    left = spark.createDataFrame([("a", "b"), ("a", None), (None, "b")], FRIENDS_DDL)
+    assert _rows(store.read().where("userid is not null and friendid is not null")) == _rows(edge_multiplicity(left))
+
+
+@pytest.mark.parametrize("mode", ["intended", "reference"])
+def test_counted_blocks_equal_rebuilt_ones_through_random_changes(spark, mode):
+    """Rows that repeat, NULL keys and unlisted statuses come and go."""
+    rng = random.Random(4)
+    fact, dims = native(spark)
+    fact = dedup_fact(fact)
+    users, events = ["u1", "u2", "u3", "u4", "h1", "h2", None], ["e1", "e2", "e3", "e5", None]
+    attendees, friends = list(ATTENDEE_ROWS) + [ATTENDEE_ROWS[0]], list(FRIEND_ROWS) + [("u1", None)]
+    dims = replace(dims, **_relations(spark, attendees, friends))
+    counted = CountedDims(spark, scratch_path(spark, "t-counted"), dims, 8)
+    counted.start()
+    base = counted.base(dims, scratch_path(spark, "t-base"), AS_OF, mode)
+    for number in range(1, 3):
+        changed = {}
+        for rows, new in (
+            (attendees, [(rng.choice(events), rng.choice(users), rng.choice(STATUSES)) for _ in range(5)]),
+            (friends, [(rng.choice(users), rng.choice(users)) for _ in range(4)] if number == 1 else []),
+        ):
+            gone = rng.sample(rows, 3) if new else []
+            for r in gone:
+                rows.remove(r)
+            rows += new
+            changed[id(rows)] = [(*r, -1) for r in gone] + [(*r, 1) for r in new]
+        assert counted.apply(_changes(spark, number, changed[id(attendees)], changed[id(friends)]))
+    now = replace(dims, **_relations(spark, attendees, friends))
+    got, want = counted.features(base), dim_features(now, AS_OF, mode)
+    _same_blocks(got, want)
+    whole = _rows(assemble_wide(fact, want, mode))
+    assert whole and _rows(assemble_wide(fact, got.restricted(fact), mode)) == whole
+
+
+def test_a_batch_reads_the_counts_of_its_buckets_only(spark):
+    fact, dims = native(spark)
+    counted = CountedDims(spark, scratch_path(spark, "t-counted"), dims, 16)
+    counted.start()
+    feats = counted.features(counted.base(dims, scratch_path(spark, "t-base"), AS_OF))
+    small = feats.restricted(dedup_fact(fact).where("userid = 'u1' AND eventid = 'e1'"))
+    for name in ("attendance", "edges", "user_degree", "event_degree"):
+        files = getattr(small, name).select(F.input_file_name().alias("f")).distinct().collect()
+        read = {r.f.split("bucket=")[1].split("/")[0] for r in files}
+        assert len(read) == 1, name
+        assert len(getattr(small, name).inputFiles()) < len(getattr(feats, name).inputFiles()), name
+
+
+def test_changes_stopped_half_way_are_applied_again(spark, monkeypatch):
+    _, dims = native(spark)
+    folder = scratch_path(spark, "t-counted")
+    counted = CountedDims(spark, folder, dims, 4)
+    with pytest.raises(ValueError):
+        counted.features({})
+    counted.start()
+    base = counted.base(dims, scratch_path(spark, "t-base"), AS_OF)
+    before = _rows(counted.features(base).users)
+    more = _changes(spark, 1, [("e1", "u2", "yes", 1)], [("u1", "u4", 1)])
+    apply = CountStore.apply
+
+    def stops(store, rows, number):
+        if store.counted is FRIENDS:
+            raise OSError("stopped")
+        return apply(store, rows, number)
+
+    with monkeypatch.context() as m:
+        m.setattr(CountStore, "apply", stops)
+        with pytest.raises(OSError):
+            counted.apply(more)
+    again = CountedDims(spark, folder, dims, 4)
+    assert again.version() == 0 and _rows(again.features(base).users) == before  # no half-counted view
+    with pytest.raises(ValueError):
+        again.apply(_changes(spark, 2, [("e1", "u3", "yes", 1)], []))
+    assert again.apply(more) and not again.apply(more) and again.version() == 1
+    again.start()  # counted already
+    now = replace(dims, **_relations(spark, [*ATTENDEE_ROWS, ("e1", "u2", "yes")], [*FRIEND_ROWS, ("u1", "u4")]))
+    _same_blocks(again.features(base), dim_features(now, AS_OF))
+
+
+def test_empty_relations(spark):
+    fact, dims = native(spark)
+    dims = replace(dims, **_relations(spark, [], []))
+    counted = CountedDims(spark, scratch_path(spark, "t-counted"), dims, 4)
+    counted.start()
+    feats = counted.features(counted.base(dims, scratch_path(spark, "t-base"), AS_OF))
+    fact = dedup_fact(fact)
+    want = _rows(build_wide(fact, dims, AS_OF))
+    assert _rows(assemble_wide(fact, feats)) == want and want
+
+
+def test_a_stream_counts_changes_in_between_its_batches(spark):
+    """Every micro-batch is joined with the counts as they were when it ran; a second start
+    with the same folders goes on where the first stopped."""
+    fact, dims = native(spark)
+    more = {1: ([("e1", "u2", "yes", -1), ("e1", "u3", "maybe", 1)], [("u2", "u3", 1)])}
+    attendees, friends = list(ATTENDEE_ROWS), list(FRIEND_ROWS)
+    seen = [replace(dims, **_relations(spark, attendees, friends))]
+    for rows in more.values():
+        for table, changed in zip((attendees, friends), rows):
+            for *row, change in changed:
+                table.append(tuple(row)) if change > 0 else table.remove(tuple(row))
+        seen.append(replace(dims, **_relations(spark, attendees, friends)))
+    pairs = dedup_fact(fact)
+    feed, out, folder = (scratch_path(spark, n) for n in ("t-feed-c", "t-wide-c", "t-counted"))
+    arrived, metrics = [], []
+
+    def changes(version):
+        """One further change for each refresh."""
+        if version < len(arrived) and version + 1 in more:
+            return _changes(spark, version + 1, *more[version + 1])
+        return None
+
+    def done(m):
+        metrics.append(m)
+        arrived.append(m.batch_id)
+
+    users = ["u1", "u2"]
+    for user in users:
+        to_payload(fact.where(F.col("userid") == user)).coalesce(1).write.mode("append").text(feed)
+        q = run_stream(
+            spark, payload_stream(spark, feed), dims, BatchSinks(wide_out=out, drop_bad=True), as_of=AS_OF,
+            trigger={"availableNow": True}, on_batch=done, changes=changes, refresh_dims_every=1,
+            counted=CountedDims(spark, folder, dims, 8),
+        )
+        q.awaitTermination()
+        assert q.exception() is None
+    assert len(metrics) == len(users)
+    got = spark.read.parquet(out)
+    for i, user in enumerate(users):
+        of_user = pairs.where(F.col("userid") == user)
+        want = build_wide(of_user, seen[i], AS_OF)
+        assert _rows(got.where(F.col("batch_id") == i).select(*want.columns)) == _rows(want), user
+    with pytest.raises(ValueError):
+        run_stream(spark, payload_stream(spark, feed), dims, BatchSinks(drop_bad=True, wide_out=out), changes=changes)

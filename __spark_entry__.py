@@ -11,6 +11,7 @@ the shared checkpoint folder (``AFFINITY_ANALOG=views`` keeps them lazy).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.errors import StreamingQueryException
@@ -34,10 +35,13 @@ from affinity.sinks import write_table
 from affinity.sources import analog
 from affinity.plans.refresh import (
     ATTENDANCE,
+    EDGES,
     EVENT_COUNTS,
     FRIENDS,
     HISTORY,
+    CountedDims,
     CountStore,
+    DimChanges,
     bounds_of,
     merge_bounds,
 )
@@ -327,11 +331,28 @@ def q_batch_run(spark, sf_dir):
     return spark.read.parquet(out).withColumns(ids)
 
 
-def q_stream_wide(spark, sf_dir):
+def _in_thirds(spark, dims):
+    """The dimensions' counts from a third of both relation tables, and the changes that
+    bring the other two: what `run_stream` takes as `counted` and `changes`."""
+    attendees = _shares(dims.event_attendees, "eventid", "userid")
+    friends = _shares(dims.user_friends, "userid", "friendid")
+    rows = max(dims.event_attendees.count(), dims.user_friends.count())
+    buckets = max(8, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
+    first = replace(dims, event_attendees=attendees[0], user_friends=friends[0])
+
+    def changes(version):
+        number = version + 1
+        return DimChanges(number, attendees[number], friends[number]) if number < len(friends) else None
+
+    return {"counted": CountedDims(spark, scratch_path(spark, "counted"), first, buckets), "changes": changes}
+
+
+def q_stream_wide(spark, sf_dir, from_changes=False):
     """The fact feed replayed as text payloads through the streaming runner (file source,
     one file per micro-batch, availableNow trigger); the union of the per-batch wide
     tables. Files follow the data's size, and each (userid, eventid) key lives in one file,
-    so per-micro-batch de-duplication sees every copy of a key."""
+    so per-micro-batch de-duplication sees every copy of a key. `from_changes`: attendance
+    and friendships come as counts that two batches of changes have completed."""
     d = _data(spark, sf_dir)
     feed = scratch_path(spark, "stream-feed")
     payload = to_payload(d.fact.repartition("userid", "eventid"))
@@ -344,6 +365,7 @@ def q_stream_wide(spark, sf_dir):
         BatchSinks(wide_out=out, quarantine_out=scratch_path(spark, "stream-quarantine")),
         as_of=O.AS_OF,
         trigger={"availableNow": True},
+        **(_in_thirds(spark, d.dims) if from_changes else {}),
     )
     query.awaitTermination()
     if query.exception() is not None:
@@ -539,6 +561,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_input": q_model_input,
         "payload_parse": q_payload_parse,
         "stream_wide": q_stream_wide,
+        "stream_counted": partial(q_stream_wide, from_changes=True),
         "csv_round_trip": q_csv_round_trip,
         "score": q_score,
         "score_reference": partial(q_score, mode="reference"),
@@ -554,6 +577,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "refreshed_attendance": partial(q_refreshed_counts, table="event_attendees", counted=ATTENDANCE, other="userid"),
         "refreshed_friend_count": partial(q_refreshed_counts, table="user_friends", counted=FRIENDS, other="friendid"),
+        "refreshed_edges": partial(q_refreshed_counts, table="user_friends", counted=EDGES, other="friendid"),
         "refreshed_bounds": q_refreshed_bounds,
         "duplicate_keys": q_duplicate_keys,
         "batch_run": q_batch_run,
@@ -658,6 +682,7 @@ FROM a_fact f LEFT JOIN est ON f.eventid = est.eventid LEFT JOIN ev ON f.eventid
         "wide_reference": O.wide_sql("reference"),
         "model_input": O.model_input_sql(),
         "stream_wide": O.wide_sql("intended"),
+        "stream_counted": O.wide_sql("intended"),
         "csv_round_trip": O.wide_sql("intended"),
         "payload_parse": w() + """SELECT CAST(userid AS VARCHAR) AS userid, CAST(eventid AS VARCHAR) AS eventid,
   invited, CAST(times AS VARCHAR) AS times FROM a_fact0""",
@@ -690,6 +715,7 @@ FROM lineitem WHERE l_orderkey % 6 IN (0, 2, 3)""",
             f"count(*) FILTER (status = '{status}') AS {name}" for name, status in FRIEND_STATUS.items()
         ) + " FROM a_attendees GROUP BY eventid, userid",
         "refreshed_friend_count": w() + "SELECT userid, count(friendid) AS friend_count FROM a_friends GROUP BY userid",
+        "refreshed_edges": w() + "SELECT userid, friendid, count(*) AS edge_n FROM a_friends GROUP BY userid, friendid",
         "refreshed_bounds": w() + " UNION ALL ".join(
             f"SELECT '{name}' AS name, min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi FROM a_events"
             for name, c in PLACE.items()

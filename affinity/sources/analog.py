@@ -9,7 +9,9 @@ given tables, so its size grows with theirs.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,19 +42,18 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _BASE[key]
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One projection shared by the fact and the attendance views, so the lineitem ⋈ orders
-    # shuffle is planned identically in both and can be reused.
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order line with its customer: the columns of the fact and the attendance."""
     lines = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_returnflag", "l_linestatus", "l_shipdate"
     )
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-
-
-def fact_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invitations before de-duplication: one row per order line."""
-    return _order_lines(spark, sf_dir).select(
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.when(F.col("l_returnflag") == "A", F.lit("yes"))
+        .when(F.col("l_returnflag") == "N", F.lit("no"))
+        .when(F.col("l_linestatus") == "O", F.lit("maybe"))
+        .otherwise(F.lit("invited"))
+        .alias("status"),
         F.col("o_custkey").alias("userid"),
         F.col("l_partkey").alias("eventid"),
         F.when(F.col("l_returnflag") == "R", F.lit("1")).otherwise(F.lit("0")).alias("invited"),
@@ -60,16 +61,13 @@ def fact_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def attendees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_lines(spark, sf_dir).select(
-        F.col("l_partkey").alias("eventid"),
-        F.col("o_custkey").alias("userid"),
-        F.when(F.col("l_returnflag") == "A", F.lit("yes"))
-        .when(F.col("l_returnflag") == "N", F.lit("no"))
-        .when(F.col("l_linestatus") == "O", F.lit("maybe"))
-        .otherwise(F.lit("invited"))
-        .alias("status"),
-    )
+def fact_raw(lines: DataFrame) -> DataFrame:
+    """Invitations before de-duplication: one row per order line."""
+    return lines.select("userid", "eventid", "invited", "times")
+
+
+def attendees(lines: DataFrame) -> DataFrame:
+    return lines.select("eventid", "userid", "status")
 
 
 def friends(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,50 +162,54 @@ class AnalogData:
 
 def views(spark: SparkSession, sf_dir: str) -> AnalogData:
     """The native-shape tables as lazy views over the test tables."""
+    lines = order_lines(spark, sf_dir)
     dims = Dims(
         customers=customers(spark, sf_dir),
-        event_attendees=attendees(spark, sf_dir),
+        event_attendees=attendees(lines),
         event_groups=event_groups(spark, sf_dir),
         events=events(spark, sf_dir),
         user_friends=friends(spark, sf_dir),
         locales=_read(spark, sf_dir, "nation"),
     )
-    return AnalogData(fact=fact_raw(spark, sf_dir), dims=dims)
+    return AnalogData(fact=fact_raw(lines), dims=dims)
 
 
-_WRITTEN: dict[tuple[str, str, str], AnalogData] = {}
+# The tables that take a join, and what is written for each of them. The others are
+# projections of one test table and stay views.
+JOINED = {"fact": order_lines, "event_attendees": order_lines, "user_friends": friends}
+_VIEWS: dict[tuple[str, str, str], AnalogData] = {}
+_WRITTEN: dict[tuple[str, str, str], dict[Callable, str]] = {}
 
 
-def materialize(spark: SparkSession, sf_dir: str) -> AnalogData:
-    """Write the native-shape tables once per session under the shared checkpoint folder
-    and read them back, as the feature plan would read catalog tables in production.
+def materialize(spark: SparkSession, sf_dir: str, tables: Iterable[str] = tuple(JOINED)) -> AnalogData:
+    """Write what `tables` take a join for, once per session, under the shared checkpoint
+    folder and read it back, as the feature plan would read catalog tables in production.
 
-    Every query of the session then scans these tables instead of re-deriving them (the
-    fact and the attendance view share one lineitem ⋈ orders join, which column pruning
-    would otherwise plan separately in each branch).
+    Every query of the session then scans it instead of joining again. The fact and the
+    attendance are columns of one written lineitem ⋈ orders. Tables that are not named are
+    lazy views, unless they have been written before.
     """
-    key = (*_session(spark), sf_dir.rstrip('/'))
-    if key in _WRITTEN:
-        return _WRITTEN[key]
-    lazy = views(spark, sf_dir)
-    base = scratch_path(spark, "analog")
-    frames = {"fact": lazy.fact, **{k: v for k, v in lazy.dims.frames().items() if k != "locales"}}
-    out = {}
-    files = int(os.environ.get("AFFINITY_ANALOG_FILES", 2 * spark.sparkContext.defaultParallelism))
-    for name, df in frames.items():
-        path = f"{base}/{name}"
-        # Enough files that every scan of the table runs in parallel.
-        df.repartition(files).write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    fact = out.pop("fact")
-    data = AnalogData(fact=fact, dims=Dims(**out, locales=lazy.dims.locales))
-    _WRITTEN[key] = data
-    return data
-
-
-def load(spark: SparkSession, sf_dir: str) -> AnalogData:
-    """Analog tables for `sf_dir`: written once per session (default), or lazy views when
-    AFFINITY_ANALOG=views."""
+    key = (*_session(spark), sf_dir.rstrip("/"))
+    if key not in _VIEWS:
+        _VIEWS[key] = views(spark, sf_dir)
+    data, written = _VIEWS[key], _WRITTEN.setdefault(key, {})
+    for make in dict.fromkeys(JOINED[t] for t in tables if t in JOINED):
+        if make not in written:
+            path = scratch_path(spark, f"analog-{make.__name__}")
+            make(spark, sf_dir).write.mode("overwrite").parquet(path)
+            written[make] = path
+
+    def read(name: str, view: DataFrame) -> DataFrame:
+        made = written.get(JOINED.get(name))
+        return view if made is None else spark.read.schema(view.schema).parquet(made)
+
+    dims = {name: read(name, view) for name, view in data.dims.frames().items()}
+    return AnalogData(fact=read("fact", data.fact), dims=Dims(**dims))
+
+
+def load(spark: SparkSession, sf_dir: str, tables: Iterable[str] = tuple(JOINED)) -> AnalogData:
+    """Analog tables for `sf_dir`; the joined ones of `tables` (default: all) are written once
+    per session, or all are lazy views when AFFINITY_ANALOG=views."""
     if os.environ.get("AFFINITY_ANALOG", "written") == "views":
         return views(spark, sf_dir)
-    return materialize(spark, sf_dir)
+    return materialize(spark, sf_dir, tables)

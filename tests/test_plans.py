@@ -145,3 +145,17 @@ def test_a_small_batch_reads_its_buckets_only(spark, tmp_path, buckets):
     whole = features.dim_features(d.dims, as_of="2002-01-01")
     both = [sorted(map(tuple, assemble_wide(fact, x).collect()), key=repr) for x in (written, whole)]
     assert both[0] == both[1]
+
+
+@pytest.mark.parametrize("name,made", [
+    ("group_size", []),
+    ("refreshed_bounds", []),
+    ("refreshed_friend_count", ["friends"]),
+    ("refreshed_attendance", ["order_lines"]),
+    ("stream_windows", ["order_lines"]),
+])
+def test_a_query_has_only_its_joined_tables_written(spark, tmp_path, monkeypatch, name, made):
+    monkeypatch.setattr(analog, "_WRITTEN", {})
+    monkeypatch.setattr(analog, "scratch_path", lambda _, folder: str(tmp_path / folder))
+    entry.queries()[name](spark, SF_SMALL).collect()
+    assert sorted(p.name for p in tmp_path.iterdir()) == [f"analog-{m}" for m in made]

@@ -244,3 +244,51 @@ def test_popularity_rank_hot_tie_group(spark):
     )
     assert got.exceptAll(want.select(got.columns)).isEmpty()
     assert got.count() == 3005
+
+
+def test_friend_match_makes_no_row_per_friend(spark):
+    """Pairs travel with lists: what the joins give out does not grow with the friends."""
+    from affinity.operators import edges as module
+
+    n = 300  # friends of a user and attendees of an event, of which three are the same
+    e = spark.range(20).withColumn("friendid", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumnRenamed("id", "userid")
+    a = spark.range(20).withColumn("userid", F.explode(F.sequence(F.lit(n - 3), F.lit(2 * n)))).withColumnRenamed("id", "eventid")
+    p = spark.range(20).withColumnRenamed("id", "userid").crossJoin(spark.range(20).withColumnRenamed("id", "eventid"))
+    attended = attendance_multiplicity(a.withColumn("status", F.lit("yes")), FRIEND_STATUS)
+    got = friend_status_counts(p, edge_multiplicity(e), attended, FRIEND_STATUS)
+    rows = got.collect()
+    assert len(rows) == 400 and {r.uf_attended_count for r in rows} == {3}
+    plan = got._jdf.queryExecution().executedPlan()
+    joins, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if "Join" in kind:
+            joins.append(node.metrics().apply("numOutputRows").value())
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert module.PIECE < n < module.PIECE * 2  # lists of two pieces
+    assert max(joins) <= 20 * 2 * n  # the tables with their degrees, not 400 pairs times 300 friends
+
+
+def test_equal_marks_of_different_friends_count_for_nothing(spark, monkeypatch):
+    from affinity.operators import edges as module
+
+    monkeypatch.setattr(module, "PIECE", 4)
+    monkeypatch.setattr(module, "_mark", lambda h: F.pmod(h, F.lit(3)).cast("short"))
+    rnd = random.Random(3)
+    pairs = {(rnd.randint(0, 12), rnd.randint(0, 9)) for _ in range(90)}
+    edges = [(rnd.randint(0, 12), rnd.randint(0, 60)) for _ in range(300)] + [(0, i) for i in range(60)]
+    att = [(rnd.randint(0, 9), rnd.randint(0, 60), rnd.choice(["yes", "no", None])) for _ in range(300)]
+    att += [(0, i, "maybe") for i in range(60)]
+    p = spark.createDataFrame(sorted(pairs), "userid long, eventid long")
+    e = spark.createDataFrame(edges + [(None, 1), (1, None)], "userid long, friendid long")
+    a = spark.createDataFrame(att + [(None, 1, "yes"), (1, None, "yes")], "eventid long, userid long, status string")
+    got = friend_status_counts(p, edge_multiplicity(e), attendance_multiplicity(a, FRIEND_STATUS), FRIEND_STATUS)
+    want = _brute_friend_counts(p, e, a)
+    cols = ["userid", "eventid", *FRIEND_STATUS]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))

@@ -28,6 +28,7 @@ from affinity.functions.expressions import (
 )
 from affinity.operators.edges import (
     attendance_multiplicity,
+    degrees,
     edge_multiplicity,
     friend_status_counts,
     has_edge,
@@ -345,18 +346,20 @@ def event_degrees(status: DataFrame) -> DataFrame:
 
 
 def dim_features(dims: Dims, as_of=None, mode: str = "intended") -> DimFeatures:
-    """All dimension blocks. The attendance table is pivoted once per (event, person); the
-    user history, the whole-event counts and the friend match all read that pivot."""
+    """All dimension blocks. The user history and the whole-event counts are counted on the
+    attendance rows, which partial aggregates make few before their shuffles; only the friend
+    match reads the larger pivot per (event, person)."""
     check_mode(mode)
-    pivot = attendance_multiplicity(dims.event_attendees, FRIEND_STATUS)
-    friends, status = friend_totals(dims.user_friends), event_status_from_pivot(pivot)
+    friends, status = friend_totals(dims.user_friends), event_attendance(dims.event_attendees)
     # The degrees only choose a side of the friend match. They read the aggregates that the
     # user and event blocks need anyway, so no large table is grouped by one key twice.
     return DimFeatures(
-        users=with_user_counts(customer_features(dims.customers, as_of, mode), history_from_pivot(pivot), friends),
+        users=with_user_counts(
+            customer_features(dims.customers, as_of, mode), attendance_history(dims.event_attendees), friends
+        ),
         events=grouped_events(dims, mode).join(status, E, "left"),
         edges=edge_multiplicity(dims.user_friends),
-        attendance=pivot,
+        attendance=attendance_multiplicity(dims.event_attendees, FRIEND_STATUS),
         hosts=event_hosts(dims.events),
         user_degree=user_degrees(friends),
         event_degree=event_degrees(status),
@@ -416,12 +419,23 @@ def with_friend_ratios(df: DataFrame, denominator: str = "fri_count") -> DataFra
     return df.withColumns({ratio: safe_ratio(count, denominator) for count, ratio in FRIEND_RATIOS})
 
 
+def friends_on_event(fact: DataFrame, dims: Dims) -> DataFrame:
+    """(userid, eventid, <friend status counts>): `friend_status_counts` over the dimension
+    tables, with the degrees counted on their rows."""
+    return friend_status_counts(
+        fact,
+        edge_multiplicity(dims.user_friends),
+        attendance_multiplicity(dims.event_attendees, FRIEND_STATUS),
+        FRIEND_STATUS,
+        degrees(dims.user_friends, U, "user_deg"),
+        degrees(dims.event_attendees, E, "event_deg"),
+    )
+
+
 def friend_attendance_features(fact: DataFrame, dims: Dims, mode: str = "intended") -> DataFrame:
     """Per fact pair, the user's friends on the event by status, and those counts
     divided by the friend count (`fri_count`, see `friend_ratio_denominator`)."""
-    edges = edge_multiplicity(dims.user_friends)
-    attendance = attendance_multiplicity(dims.event_attendees, FRIEND_STATUS)
-    counts = friend_status_counts(fact, edges, attendance, FRIEND_STATUS)
+    counts = friends_on_event(fact, dims)
     out = fact.select(U, E).join(counts, [U, E], "left").fillna(0, subset=list(FRIEND_STATUS))
     out = out.join(friend_ratio_denominator(fact, friend_totals(dims.user_friends), mode), U, "left")
     return with_friend_ratios(out).select(

@@ -22,10 +22,13 @@ U, E = "userid", "eventid"
 
 def creator_flags(pairs: DataFrame, feats: DimFeatures) -> DataFrame:
     """(userid, eventid, creator_is_friend) on the narrow pair keys: 1 iff the directed
-    edge (host of the event -> user) exists."""
-    keyed = pairs.select(U, E).join(feats.hosts, E)
+    edge (host of the event -> user) exists. Pairs without it are left out, unless the event
+    has several hosts: then there is a row for each."""
+    several = feats.hosts.groupBy(E).agg((F.count(F.lit(1)) > 1).alias("_several"))
+    keyed = pairs.select(U, E).join(feats.hosts.join(several, E), E)
     edges = feats.edges if feats.host_edges is None else feats.host_edges
-    return has_edge(keyed, edges, "host", U, "creator_is_friend").select(U, E, "creator_is_friend")
+    flagged = has_edge(keyed, edges, "host", U, "creator_is_friend")
+    return flagged.where((F.col("creator_is_friend") == 1) | F.col("_several")).select(U, E, "creator_is_friend")
 
 
 def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -> DataFrame:
@@ -42,12 +45,14 @@ def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -
     check_mode(mode)
     pairs = fact.select(U, E, "invited", "times")
 
+    # Both pair-grain blocks read the same keys, so that Spark deals them by event once.
+    keys = pairs.select(U, E).where(F.col(U).isNotNull() & F.col(E).isNotNull())
     friends_on_event = friend_status_counts(
-        pairs, feats.edges, feats.attendance, FRIEND_STATUS, feats.user_degree, feats.event_degree
+        keys, feats.edges, feats.attendance, FRIEND_STATUS, feats.user_degree, feats.event_degree
     )
     rows = pairs.join(friends_on_event, [U, E], "left").fillna(0, subset=list(FRIEND_STATUS))
     if mode == "intended":
-        rows = rows.join(creator_flags(pairs, feats), [U, E], "left")
+        rows = rows.join(creator_flags(keys, feats), [U, E], "left").fillna(0, subset=["creator_is_friend"])
     else:
         rows = rows.withColumn("creator_is_friend", F.lit(1))
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -27,6 +28,7 @@ from affinity.operators import (
     popularity_rank,
     status_pivot,
 )
+from affinity.operators.edges import degrees
 from affinity.schemas import FRIEND_STATUS, USER_STATUS
 from affinity.sources.fact import parse_payload
 
@@ -292,3 +294,45 @@ def test_equal_marks_of_different_friends_count_for_nothing(spark, monkeypatch):
     want = _brute_friend_counts(p, e, a)
     cols = ["userid", "eventid", *FRIEND_STATUS]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+@pytest.mark.parametrize("users,events", [(3, 3), (3, 99), (99, 3), (99, 99)])
+def test_long_lists_on_either_side_match_row_level_join(spark, monkeypatch, users, events):
+    """Lists over PIECE on one side, both or none; a long list may be empty or have no piece 0."""
+    from affinity.operators import edges as module
+
+    monkeypatch.setattr(module, "PIECE", 8)
+    monkeypatch.setattr(module, "SLACK", 2)
+    rnd = random.Random(users * events)
+    pairs = {(rnd.randint(0, 9), rnd.randint(0, 9)) for _ in range(70)} | {(0, 0), (1, 0), (0, 1)}
+    edges = [(rnd.randint(0, 9), rnd.randint(0, 60)) for _ in range(30)] + [(0, i) for i in range(60) if i % users]
+    att = [(rnd.randint(0, 9), rnd.randint(0, 60), rnd.choice(["yes", "no", None])) for _ in range(30)]
+    att += [(0, i, "maybe") for i in range(60) if i % events]
+    p = spark.createDataFrame(sorted(pairs), "userid long, eventid long")
+    e = spark.createDataFrame(edges + [(2, None)] * 9, "userid long, friendid long")
+    a = spark.createDataFrame(att + [(2, None, "yes")] * 9, "eventid long, userid long, status string")
+    got = friend_status_counts(
+        p, edge_multiplicity(e), attendance_multiplicity(a, FRIEND_STATUS), FRIEND_STATUS,
+        degrees(e, "userid", "user_deg"), degrees(a, "eventid", "event_deg"),
+    )
+    cols = ["userid", "eventid", *FRIEND_STATUS]
+    want = _brute_friend_counts(p, e, a)
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+def test_friend_match_deals_each_table_once_per_use(spark):
+    """A pair goes to its event, to its user and back. Without broadcasts it took 25 shuffles."""
+    p = spark.createDataFrame([(1, 1)], "userid long, eventid long")
+    e = spark.createDataFrame([(1, 2)], "userid long, friendid long")
+    a = spark.createDataFrame([(1, 2, "yes")], "eventid long, userid long, status string")
+    for conf in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+        spark.conf.set(conf, {"spark.sql.adaptive.enabled": "false"}.get(conf, "-1"))
+    try:
+        got = friend_status_counts(p, edge_multiplicity(e), attendance_multiplicity(a, FRIEND_STATUS), FRIEND_STATUS)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for conf in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(conf)
+    dealt = len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan))
+    assert dealt <= 16, dealt
+    assert [tuple(r) for r in got.select("userid", "eventid", "uf_attended_count").collect()] == [(1, 1, 1)]

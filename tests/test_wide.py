@@ -162,3 +162,17 @@ def test_duplicate_dimension_key_reported(spark, data):
     doubled = replace(dims, customers=dims.customers.unionByName(dims.customers.limit(1)))
     with pytest.raises(ValueError):
         validate_dims(doubled)
+
+
+def test_creator_flags_leave_out_pairs_without_the_edge(spark):
+    """An event with several hosts keeps a row for each of them, as the join with them gives."""
+    from types import SimpleNamespace
+
+    from affinity.operators import edge_multiplicity
+    from affinity.plans.wide import creator_flags
+
+    pairs = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 2), (5, 3)], "userid long, eventid long")
+    hosts = spark.createDataFrame([(1, 9), (2, 8), (2, 7), (None, 9)], "eventid long, host long")
+    edges = edge_multiplicity(spark.createDataFrame([(9, 1), (9, 1), (7, 3), (3, 7)], "userid long, friendid long"))
+    flags = creator_flags(pairs, SimpleNamespace(hosts=hosts, edges=edges, host_edges=None))
+    assert sorted(map(tuple, flags.collect())) == [(1, 1, 1), (3, 2, 0), (3, 2, 1), (4, 2, 0), (4, 2, 0)]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators.pivot import status_pivot
+from affinity.session import write_scratch
 
 # A user's friends and an event's attendees are kept as lists in 2^level pieces of about this
 # many, of at most 2^MAX_LEVEL (the bits of a hash that name a piece).
@@ -57,6 +58,7 @@ def friend_status_counts(
     outputs: Mapping[str, str],
     user_deg: Optional[DataFrame] = None,
     event_deg: Optional[DataFrame] = None,
+    staged: bool = False,
 ) -> DataFrame:
     """For each (userid, eventid) in `pairs`: how many of the user's friends have each status
     on that event. Returns only pairs with at least one match.
@@ -86,6 +88,10 @@ def friend_status_counts(
     are counted first: where there are none, no list is cut. A key's rows are dealt once, to
     the place where its list is joined.
 
+    `staged`: the candidates are written to the shared checkpoint folder before they are looked
+    up, so that the disk does not hold the shuffles of the lists and those of the lookups at
+    once. For `edge_n` and `attend_n` that are read from files.
+
     AQE picks the strategy of the joins from exact runtime sizes: a broadcast hash join
     under `spark.sql.adaptive.autoBroadcastJoinThreshold` (the pairs are then never
     shuffled), a shuffled hash join when each partition is under
@@ -147,6 +153,8 @@ def friend_status_counts(
         F.col("found").isNotNull() | (F.size(_both()) > 0)
     )
     found = at_user.select("userid", "eventid", F.explode(F.coalesce("found", _candidates())).alias("friendid"))
+    if staged:
+        found = write_scratch(found, "friend-candidates")
     matches = found.join(edge_n, ["userid", "friendid"]).join(attend_n, ["eventid", "friendid"])
     return matches.groupBy("userid", "eventid").agg(
         *[F.sum(F.col(n) * F.col("edge_n")).cast("long").alias(n) for n in names]

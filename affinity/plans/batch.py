@@ -48,7 +48,8 @@ def run_batch(
 ) -> DataFrame:
     """Build the wide table and write it and its scores where asked.
 
-    With several sinks the wide table is persisted once, so the plan runs once. Sinks for
+    The wide table is built in steps (`build_wide`, staged). With several sinks it is
+    persisted once, so the plan runs once. Sinks for
     predictions without a model raise.
     Returns the wide table (or the predictions when a model is given).
     """
@@ -60,7 +61,7 @@ def run_batch(
         fact = read_fact_csv(spark, fact_csv)
     if validate:
         validate_dims(dims)
-    wide = build_wide(fact, dims, as_of=as_of, mode=mode)
+    wide = build_wide(fact, dims, as_of=as_of, mode=mode, staged=True)
     sinks = sum(x is not None for x in (wide_out, predictions_out, jdbc))
     if sinks > 1 or (model is not None and wide_out is not None):
         wide = wide.persist(StorageLevel.MEMORY_AND_DISK)

@@ -38,6 +38,7 @@ from affinity.operators.pivot import status_pivot
 from affinity.operators.rank import popularity_ranks
 from affinity.operators.scale import min_max_scale
 from affinity.schemas import EVENT_STATUS, FRIEND_STATUS, USER_STATUS, Dims, check_mode
+from affinity.session import shuffles_dropped
 
 U, E = "userid", "eventid"
 
@@ -282,7 +283,8 @@ class DimFeatures:
         for name, df in self.frames().items():
             path, spark = f"{base.rstrip('/')}/{name}", df.sparkSession
             if buckets == 1 or name not in BLOCK_KEYS:
-                df.write.mode("overwrite").parquet(path)
+                with shuffles_dropped(spark):
+                    df.write.mode("overwrite").parquet(path)
                 out[name] = spark.read.schema(df.schema).parquet(path)
                 continue
             written = write_block(df, BLOCK_KEYS[name], path, buckets)

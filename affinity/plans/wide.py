@@ -16,6 +16,7 @@ from affinity.plans.features import (
     with_friend_ratios,
 )
 from affinity.schemas import FRIEND_STATUS, WIDE_COLUMNS, Dims, check_mode
+from affinity.session import scratch_path, write_scratch
 
 U, E = "userid", "eventid"
 
@@ -31,7 +32,25 @@ def creator_flags(pairs: DataFrame, feats: DimFeatures) -> DataFrame:
     return flagged.where((F.col("creator_is_friend") == 1) | F.col("_several")).select(U, E, "creator_is_friend")
 
 
-def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -> DataFrame:
+def pair_blocks(
+    pairs: DataFrame, feats: DimFeatures, mode: str = "intended", staged: bool = False
+) -> dict[str, DataFrame]:
+    """The pair-grain blocks, on the narrow pair keys: `friends` (on the event, by status) and,
+    in intended mode, `flags` (the host edge). Both have rows only for pairs with a match (and
+    for all pairs of an event with several hosts). `staged` writes the friends' candidates."""
+    # Both read the same keys, so that Spark deals them by event once.
+    keys = pairs.select(U, E).where(F.col(U).isNotNull() & F.col(E).isNotNull())
+    blocks = {"friends": friend_status_counts(
+        keys, feats.edges, feats.attendance, FRIEND_STATUS, feats.user_degree, feats.event_degree, staged
+    )}
+    if mode == "intended":
+        blocks["flags"] = creator_flags(keys, feats)
+    return blocks
+
+
+def assemble_wide(
+    fact: DataFrame, feats: DimFeatures, mode: str = "intended", blocks: Optional[dict[str, DataFrame]] = None
+) -> DataFrame:
     """Attach the dimension blocks to de-duplicated fact pairs, grain by grain.
 
     Grain: one row per fact pair whose user has a customer row and whose event has an
@@ -41,18 +60,15 @@ def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -
     narrow pair keys and joined first, on (userid, eventid) — the partitioning the
     de-duplicated fact already has. The rows are then joined once with the pre-joined
     user block (on userid) and once with the pre-joined event block (on eventid).
+
+    `blocks` are the `pair_blocks` where they are at hand.
     """
     check_mode(mode)
     pairs = fact.select(U, E, "invited", "times")
-
-    # Both pair-grain blocks read the same keys, so that Spark deals them by event once.
-    keys = pairs.select(U, E).where(F.col(U).isNotNull() & F.col(E).isNotNull())
-    friends_on_event = friend_status_counts(
-        keys, feats.edges, feats.attendance, FRIEND_STATUS, feats.user_degree, feats.event_degree
-    )
-    rows = pairs.join(friends_on_event, [U, E], "left").fillna(0, subset=list(FRIEND_STATUS))
+    blocks = pair_blocks(pairs, feats, mode) if blocks is None else blocks
+    rows = pairs.join(blocks["friends"], [U, E], "left").fillna(0, subset=list(FRIEND_STATUS))
     if mode == "intended":
-        rows = rows.join(creator_flags(keys, feats), [U, E], "left").fillna(0, subset=["creator_is_friend"])
+        rows = rows.join(blocks["flags"], [U, E], "left").fillna(0, subset=["creator_is_friend"])
     else:
         rows = rows.withColumn("creator_is_friend", F.lit(1))
 
@@ -61,12 +77,11 @@ def assemble_wide(fact: DataFrame, feats: DimFeatures, mode: str = "intended") -
     if mode == "reference":
         users = users.join(pairs.groupBy(U).agg(F.count(F.lit(1)).alias("_fact_rows")), U)
         denominator = F.col("friend_count") * F.col("_fact_rows")
-    rows = rows.join(users, U).withColumn("fri_count", denominator)
-
-    rows = rows.join(feats.events, E).withColumn(
+    rows = rows.join(users, U).join(feats.events, E).withColumns({
+        "fri_count": denominator,
         # start_date is cast once per event in the event block
-        "invite_days", F.coalesce(days_between("start_date", "times"), F.lit(0))
-    )
+        "invite_days": F.coalesce(days_between("start_date", "times"), F.lit(0)),
+    })
     rows = with_friend_ratios(rows)
     if mode == "intended":
         rows = rows.withColumn("location_similar", same_place("location", "city", "state", "country"))
@@ -89,10 +104,22 @@ def build_wide(
     mode: str = "intended",
     dedup: bool = True,
     feats: Optional[DimFeatures] = None,
+    staged: bool = False,
 ) -> DataFrame:
-    """Fact feed + dimensions -> wide table. `feats` reuses precomputed dimension blocks."""
+    """Fact feed + dimensions -> wide table. `feats` reuses precomputed dimension blocks.
+
+    `staged`: the dimension blocks, the de-duplicated pairs and then each pair-grain block are
+    written to the shared checkpoint folder, one after the other. The files are a small part
+    of the shuffles that make them, and the disk holds the shuffles of one step at a time.
+    """
     check_mode(mode)
     pairs = dedup_fact(fact) if dedup else fact
-    return assemble_wide(pairs, feats if feats is not None else dim_features(dims, as_of, mode), mode)
+    if not staged:
+        return assemble_wide(pairs, feats if feats is not None else dim_features(dims, as_of, mode), mode)
+    if feats is None:
+        feats = dim_features(dims, as_of, mode).write(scratch_path(fact.sparkSession, "wide-dims"))
+    pairs = write_scratch(pairs.select(U, E, "invited", "times"), "wide-pairs")
+    blocks = {name: write_scratch(df, f"wide-{name}") for name, df in pair_blocks(pairs, feats, mode, True).items()}
+    return assemble_wide(pairs, feats, mode, blocks)
 
 

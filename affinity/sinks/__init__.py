@@ -14,13 +14,17 @@ def write_table(
     mode: str = "overwrite",
     single_file: bool = False,
     partition_by: Optional[list[str]] = None,
+    compression: Optional[str] = None,
 ) -> None:
-    """Write `df` to `path`. CSV gets a header row. `single_file` coalesces to one task
+    """Write `df` to `path`. CSV gets a header row and, where named, a `compression` that Spark's
+    reader takes from the files' names. `single_file` coalesces to one task
     and removes write parallelism; leave it off except for small outputs."""
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True)
+    if compression is not None:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.format(fmt).save(path)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.schemas import Dims
-from affinity.session import scratch_path
+from affinity.session import scratch_path, shuffles_dropped
 
 # Fixed value: friends are customers of the same nation and segment whose keys differ by
 # at most this much.
@@ -196,7 +196,8 @@ def materialize(spark: SparkSession, sf_dir: str, tables: Iterable[str] = tuple(
     for make in dict.fromkeys(JOINED[t] for t in tables if t in JOINED):
         if make not in written:
             path = scratch_path(spark, f"analog-{make.__name__}")
-            make(spark, sf_dir).write.mode("overwrite").parquet(path)
+            with shuffles_dropped(spark):
+                make(spark, sf_dir).write.mode("overwrite").parquet(path)
             written[make] = path
 
     def read(name: str, view: DataFrame) -> DataFrame:

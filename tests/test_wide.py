@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from affinity.plans import features as feat
 from affinity.plans.scoring import model_input
@@ -176,3 +177,53 @@ def test_creator_flags_leave_out_pairs_without_the_edge(spark):
     edges = edge_multiplicity(spark.createDataFrame([(9, 1), (9, 1), (7, 3), (3, 7)], "userid long, friendid long"))
     flags = creator_flags(pairs, SimpleNamespace(hosts=hosts, edges=edges, host_edges=None))
     assert sorted(map(tuple, flags.collect())) == [(1, 1, 1), (3, 2, 0), (3, 2, 1), (4, 2, 0), (4, 2, 0)]
+
+
+def _shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = (f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_written_steps_keep_no_shuffle_files(spark):
+    import time
+
+    from affinity.session import SHUFFLE_CLEANUP, write_scratch
+
+    before, conf = _shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP)
+    made = write_scratch(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "dropped")
+    for _ in range(50):  # the files go in the background
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP) == conf
+    assert sorted(r["count"] for r in made.collect()) == [142] + [143] * 6
+
+
+@pytest.mark.parametrize("mode", ["intended", "reference"])
+def test_staged_wide_reads_written_blocks(spark, data, mode):
+    """The plan left over joins the blocks: neither lists of friends nor the fact's duplicates are in it."""
+    fact, dims = data
+    staged = build_wide(fact, dims, as_of=AS_OF, mode=mode, staged=True)
+    whole = build_wide(fact, dims, as_of=AS_OF, mode=mode)
+    plan, lazy = (df._jdf.queryExecution().optimizedPlan().toString() for df in (staged, whole))
+    assert "collect_list" in lazy and "collect_list" not in plan
+    assert "max(struct" in lazy and "max(struct" not in plan
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(staged) == rows(whole) != []
+
+
+def test_compressed_csv_is_read_back(spark, data, tmp_path):
+    from affinity.sinks import write_table
+    from affinity.sources.fact import read_wide_csv
+
+    fact, dims = data
+    wide = build_wide(fact, dims, as_of=AS_OF)
+    for name, compression in (("packed", "gzip"), ("plain", None)):
+        write_table(wide, str(tmp_path / name), fmt="csv", compression=compression)
+    assert list((tmp_path / "packed").glob("*.csv.gz")) and not list((tmp_path / "packed").glob("*.csv"))
+    packed, plain = (
+        sorted(map(repr, read_wide_csv(spark, str(tmp_path / name), wide.schema).collect())) for name in ("packed", "plain")
+    )
+    assert packed == plain != []

@@ -273,14 +273,16 @@ class DimFeatures:
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "DimFeatures":
         return replace(self, **{k: v.persist(level) for k, v in self.frames().items()})
 
-    def write(self, base: str, buckets: int = 1) -> "DimFeatures":
+    def write(self, base: str, buckets: int = 1, lazy: tuple[str, ...] = ()) -> "DimFeatures":
         """Materialise every block as parquet under `base` (a shared folder) and read it back.
 
         With several `buckets`, a block has a folder for each bucket of its key, so that
-        `restricted` reads the folders of a micro-batch's keys only.
+        `restricted` reads the folders of a micro-batch's keys only. `lazy` blocks are not written.
         """
         out, bucketed = {}, {}
         for name, df in self.frames().items():
+            if name in lazy:
+                continue
             path, spark = f"{base.rstrip('/')}/{name}", df.sparkSession
             if buckets == 1 or name not in BLOCK_KEYS:
                 with shuffles_dropped(spark):

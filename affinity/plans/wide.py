@@ -108,7 +108,7 @@ def build_wide(
 ) -> DataFrame:
     """Fact feed + dimensions -> wide table. `feats` reuses precomputed dimension blocks.
 
-    `staged`: the dimension blocks, the de-duplicated pairs and then each pair-grain block are
+    `staged`: the dimension blocks (but the event block, which the last step reads once), the de-duplicated pairs and then each pair-grain block are
     written to the shared checkpoint folder, one after the other. The files are a small part
     of the shuffles that make them, and the disk holds the shuffles of one step at a time.
     """
@@ -117,7 +117,7 @@ def build_wide(
     if not staged:
         return assemble_wide(pairs, feats if feats is not None else dim_features(dims, as_of, mode), mode)
     if feats is None:
-        feats = dim_features(dims, as_of, mode).write(scratch_path(fact.sparkSession, "wide-dims"))
+        feats = dim_features(dims, as_of, mode).write(scratch_path(fact.sparkSession, "wide-dims"), lazy=("events",))
     pairs = write_scratch(pairs.select(U, E, "invited", "times"), "wide-pairs")
     blocks = {name: write_scratch(df, f"wide-{name}") for name, df in pair_blocks(pairs, feats, mode, True).items()}
     return assemble_wide(pairs, feats, mode, blocks)

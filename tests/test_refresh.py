@@ -297,3 +297,15 @@ def test_a_stream_counts_changes_in_between_its_batches(spark):
         assert _rows(got.where(F.col("batch_id") == i).select(*want.columns)) == _rows(want), user
     with pytest.raises(ValueError):
         run_stream(spark, payload_stream(spark, feed), dims, BatchSinks(drop_bad=True, wide_out=out), changes=changes)
+
+
+def test_counting_keeps_no_shuffle_files(spark):
+    from tests.test_streaming_sinks import _shuffles_left
+    from tests.test_wide import _shuffle_files
+
+    _, dims = native(spark)
+    counted = CountedDims(spark, scratch_path(spark, "t-counted-s"), dims, 4)
+    before = _shuffle_files(spark)
+    counted.start()
+    assert counted.apply(_changes(spark, 1, [("e1", "u2", "yes", 1)], [("u1", "u4", 1)]))
+    assert not _shuffles_left(spark, before)
